@@ -1,0 +1 @@
+"""The six extraction jobs, each a function from revisions to features and counters."""
