@@ -25,7 +25,7 @@ from palimpsest.plans import (
     sections_counter,
     wikilinks,
 )
-from palimpsest.sources.tables import conversation_revisions, document_articles
+from palimpsest.sources.tables import conversation_revisions, document_articles, web_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,7 +119,7 @@ def contributors(spark, directory):
 
 @query
 def strip_comments_pages(spark, directory):
-    pages = spark.read.parquet(f"{directory}/pages.parquet")
+    pages = web_pages(spark, directory)
     stripped = strip_comments(F.col("html"))
     return pages.select("page_id", F.length("html").alias("chars"), stripped.alias("stripped")).select(
         "page_id",

@@ -56,6 +56,7 @@ def _sql_dictionary(terms: tuple[str, ...]) -> str:
             "named_struct("
             f"'plain', {_sql_pattern(term)}, "
             f"'sorted', {_sql_pattern(' '.join(sorted(term.split())))}, "
+            f"'set', {_sql_pattern(' '.join(tokens))}, "
             f"'tokens', array({', '.join(repr(token) for token in tokens)}), "
             f"'subsets', array({', '.join(_sql_pattern(subset) for subset in subsets)}))"
         )
@@ -82,10 +83,10 @@ def _common(text: Column, pattern: Column) -> Column:
 def _similar(text: Column, pattern: Column, percent: int) -> Column:
     """Whether the rounded similarity ``2 * common / (both lengths)`` reaches ``percent``."""
     both = F.length(text) + pattern["size"]
-    allowed = 200 - (2 * percent - 1)  # per 200 characters of both lengths
+    needed = 2 * percent - 1  # of 200, half a percent below for rounding
     # Insert/delete distance is at least the Levenshtein distance, which is far cheaper.
-    plausible = F.levenshtein(text, pattern["text"]) * 200 <= both * allowed
-    return plausible & (_common(text, pattern) * 400 >= both * (2 * percent - 1))
+    plausible = F.levenshtein(text, pattern["text"]) * 200 <= both * (200 - needed)
+    return plausible & (_common(text, pattern) * 400 >= both * needed)
 
 
 def matches_terms(
@@ -106,7 +107,7 @@ def matches_terms(
         near = F.greatest(size, term_size) * 2 < F.least(size, term_size) * 3
         return near & (
             _similar(words["text"], term["plain"], score_cutoff)
-            | (_tokens_can_score(token_cutoff) & _token_scores(words, term, token_cutoff))
+            | (_token_scores(words, term, token_cutoff) if token_cutoff <= 100 else F.lit(False))
         )
 
     def scored(words: Column) -> Column:
@@ -120,46 +121,43 @@ def matches_terms(
             text.alias("text"),
             F.array_join(tokens, " ").alias("sorted"),
             F.array_distinct(tokens).alias("tokens"),
+            F.array_join(F.array_distinct(tokens), " ").alias("distinct"),
         )
         return text.isin(*terms) | (possible & let(words, scored))
 
     return let(normalised(name), by_length)
 
 
-def _tokens_can_score(token_cutoff: int) -> Column:
-    return F.lit(token_cutoff <= 100)
-
-
 def _token_scores(words: Column, term: Column, cutoff: int) -> Column:
     """Sorted-token similarity, and similarity of the token sets around their intersection."""
+    needed = 2 * cutoff - 1
 
     def sets(common: Column) -> Column:
         extra = F.array_join(F.array_except(words["tokens"], common["tokens"]), " ")
         missing = F.array_join(F.array_except(term["tokens"], common["tokens"]), " ")
         shared = F.length(common["text"])
-        # A shared non-empty part is followed by one blank and the rest of either side.
-        lead = F.when(shared > 0, shared + 1).otherwise(0)
-        contained = (shared > 0) & ((extra == "") | (missing == ""))
 
         def prefix_of(rest: Column) -> Column:
-            return (shared > 0) & (
-                shared * 400 >= (shared + lead + F.length(rest)) * (2 * cutoff - 1)
-            )
+            return shared * 400 >= (shared * 2 + 1 + F.length(rest)) * needed
 
+        # The shared part and one blank lead both sides; only the rest has to be compared.
         both = F.exists(
             term["subsets"],
             lambda subset: (subset["text"] == missing)
             & (
-                (lead + _common(extra, subset)) * 400
-                >= (lead * 2 + F.length(extra) + subset["size"]) * (2 * cutoff - 1)
+                (shared + 1 + _common(extra, subset)) * 400
+                >= (shared * 2 + 2 + F.length(extra) + subset["size"]) * needed
             ),
         )
-        return contained | prefix_of(extra) | prefix_of(missing) | both
+        return (extra == "") | (missing == "") | prefix_of(extra) | prefix_of(missing) | both
 
     common = F.array_intersect(words["tokens"], term["tokens"])
-    return _similar(words["sorted"], term["sorted"], cutoff) | let(
+    overlapping = let(
         F.struct(common.alias("tokens"), F.array_join(common, " ").alias("text")), sets
     )
+    return _similar(words["sorted"], term["sorted"], cutoff) | F.when(
+        F.arrays_overlap(words["tokens"], term["tokens"]), overlapping
+    ).otherwise(_similar(words["distinct"], term["set"], cutoff))
 
 
 def is_bibliography(

@@ -22,19 +22,37 @@ IN_RAW_TEXT = "only_in_raw_text"
 APPEARANCES = (IN_RAW_TEXT, IN_REFERENCE, IN_TEMPLATE, IN_BOTH, IN_SECTION)
 
 
+# Comparing a pair of spans costs about this fraction of a step of the sorted sweep.
+PAIRS_PER_MARK = 50
+
+
 def contained(points: Column, intervals: Column) -> Column:
     """For each of ``points``, whether its span lies in any interval (ends inclusive).
 
-    Both arrays are sorted together by offset; an interval that starts at or before a point
+    Long arrays are sorted together by offset; an interval that starts at or before a point
     contains it when the furthest end seen so far reaches the point's end.  This takes
-    n log n steps where testing all pairs takes n * m.
+    n log n steps where testing all pairs takes n * m, which is only cheaper while few.
     """
 
-    def sweep(spans: Column) -> Column:
+    def test_pairs(spans: Column, containers: Column) -> Column:
+        return F.transform(
+            spans,
+            lambda p: F.exists(
+                containers, lambda c: (c["begin"] <= p["begin"]) & (p["end"] <= c["end"])
+            ),
+        )
+
+    def choose(spans: Column, containers: Column) -> Column:
+        n, m = F.size(spans), F.size(containers)
+        return F.when(n * m <= (n + m) * PAIRS_PER_MARK, test_pairs(spans, containers)).otherwise(
+            sweep(spans, containers)
+        )
+
+    def sweep(spans: Column, containers: Column) -> Column:
         marks = F.array_sort(
             F.concat(
                 F.transform(
-                    intervals,
+                    containers,
                     lambda s: F.struct(
                         s["begin"].alias("at"), F.lit(-1).alias("point"), s["end"].alias("end")
                     ),
@@ -65,7 +83,7 @@ def contained(points: Column, intervals: Column) -> Column:
 
         return let(marks, test)
 
-    return let(points, sweep)
+    return let(points, lambda p: let(intervals, lambda i: choose(p, i)))
 
 
 def section_filter(kind: str | None, language: str | None = None) -> SectionFilter | None:

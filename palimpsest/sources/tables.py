@@ -99,8 +99,24 @@ CONVERSATION_MODEL = "CASE WHEN conv_id % 17 = 16 AND turn = 1 THEN '7 bad model
 FIRST_TIMESTAMP = "TIMESTAMP '2015-01-01 00:00:00'"
 
 
-def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{directory}/{name}.parquet")
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores on an input that is read in fewer tasks than there are cores.
+
+    Text work costs far more than moving such a small input once.  An input with at least one
+    read task per core is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores, *keys)
+
+
+def _table(spark: SparkSession, directory: str, name: str, *keys: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{directory}/{name}.parquet"), *keys)
+
+
+def web_pages(spark: SparkSession, directory: str) -> DataFrame:
+    return _table(spark, directory, "pages", "page_id")
 
 
 def conversation_revisions(
@@ -111,7 +127,7 @@ def conversation_revisions(
     ``last_flag`` adds ``is_last`` before any text is built, from the narrow columns.
     """
     user_text = F.expr(CONVERSATION_USER_TEXT)
-    table = _table(spark, directory, "conversations")
+    table = _table(spark, directory, "conversations", "conv_id", "turn")
     keyed = table.select(
         F.expr(CONVERSATION_FILE).alias("source_file"),
         F.col("conv_id").alias("page_id"),
@@ -147,7 +163,7 @@ def conversation_revisions(
 
 def document_articles(spark: SparkSession, directory: str) -> DataFrame:
     """``documents`` as articles with a single revision."""
-    return _table(spark, directory, "documents").select(
+    return _table(spark, directory, "documents", "doc_id").select(
         F.concat(F.lit("articles-"), F.col("source")).alias("source_file"),
         F.col("doc_id").alias("page_id"),
         F.lit(0).alias("ns"),
