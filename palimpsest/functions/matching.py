@@ -116,7 +116,7 @@ def matches_terms(
     def by_length(text: Column) -> Column:
         # A length ratio of 1.5 or more cannot reach the cutoff, so most names stop here.
         possible = (F.length(text) * 3 > shortest * 2) & (F.length(text) * 2 < longest * 3)
-        tokens = F.array_sort(F.split(text, " +"))
+        tokens = F.sort_array(F.split(text, " +"))
         words = F.struct(
             text.alias("text"),
             F.array_join(tokens, " ").alias("sorted"),

@@ -151,7 +151,7 @@ def sectioned_wikilinks(text: Column) -> Column:
     """
 
     def join(links: Column, headers: Column) -> Column:
-        marks = F.array_sort(
+        marks = F.sort_array(
             F.concat(
                 F.transform(
                     headers,

@@ -53,14 +53,24 @@ def _occurrences(values: Column, name: str) -> Column:
     return F.size(F.filter(values, lambda value: value == name))
 
 
-def analyzed(rows: DataFrame) -> DataFrame:
+def analyzed(rows: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """``pages_analyzed`` and ``revisions_analyzed`` per source; ``rows`` needs ``is_last``.
 
-    A page has exactly one last revision, so pages are counted without a distinct.
+    A page has exactly one last revision, so pages are counted without a distinct.  Pages
+    that have no revisions only count when the page table is given.
     """
-    return rows.groupBy("source_file").agg(
-        F.count_if(F.col("is_last")).alias("pages_analyzed"),
-        F.count(F.lit(1)).alias("revisions_analyzed"),
+    seen = rows.select(
+        "source_file", F.col("is_last").alias("ends_page"), F.lit(True).alias("is_revision")
+    )
+    if pages is not None:
+        seen = seen.unionByName(
+            pages.where(~F.col("has_revisions")).select(
+                "source_file", F.lit(True).alias("ends_page"), F.lit(False).alias("is_revision")
+            )
+        )
+    return seen.groupBy("source_file").agg(
+        F.count_if("ends_page").alias("pages_analyzed"),
+        F.count_if("is_revision").alias("revisions_analyzed"),
     )
 
 

@@ -86,7 +86,7 @@ def changes(current: Column, previous: Column) -> Column:
 
     def tagged(items: Column, action: str) -> Column:
         return F.transform(
-            F.array_sort(items), lambda x: F.struct(F.lit(action).alias("action"), x.alias("item"))
+            F.sort_array(items), lambda x: F.struct(F.lit(action).alias("action"), x.alias("item"))
         )
 
     before = F.coalesce(previous, F.array().cast("array<string>"))

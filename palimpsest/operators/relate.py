@@ -49,7 +49,7 @@ def contained(points: Column, intervals: Column) -> Column:
         )
 
     def sweep(spans: Column, containers: Column) -> Column:
-        marks = F.array_sort(
+        marks = F.sort_array(
             F.concat(
                 F.transform(
                     containers,
@@ -78,7 +78,7 @@ def contained(points: Column, intervals: Column) -> Column:
                     F.coalesce(m["end"] <= r, F.lit(False)).alias("inside"),
                 ),
             )
-            in_order = F.array_sort(F.filter(tested, lambda m: m["point"] >= 0))
+            in_order = F.sort_array(F.filter(tested, lambda m: m["point"] >= 0))
             return F.transform(in_order, lambda m: m["inside"])
 
         return let(marks, test)

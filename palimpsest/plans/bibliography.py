@@ -53,5 +53,5 @@ def stats(captures: DataFrame) -> DataFrame:
     )
 
 
-def performance(captures: DataFrame) -> DataFrame:
-    return analyzed(captures)
+def performance(captures: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    return analyzed(captures, pages)

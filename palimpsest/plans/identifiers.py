@@ -52,7 +52,8 @@ def captured(
 
 def features(captures: DataFrame, only_last: bool = False) -> DataFrame:
     """Every revision with its ``changes`` against the one before it in the file."""
-    columns = [*PAGE_KEY, "page_title", "rev_pos", "rev_id", "user", "ts", "ids"]
+    flag = ["is_last"] if "is_last" in captures.columns else []
+    columns = [*PAGE_KEY, "page_title", "rev_pos", "rev_id", "user", "ts", *flag, "ids"]
     return with_changes(captures.select(*columns), "ids", "rev_pos", only_last).drop("ids", "block")
 
 
@@ -83,6 +84,5 @@ def stats(captures: DataFrame) -> DataFrame:
     )
 
 
-def performance(captures: DataFrame) -> DataFrame:
-    return analyzed(with_last_flag(captures.select(*PAGE_KEY, "rev_pos", *(
-        ["is_last"] if "is_last" in captures.columns else []))))
+def performance(captures: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    return analyzed(with_last_flag(captures), pages)

@@ -55,5 +55,5 @@ def stats(captures: DataFrame) -> DataFrame:
     return tables[0].unionByName(tables[1]).unionByName(tables[2])
 
 
-def performance(captures: DataFrame) -> DataFrame:
-    return analyzed(captures)
+def performance(captures: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    return analyzed(captures, pages)

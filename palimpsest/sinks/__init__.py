@@ -1,0 +1 @@
+"""Outputs: CSV tables, XML documents, and a dry run that writes nothing."""

@@ -1,0 +1 @@
+"""Row-wise extraction over revisions that arrive as a stream."""
