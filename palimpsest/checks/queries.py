@@ -312,7 +312,7 @@ def extract_wikilinks_last(spark, directory):
 
 @query
 def bibliography_text(spark, directory):
-    captured = bibliography.captured(conversation_revisions(spark, directory, last_flag=True), "en")
+    captured = bibliography.captured(conversation_revisions(spark, directory), "en")
     return captured.select(
         "source_file",
         "page_id",
@@ -326,7 +326,7 @@ def bibliography_text(spark, directory):
 
 @query
 def bibliography_name_counts(spark, directory):
-    captured = bibliography.captured(conversation_revisions(spark, directory, last_flag=True), "en")
+    captured = bibliography.captured(conversation_revisions(spark, directory), "en")
     return bibliography.name_counts(captured)
 
 
@@ -424,9 +424,10 @@ def reference_diffs(spark, directory):
     rows = _conversations(spark, directory)
     texts = F.array_distinct(F.transform(wikitext.references(F.col("text")), lambda r: r["raw"]))
     narrow = rows.select("source_file", "page_id", "rev_pos", "rev_id", texts.alias("texts"))
-    return history.with_changes(narrow, "texts").select(
-        "source_file", "page_id", "rev_id", F.inline("changes")
-    ).withColumnRenamed("item", "reference")
+    changed = history.with_changes(narrow, "texts")
+    return history.one_per_change(changed, "source_file", "page_id", "rev_id").withColumnRenamed(
+        "item", "reference"
+    )
 
 
 @query

@@ -21,6 +21,16 @@ def scoped_counts(rows: DataFrame, *keys: str) -> DataFrame:
     return counted.select(*keys, _by_scope(F.col("_all"), F.col("_last"))).where("count > 0")
 
 
+def one_per_element(rows: DataFrame, array: str, name: str) -> DataFrame:
+    """``source_file``, ``is_last`` and each element of ``array`` as ``name``.
+
+    An inner ``explode`` would make the optimizer test the array's size in a filter of its
+    own, and so extract it from the text twice.
+    """
+    exploded = rows.select("source_file", "is_last", F.explode_outer(array).alias(name))
+    return exploded.where(F.col(name).isNotNull())
+
+
 def _by_scope(in_all: Column, in_last: Column) -> Column:
     return F.inline(
         F.array(

@@ -114,6 +114,15 @@ def with_changes(
     return compared.withColumn("changes", changes(F.col(items), F.col("previous"))).drop("previous")
 
 
+def one_per_change(rows: DataFrame, *columns: str) -> DataFrame:
+    """One row per change: ``columns``, ``action`` and ``item``.
+
+    An inner ``inline`` would make the optimizer test the size of ``changes`` in a filter of
+    its own, and so compute them twice.
+    """
+    return rows.select(*columns, F.inline_outer("changes")).where(F.col("action").isNotNull())
+
+
 def lifespans(rows: DataFrame, items: str = "ids", block: int = HISTORY_BLOCK) -> DataFrame:
     """Intervals in which an item is present in a page, in ``(ts, rev_id)`` order.
 
@@ -125,11 +134,13 @@ def lifespans(rows: DataFrame, items: str = "ids", block: int = HISTORY_BLOCK) -
     edges, at most two rows per item and block, is paired across blocks.
     """
     placed = with_chronological_position(rows)
-    events = (
-        with_changes(placed, items, "chrono_pos", block=block)
-        .select(
-            *PAGE_KEY, "page_title", "block", "chrono_pos", "ts", F.inline("changes")
-        )
+    events = one_per_change(
+        with_changes(placed, items, "chrono_pos", block=block),
+        *PAGE_KEY,
+        "page_title",
+        "block",
+        "chrono_pos",
+        "ts",
     )
     in_block = Window.partitionBy(*PAGE_KEY, "block", "item").orderBy("chrono_pos")
     paired = events.select(

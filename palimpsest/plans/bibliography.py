@@ -9,7 +9,7 @@ from palimpsest.functions.arrays import let
 from palimpsest.functions.languages import check_language
 from palimpsest.functions.matching import is_bibliography
 from palimpsest.functions.wikitext import full_body, sections
-from palimpsest.operators.counts import analyzed, scoped_counts
+from palimpsest.operators.counts import analyzed, one_per_element, scoped_counts
 from palimpsest.operators.revisions import articles, scoped, with_clean_text, with_last_flag
 
 # The counter of this job.
@@ -43,8 +43,7 @@ def captured(revisions: DataFrame, language: str, only_last: bool = False) -> Da
 
 
 def name_counts(captures: DataFrame) -> DataFrame:
-    exploded = captures.select("source_file", "is_last", F.explode("sections.name").alias("name"))
-    return scoped_counts(exploded, "source_file", "name")
+    return scoped_counts(one_per_element(captures, "sections.name", "name"), "source_file", "name")
 
 
 def stats(captures: DataFrame) -> DataFrame:

@@ -9,7 +9,13 @@ from palimpsest.functions.arrays import let
 from palimpsest.functions.identifiers import Extractor
 from palimpsest.model import PAGE_KEY
 from palimpsest.operators.counts import analyzed, class_counts
-from palimpsest.operators.history import identifier_key, key_id, key_type, with_changes
+from palimpsest.operators.history import (
+    identifier_key,
+    key_id,
+    key_type,
+    one_per_change,
+    with_changes,
+)
 from palimpsest.operators.relate import APPEARANCES, SectionFilter, located_identifiers
 from palimpsest.operators.revisions import articles, scoped, with_clean_text, with_last_flag
 
@@ -59,9 +65,8 @@ def features(captures: DataFrame, only_last: bool = False) -> DataFrame:
 
 def diffs(features_: DataFrame) -> DataFrame:
     """One row per change."""
-    return features_.select(
-        *PAGE_KEY, "page_title", "rev_id", "user", "ts", F.inline("changes")
-    ).select(
+    changed = one_per_change(features_, *PAGE_KEY, "page_title", "rev_id", "user", "ts")
+    return changed.select(
         *PAGE_KEY,
         "page_title",
         "rev_id",

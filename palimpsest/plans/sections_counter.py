@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from palimpsest.functions.text import strip_blanks
 from palimpsest.functions.wikitext import section_names
 from palimpsest.model import PAGE_KEY
-from palimpsest.operators.counts import analyzed, scoped_counts
+from palimpsest.operators.counts import analyzed, one_per_element, scoped_counts
 from palimpsest.operators.revisions import articles, scoped, with_clean_text, with_last_flag
 
 # The three counters of this job.
@@ -27,8 +27,7 @@ def captured(revisions: DataFrame, only_last: bool = False) -> DataFrame:
 
 
 def name_counts(captures: DataFrame) -> DataFrame:
-    exploded = captures.select("source_file", "is_last", F.explode("names").alias("name"))
-    return scoped_counts(exploded, "source_file", "name")
+    return scoped_counts(one_per_element(captures, "names", "name"), "source_file", "name")
 
 
 def section_counts(captures: DataFrame) -> DataFrame:

@@ -1,14 +1,14 @@
 """MediaWiki XML history dumps (export schema 0.10) as DataFrames.
 
-A dump file is one XML document of any size.  The readers cut it into records at a closing
-tag, which splits large and bz2-compressed files over many tasks, and parse each record with
+A dump file is one XML document of any size.  The readers cut it into records at a tag,
+which splits large and bz2-compressed files over many tasks, and parse each record with
 ``from_xml``.  Markup inside texts is escaped, so a raw tag is never part of a text.
 
-Two ways to read revisions:
+Two ways to read revisions, both with ``is_last``:
 
 * ``read_revisions``: a record is a revision.  Works for pages of any length.
-* ``read_whole_pages``: a record is a page.  Gives ``is_last`` and ``chrono_pos`` without a
-  shuffle, but a page with its whole history has to fit into one record.
+* ``read_whole_pages``: a record is a page.  Gives ``chrono_pos`` as well, without a shuffle,
+  but a page with its whole history has to fit into one record.
 """
 
 from __future__ import annotations
@@ -48,10 +48,10 @@ def _paths(paths: str | Iterable[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def _chunks(spark: SparkSession, paths: str | Iterable[str], closing_tag: str) -> DataFrame:
-    """Pieces of the files that end at ``closing_tag``, with the file and its split."""
+def _chunks(spark: SparkSession, paths: str | Iterable[str], tag: str) -> DataFrame:
+    """Pieces of the files between occurrences of ``tag``, with the file and its split."""
     return (
-        spark.read.option("lineSep", closing_tag)
+        spark.read.option("lineSep", tag)
         .text(_paths(paths))
         .select(
             "value",
@@ -113,22 +113,15 @@ def read_siteinfo(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
 
 def read_pages(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """One row per page, pages without revisions included: ``has_revisions`` tells."""
-    chunks = _chunks(spark, paths, "</revision>").where(F.contains("value", F.lit("<page>")))
-    heads = F.slice(F.split("value", "<page>", -1), 2, F.size(F.split("value", "<page>", -1)))
+    chunks = _chunks(spark, paths, "<revision>").where(F.contains("value", F.lit("<page>")))
+    # What follows a page head in its record is either the end of the page or a revision.
     return (
-        chunks.select("source_file", F.explode(heads).alias("rest"))
+        chunks.select("source_file", F.split("value", "<page>", -1).alias("heads"))
+        .select("source_file", F.explode(F.slice("heads", 2, F.size("heads"))).alias("head"))
         .select(
             "source_file",
-            F.contains("rest", F.lit("<revision>")).alias("has_revisions"),
-            _parse(
-                _wrap(
-                    "page",
-                    F.substring_index(
-                        F.substring_index(F.col("rest"), "<revision>", 1), "</page>", 1
-                    ),
-                ),
-                PAGE_HEAD_ELEMENT,
-            ).alias("page"),
+            (~F.contains("head", F.lit("</page>"))).alias("has_revisions"),
+            _page_head(F.col("head")).alias("page"),
         )
         .select(
             "source_file",
@@ -140,6 +133,10 @@ def read_pages(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     )
 
 
+def _page_head(head: Column) -> Column:
+    return _parse(_wrap("page", F.substring_index(head, "</page>", 1)), PAGE_HEAD_ELEMENT)
+
+
 def read_whole_pages(
     spark: SparkSession, paths: str | Iterable[str], articles_only: bool = False
 ) -> DataFrame:
@@ -208,50 +205,55 @@ def _with_positions(revisions: Column) -> Column:
 def read_revisions(
     spark: SparkSession, paths: str | Iterable[str], articles_only: bool = False
 ) -> DataFrame:
-    """Revisions, one record each.
+    """Revisions, one record each, with ``is_last``.
 
-    Only the first revision of a page stands next to the page's title and id.  Within a file
-    split these are carried forward to the revisions that follow; a small table with one row
-    per split, built from the page heads alone, carries them over to the next splits.  Texts
-    are read in place and not shuffled.
+    A record runs from one ``<revision>`` tag to the next, so it also holds what stands
+    between: the end of the page, if it was the last revision, and the head of the next page.
+    Within a file split, page heads are carried forward to the revisions that follow; a small
+    table with one row per split, built from the page heads alone, carries them over to the
+    next splits.  Texts are read in place and not shuffled.
     """
     chunks = _headed_chunks(spark, paths)
     filled = chunks.mapInArrow(_carry_forward, _filled_schema(chunks.schema))
     carry = staged(_carry_over(chunks), "page-carry")
     if carry.count() <= MAX_BROADCAST_SPLITS:
         carry = F.broadcast(carry)
-    own = F.col("page").isNotNull()
     page = F.coalesce(F.col("page"), F.col("before"))
-    placed = filled.join(carry, ["source_file", "split"], "left").select(
-        "source_file",
-        page["id"].alias("page_id"),
-        page["ns"].alias("ns"),
-        page["title"].alias("page_title"),
-        F.when(own, F.col("place"))
-        .otherwise(F.col("place") + F.coalesce("rows_before", F.lit(0)))
-        .cast("int")
-        .alias("rev_pos"),
-        "value",
+    in_split = F.col("page").isNotNull()
+    placed = (
+        filled.where(F.contains("value", F.lit("</revision>")))
+        .join(carry, ["source_file", "split"], "left")
+        .select(
+            "source_file",
+            page["id"].alias("page_id"),
+            page["ns"].alias("ns"),
+            page["title"].alias("page_title"),
+            F.when(in_split, F.col("place"))
+            .otherwise(F.col("place") + F.coalesce("rows_before", F.lit(0)))
+            .cast("int")
+            .alias("rev_pos"),
+            "value",
+        )
     )
     if articles_only:
         placed = placed.where(F.col("ns") == ARTICLE_NAMESPACE)
-    revision = _parse(
-        _wrap("revision", F.substring_index(F.col("value"), "<revision>", -1)), REVISION_ELEMENT
-    )
+    content = F.substring_index(F.col("value"), "</revision>", 1)
     keys = ["source_file", "page_id", "ns", "page_title", "rev_pos"]
-    return placed.select(*keys, revision.alias("revision")).select(
-        *keys, *_revision_columns(F.col("revision"))
-    )
+    return placed.select(
+        *keys,
+        _parse(_wrap("revision", content), REVISION_ELEMENT).alias("revision"),
+        F.contains("value", F.lit("</page>")).alias("is_last"),
+    ).select(*keys, *_revision_columns(F.col("revision")), "is_last")
 
 
 def _headed_chunks(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
-    """Revision records; ``page`` is set on the first revision of each page."""
-    chunks = _chunks(spark, paths, "</revision>").where(F.contains("value", F.lit("<revision>")))
-    head = F.substring_index(F.substring_index(F.col("value"), "<revision>", 1), "<page>", -1)
-    page = F.when(
-        F.contains("value", F.lit("<page>")), _parse(_wrap("page", head), PAGE_HEAD_ELEMENT)
+    """Records with the page head they end with, if any; it belongs to the next record."""
+    chunks = _chunks(spark, paths, "<revision>")
+    head = F.when(
+        F.contains("value", F.lit("<page>")),
+        _page_head(F.substring_index(F.col("value"), "<page>", -1)),
     )
-    return chunks.select("source_file", "split", page.alias("page"), "value")
+    return chunks.select("source_file", "split", head.alias("page"), "value")
 
 
 def _filled_schema(schema: T.StructType) -> T.StructType:
@@ -259,68 +261,74 @@ def _filled_schema(schema: T.StructType) -> T.StructType:
 
 
 def _carry_forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fill ``page`` from the last page head in the same split; ``place`` counts from there.
+    """Give each record the last page head before it in the same split.
 
-    Rows before the first head of a split keep a NULL page, and count from the split's start.
-    Only the narrow columns are looked at; texts pass through as Arrow buffers.
+    ``place`` counts the records since that head.  Records before the first head of a split
+    keep a NULL page, and count from the split's start.  Only the narrow columns are looked
+    at; texts pass through as Arrow buffers.
     """
-    last_split, last_page, last_place = None, None, 0
+    split, page, place = None, None, 0  # of the next record, if it is in the same split
     for batch in batches:
         n = batch.num_rows
         if n == 0:
             continue
-        pages = batch.column("page")
+        heads = batch.column("page")
         splits = list(
             zip(batch.column("source_file").to_pylist(), batch.column("split").to_pylist())
         )
-        previous = [last_split, *splits[:-1]]
-        starts = np.fromiter((a != b for a, b in zip(splits, previous)), bool, n)
-        starts |= ~np.asarray(pages.is_null().to_numpy(zero_copy_only=False), dtype=bool)
         rows = np.arange(n)
-        source = np.maximum.accumulate(np.where(starts, rows, -1))
-        # Rows before the first start of this batch continue the previous batch.
-        continued = source < 0
-        place = np.where(continued, last_place + 1 + rows, rows - source)
-        with_last = pa.concat_arrays([pages, pa.array([last_page], type=pages.type)])
-        filled = with_last.take(pa.array(np.where(continued, n, source)))
-        last_split, last_page, last_place = splits[-1], filled[n - 1].as_py(), int(place[-1])
-        columns = [
-            filled if name == "page" else batch.column(name) for name in batch.schema.names
-        ]
+        opens = np.fromiter((a != b for a, b in zip(splits, [split, *splits[:-1]])), bool, n)
+        after_head = np.zeros(n, bool)
+        after_head[1:] = heads.is_valid().to_numpy(zero_copy_only=False)[:-1]
+        # Counting starts anew in a new split and behind a head; else it goes on.
+        start = np.maximum.accumulate(np.where(opens | after_head, rows, -1))
+        goes_on = start < 0
+        places = np.where(goes_on, place + rows, rows - start)
+        # The page comes from the record before the start, from the batch before, or is open.
+        source = np.where(goes_on, n, np.where(opens[start] & ~goes_on, n + 1, start - 1))
+        choices = pa.concat_arrays([heads, pa.array([page, None], type=heads.type)])
+        pages = choices.take(pa.array(source))
+        split = splits[-1]
+        if heads[n - 1].is_valid:
+            page, place = heads[n - 1].as_py(), 0
+        else:
+            page, place = pages[n - 1].as_py(), int(places[-1]) + 1
+        columns = [pages if name == "page" else batch.column(name) for name in batch.schema.names]
         yield pa.RecordBatch.from_arrays(
-            [*columns, pa.array(place, type=pa.int64())], names=[*batch.schema.names, "place"]
+            [*columns, pa.array(places, type=pa.int64())], names=[*batch.schema.names, "place"]
         )
 
 
 def _carry_over(chunks: DataFrame) -> DataFrame:
-    """For each split that starts inside a page: that page and its revisions so far."""
+    """For each split that starts inside a page: that page and its records so far."""
     ordered = chunks.select(
         "source_file", "split", "page", F.monotonically_increasing_id().alias("row")
     )
+    headed_row = F.when(F.col("page").isNotNull(), F.col("row"))
     splits = ordered.groupBy("source_file", "split").agg(
-        F.max_by("page", F.when(F.col("page").isNotNull(), F.col("row"))).alias("page"),
-        F.max(F.when(F.col("page").isNotNull(), F.col("row"))).alias("head_row"),
+        F.max_by("page", headed_row).alias("page"),
+        F.max(headed_row).alias("head_row"),
         F.max("row").alias("last_row"),
         F.count(F.lit(1)).alias("n"),
     )
     in_file = Window.partitionBy("source_file").orderBy("split")
     upto = in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
-    # A split without a head adds all its rows to the page that is still open.
+    # A split without a head adds all its records to the page that is still open.
     counted = splits.select(
         "source_file",
         "split",
         "page",
-        F.coalesce(F.col("last_row") - F.col("head_row") + 1, F.col("n")).alias("open"),
+        F.coalesce(F.col("last_row") - F.col("head_row"), F.col("n")).alias("open"),
         F.count("head_row").over(upto).alias("run"),
     )
     in_run = Window.partitionBy("source_file", "run").orderBy("split").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    summed = counted.withColumn("open_rows", F.sum("open").over(in_run))
+    summed = counted.withColumn("open_records", F.sum("open").over(in_run))
     return summed.select(
         "source_file",
         "split",
         F.last("page", ignorenulls=True).over(earlier).alias("before"),
-        F.lag("open_rows").over(in_file).alias("rows_before"),
+        F.lag("open_records").over(in_file).alias("rows_before"),
     ).where(F.col("before").isNotNull())
