@@ -42,7 +42,7 @@ SELECT {src.CONVERSATION_FILE} AS source_file, conv_id AS page_id,
   {src.CONVERSATION_PARENT_ID} AS parent_id,
   strftime({src.FIRST_TIMESTAMP} + to_hours(CAST({src.CONVERSATION_HOUR} AS BIGINT)), {ISO}) AS ts,
   {src.CONVERSATION_USER_ID} AS user_id, {src.CONVERSATION_USER_TEXT} AS user_name,
-  turn % 3 = 1 AS minor, {src.CONVERSATION_MODEL} AS model, 'text/x-wiki' AS format,
+  turn % 3 = 1 AS minor, {src.CONVERSATION_COMMENT} AS comment, {src.CONVERSATION_MODEL} AS model, 'text/x-wiki' AS format,
   {src.CONVERSATION_TEXT} AS raw_text,
   turn = max(turn) OVER (PARTITION BY conv_id) AS is_last
 FROM conversations)"""
@@ -359,6 +359,28 @@ LEFT JOIN ranked r ON r.page_id = i.page_id AND r.n = i.last_n + 1""",
   md5(coalesce(bib.body, '')) AS bibliography_md5
 FROM art LEFT JOIN rd USING (page_id, rev_pos) LEFT JOIN idd USING (page_id, rev_pos)
 LEFT JOIN ns USING (page_id, rev_pos) LEFT JOIN bib USING (page_id, rev_pos)""",
+    "grand_totals": with_(
+        ART,
+        SECTIONS,
+        NAMES,
+        """sized AS (SELECT art.is_last, CAST(count(sec.number) AS VARCHAR) AS n
+FROM art LEFT JOIN sec ON sec.page_id = art.page_id AND sec.rev_pos = art.rev_pos
+GROUP BY art.page_id, art.rev_pos, art.is_last),
+items AS (
+SELECT 'section-names-per-revision' AS counter, name AS key, is_last FROM named
+UNION ALL SELECT 'sections-per-revision', n, is_last FROM sized
+UNION ALL SELECT 'revisions', NULL, is_last FROM art)""",
+    )
+    + """SELECT counter, 'global' AS scope, key, count(*) AS count FROM items GROUP BY ALL
+UNION ALL
+SELECT counter, 'last_revision' AS scope, key, count(*) AS count FROM items WHERE is_last GROUP BY ALL""",
+    "bibliography_document_read_back": with_(ART, SECTIONS, BIB_TEXT)
+    + """SELECT page_id, page_title, ns, rev_pos, rev_id, parent_id, ts,
+  CASE WHEN user_name IS NULL THEN 'None' WHEN user_id IS NOT NULL THEN 'registered' ELSE 'ip' END AS user_type,
+  coalesce(user_name, 'None') AS user_username,
+  CASE WHEN user_name IS NULL THEN -2 WHEN user_id IS NOT NULL THEN user_id ELSE -1 END AS user_id,
+  CAST(minor AS INTEGER) AS minor, comment, model, format, md5(coalesce(body, '')) AS text_md5, is_last
+FROM art LEFT JOIN bib USING (page_id, rev_pos)""",
     "revision_edges": with_(REV) + "SELECT source_file, page_id, parent_id, rev_id, ts FROM rev",
     "dangling_parents": with_(REV)
     + """SELECT source_file, page_id, parent_id, rev_id, ts FROM rev WHERE parent_id IS NOT NULL
@@ -381,3 +403,6 @@ UNION ALL SELECT *, 'format_pattern', format,
   NOT regexp_full_match(format, '[a-zA-Z][-+.a-zA-Z0-9]*/[a-zA-Z][-+.a-zA-Z0-9]*') FROM rev)
 WHERE broken""",
 }
+
+ORACLE["lifespans_csv_read_back"] = ORACLE["identifier_lifespans"]
+ORACLE["wikilinks_csv_read_back"] = ORACLE["extract_wikilinks"]

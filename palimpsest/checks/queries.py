@@ -5,6 +5,7 @@ All of them read whole tables and whole texts.  Columns are flat scalars.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,9 @@ from palimpsest.plans import (
     sections_counter,
     wikilinks,
 )
+from palimpsest.session import working_folder
+from palimpsest.sinks import documents, tables
+from palimpsest.sources import xml_dump
 from palimpsest.sources.tables import conversation_revisions, document_articles, web_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -444,6 +448,79 @@ def revision_report_rows(spark, directory):
     )
 
 
+@query
+def grand_totals(spark, directory):
+    captured = sections_counter.captured(conversation_revisions(spark, directory))
+    return counts.grand_total(sections_counter.stats(captured))
+
+
+# -- outputs, read back ----------------------------------------------------------------
+
+
+def _output(spark: SparkSession, name: str) -> str:
+    return f"{working_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def bibliography_document_read_back(spark, directory):
+    """The bibliography job's document, read as a dump."""
+    path = _output(spark, "bibliography-document")
+    captured = bibliography.captured(conversation_revisions(spark, directory), "en")
+    documents.write_document(documents.bibliography_document(captured), documents.KEYS, path)
+    return xml_dump.read_revisions(spark, path).select(
+        "page_id",
+        "page_title",
+        "ns",
+        "rev_pos",
+        "rev_id",
+        "parent_id",
+        rev.iso_timestamp(F.col("ts")).alias("ts"),
+        *rev.contributor(F.col("user")),
+        rev.minor_flag(F.col("minor")).alias("minor"),
+        "comment",
+        "model",
+        "format",
+        F.md5("text").alias("text_md5"),
+        "is_last",
+    )
+
+
+@query
+def lifespans_csv_read_back(spark, directory):
+    path = _output(spark, "lifespans-csv")
+    spans = identifiers_history.features(conversation_revisions(spark, directory), "enwiki")
+    tables.write_lifespans(spans, path)
+    schema = (
+        "project string, page_id bigint, page_title string, identifier_type string,"
+        " identifier_id string, added_ts string, removed_ts string, source_file string"
+    )
+    return spark.read.schema(schema).csv(path)
+
+
+@query
+def wikilinks_csv_read_back(spark, directory):
+    path = _output(spark, "wikilinks-csv")
+    tables.write_wikilinks(
+        wikilinks.features(conversation_revisions(spark, directory), "en"), path
+    )
+    schema = (
+        "page_id bigint, page_title string, revision_id bigint, revision_parent_id bigint,"
+        " revision_timestamp string, user_type string, user_username string, user_id bigint,"
+        " revision_minor int, wikilink_link string, wikilink_anchor string,"
+        " wikilink_section_name string, wikilink_section_level int, wikilink_section_number int,"
+        " source_file string"
+    )
+    return (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("enforceSchema", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .option("escape", '"')
+        .csv(path)
+    )
+
+
 # -- graph and integrity ---------------------------------------------------------------
 
 

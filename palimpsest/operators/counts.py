@@ -84,6 +84,11 @@ def analyzed(rows: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     )
 
 
+def grand_total(stats: DataFrame) -> DataFrame:
+    """Counters of all source files together."""
+    return stats.groupBy("counter", "scope", "key").agg(F.sum("count").alias("count"))
+
+
 def most_common(counted: DataFrame, *keys: str) -> DataFrame:
     """Order by count, largest first; ties by key."""
     return counted.orderBy("source_file", "scope", F.desc("count"), *keys)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.functions.text import strip_comments
-from palimpsest.model import ARTICLE_NAMESPACE, PAGE_KEY
+from palimpsest.model import ARTICLE_NAMESPACE, HISTORY_BLOCK, PAGE_KEY
 
 
 def articles(revisions: DataFrame) -> DataFrame:
@@ -14,21 +14,27 @@ def articles(revisions: DataFrame) -> DataFrame:
     return revisions.where(F.col("ns") == ARTICLE_NAMESPACE)
 
 
-def with_last_flag(rows: DataFrame, revisions: DataFrame | None = None) -> DataFrame:
+def with_last_flag(
+    rows: DataFrame, revisions: DataFrame | None = None, block: int = HISTORY_BLOCK
+) -> DataFrame:
     """Add ``is_last`` where the source did not.
 
     The last position of each page comes from the narrow columns of ``revisions``, combined
     before the shuffle.  Call this on extracted rows rather than on rows that still carry
-    texts: the join moves ``rows``.
+    texts: the join moves ``rows``.  It is keyed by page and block of positions, with the
+    last position repeated per block, so that a page with a long history is spread out.
     """
     if "is_last" in rows.columns:
         return rows
+    blocks = F.sequence(F.lit(0), F.floor(F.col("_last_pos") / block).cast("int"))
     last = (
         (rows if revisions is None else revisions)
         .groupBy(*PAGE_KEY)
         .agg(F.max("rev_pos").alias("_last_pos"))
+        .select(*PAGE_KEY, "_last_pos", F.explode(blocks).alias("_block"))
     )
-    return rows.join(last, list(PAGE_KEY)).select(
+    keyed = rows.withColumn("_block", F.floor(F.col("rev_pos") / block).cast("int"))
+    return keyed.join(last, [*PAGE_KEY, "_block"]).select(
         *rows.columns, (F.col("rev_pos") == F.col("_last_pos")).alias("is_last")
     )
 

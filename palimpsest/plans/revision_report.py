@@ -32,6 +32,7 @@ def features(revisions: DataFrame, language: str) -> DataFrame:
             F.array_join(F.transform(kept, full_body), "").alias("bibliography"),
         )
 
+    flag = ["is_last"] if "is_last" in rows.columns else []
     reference_texts = F.transform(references(F.col("text")), lambda r: r["raw"])
     identifier_keys = F.transform(publication_identifiers(F.col("text")), identifier_key)
     narrow = rows.select(
@@ -41,6 +42,7 @@ def features(revisions: DataFrame, language: str) -> DataFrame:
         "rev_id",
         "user",
         "ts",
+        *flag,
         F.struct(
             F.array_distinct(reference_texts).alias("references"),
             F.array_distinct(identifier_keys).alias("identifiers"),
@@ -54,6 +56,7 @@ def features(revisions: DataFrame, language: str) -> DataFrame:
         "rev_id",
         "user",
         "ts",
+        *flag,
         changes(F.col("items.references"), F.col("previous.references")).alias("references_diff"),
         changes(F.col("items.identifiers"), F.col("previous.identifiers")).alias(
             "identifiers_diff"

@@ -1,8 +1,9 @@
 """XML documents, one per source file, written by many tasks.
 
-A document is a table of text fragments with sort keys.  A global sort puts them in order,
-so the part files of a source file, taken in name order, are the document.  No task holds
-more than its share of a document, and a page may span part files.
+A document is a table of text fragments with sort keys.  They are cut into ranges of these
+keys and sorted, so the part files of a source file, taken in name order, are the document.
+A page stays in one part file unless its history is longer than ``HISTORY_BLOCK`` revisions;
+no task has to hold a whole document or a whole long history.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.model import HISTORY_BLOCK
 from palimpsest.operators.counts import GLOBAL, LAST
 from palimpsest.operators.history import ADDED, REMOVED, key_id, key_type
 from palimpsest.operators.revisions import iso_timestamp
@@ -36,9 +38,13 @@ def write_document(
     fragments: DataFrame, keys: tuple[str, ...], path: str, compression: str | None = None
 ) -> None:
     """Write ``fragment`` in order of ``keys``, one folder per ``source_file``."""
+    named = fragments.withColumn("source_file", F.coalesce("source_file", F.lit("unknown")))
+    ranges = [
+        F.floor(F.col(key) / HISTORY_BLOCK) if key == "rev_pos" else F.col(key) for key in keys
+    ]
     (
-        fragments.withColumn("source_file", F.coalesce("source_file", F.lit("unknown")))
-        .orderBy("source_file", *keys)
+        named.repartitionByRange("source_file", *ranges)
+        .sortWithinPartitions("source_file", *keys)
         .select("source_file", "fragment")
         .write.partitionBy("source_file")
         .option("compression", check_compression(compression) or "none")
@@ -211,6 +217,47 @@ def identifiers_document(
     return document
 
 
+def report_document(report: DataFrame) -> DataFrame:
+    """Fragments of the wide revision report; ``report`` needs ``is_last``."""
+
+    def grouped(column: str, action: str, item: str, value) -> Column:
+        items = F.transform(F.filter(column, lambda c: c["action"] == action), value)
+        return F.struct(F.lit(action).alias("_action"), items.alias(item))
+
+    def diff(column: str, item: str, value) -> Column:
+        groups = F.array(*[grouped(column, action, item, value) for action in (ADDED, REMOVED)])
+        return F.struct(F.filter(groups, lambda g: F.size(g[item]) > 0).alias("diff"))
+
+    revision = _xml(
+        "revision",
+        F.col("rev_id").alias("id"),
+        F.when(
+            F.col("user").isNotNull(),
+            F.struct(F.col("user.id").alias("_id"), F.col("user.text").alias("_name")),
+        ).alias("user"),
+        iso_timestamp(F.col("ts")).alias("timestamp"),
+        diff("references_diff", "reference", lambda c: c["item"]).alias("references_diff"),
+        diff(
+            "identifiers_diff",
+            "identifier",
+            lambda c: F.struct(key_type(c["item"]).alias("_type"), key_id(c["item"]).alias("_id")),
+        ).alias("publication_identifiers_diff"),
+        F.struct(
+            F.transform(
+                "sections",
+                lambda s: F.struct(s["level"].alias("_level"), s["name"].alias("_VALUE")),
+            ).alias("section")
+        ).alias("sections"),
+        F.col("bibliography"),
+    )
+    opening = F.concat(
+        _opened("page", F.col("page_title").alias("title"), F.col("page_id").alias("id")),
+        F.lit("\n<revisions>"),
+    )
+    ends = _ends(_sources(report), F.lit("<root>"), "</root>")
+    return _pages(report, opening, revision, "</revisions>\n</page>", False).unionByName(ends)
+
+
 class Counter(NamedTuple):
     """How a counter is written: its items' element and the attribute that holds the key.
 

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from palimpsest.model import REVISIONS
 from palimpsest.operators import quality
 from palimpsest.operators.revisions import articles, find_page
-from palimpsest.plans import jobs, revision_report
+from palimpsest.plans import identifiers, jobs, revision_report
+from palimpsest.sinks import documents
 from palimpsest.sources import xml_dump
 from palimpsest.streaming.revisions import append_wikilinks, revision_stream
 
@@ -84,6 +85,53 @@ def test_small_splits(spark, folder, whole, split_bytes):
             spark.conf.unset(f"spark.sql.files.{name}")
 
 
+@pytest.mark.parametrize("records, split_bytes", [(1, 3000), (3, 3000), (7, 10**8)])
+def test_small_batches(spark, folder, whole, records, split_bytes):
+    """Page heads are also carried from one Arrow batch to the next."""
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(batch, str(records))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    try:
+        assert rows(xml_dump.read_revisions(spark, folder)) == rows(whole)
+    finally:
+        spark.conf.unset(batch)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_last_flags_agree(spark, folder, whole):
+    read = xml_dump.read_revisions(spark, folder).select("source_file", "rev_id", "is_last")
+    expected = whole.select("source_file", "rev_id", "is_last")
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_long_page_over_several_part_files(spark, whole, tmp_path, monkeypatch):
+    """Part files in name order are the document, also when a page spans them."""
+    monkeypatch.setattr(documents, "HISTORY_BLOCK", 5)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        captured = identifiers.captured(whole)
+        fragments = documents.identifiers_document(identifiers.features(captured))
+        documents.write_document(fragments, documents.KEYS, str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(list((tmp_path / "out").glob("*/part-*"))) > 4
+    root = ET.fromstring(document(tmp_path / "out"))
+    assert [p.find("id").text for p in root.findall("page")] == ["1", "4"]
+    ids = [int(r.find("id").text) for r in root.findall("page")[1].iter("revision")]
+    assert ids == list(range(400, 460))
+
+
+def test_report_document(whole, tmp_path):
+    report = revision_report.features(whole, "en")
+    documents.write_document(documents.report_document(report), documents.KEYS, str(tmp_path / "out"))
+    root = ET.fromstring(document(tmp_path / "out"))
+    first = next(root.iter("revision"))
+    assert [r.text for r in first.find("references_diff/diff").iter("reference")] == ["<ref>b</ref>"]
+    assert first.find("publication_identifiers_diff/diff").attrib == {"action": "added"}
+    assert first.find("sections/section").text == " References "
+    assert first.find("bibliography").text.startswith("== References ==")
+
+
 def test_carry_over_by_shuffle(spark, folder, whole, monkeypatch):
     monkeypatch.setattr(xml_dump, "MAX_BROADCAST_SPLITS", -1)
     assert rows(xml_dump.read_revisions(spark, folder)) == rows(whole)

@@ -173,9 +173,12 @@ def test_identifier_key(spark):
     assert tuple(row) == ("doi", "10.1/a:b")
 
 
-def test_last_flag(spark):
+@pytest.mark.parametrize("block", [1, 7, 10_000])
+def test_last_flag(spark, block):
     table = spark.createDataFrame(history_rows(8), HISTORY)
-    last = rev.last_revisions(table).select("page_id", "rev_pos").collect()
+    flagged = rev.with_last_flag(table, block=block)
+    assert flagged.count() == table.count()
+    last = flagged.where("is_last").select("page_id", "rev_pos").collect()
     expected = table.groupBy("page_id").agg(F.max("rev_pos")).collect()
     assert sorted(map(tuple, last)) == sorted(map(tuple, expected))
 
