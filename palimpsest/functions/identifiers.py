@@ -21,7 +21,8 @@ CAPTURES = "array<struct<type:string,id:string,begin:int,end:int>>"
 
 # The identifier patterns.
 ARXIV_PREFIXES = (r"arxiv\s*=\s*", r"//arxiv\.org/(?:abs/)?", r"arxiv:\s?")
-ARXIV_OLD_ID = r"(?:[a-z]+(?:.[a-z]+)/)?[0-9]{4}[0-9]+"
+ARXIV_ARCHIVE = r"[a-z]+.[a-z]+/"
+ARXIV_OLD_NUMBER = r"[0-9]{4}[0-9]+"
 ARXIV_NEW_ID = r"[0-9]{4}.[0-9]+"
 DOI_START = r"10\.[0-9]{4,}/"
 DOI_STOP_TAGS = "ref|span|div|table|h1|h2|h3|h4|h5|h6|b|u|i|s|ins|del|code|tt|blockquote|pre"
@@ -32,13 +33,29 @@ PMID_URL = r"//www\.ncbi\.nlm\.nih\.gov/pubmed/([0-9]+)\b"
 PMC_TEMPLATE = r"\bpmc\s*=\s*(?:pmc)?([0-9]+)\b"
 PMC_URL = r"//www\.ncbi\.nlm\.nih\.gov/pmc/articles/PMC([0-9]+)\b"
 
-IGNORE_CASE = "(?iudU)"
+
+def ignore_case(pattern: str) -> str:
+    """``pattern`` for any case, with Unicode classes and "." up to a line feed.
+
+    Java folds the dotless i with "i", which the patterns do not mean: "i" and letter ranges
+    are spelled out.
+    """
+    pattern = pattern.replace("[a-z]", "(?-i:[a-zA-Z\\u0130\\u017F\\u212A])").replace(
+        "[^a-z\\n]", "(?-i:[^a-zA-Z\\u0130\\u017F\\u212A\\n])"
+    )
+    parts = re.split(r"(\(\?-i:[^)]*\))", pattern)
+    parts[::2] = [part.replace("i", "(?-i:[iI\\u0130])") for part in parts[::2]]
+    return "(?iudU)" + "".join(parts)
+
+
+# The archive part matches the same as ``ARXIV_ARCHIVE`` without its backtracking, which is
+# quadratic on long words: the free character is either behind the first word or inside it.
+ARXIV_OLD_ID = rf"(?:[a-z]++[^a-z\n][a-z]++/|[a-z]{{3,}}+/)?{ARXIV_OLD_NUMBER}"
 
 # A DOI runs from its start to white space, "|", "?", "#", a known tag or a comment mark.
 # The quantifiers are possessive: each branch consumes what no other branch could.
-DOI_RUN = (
-    IGNORE_CASE
-    + DOI_START
+DOI_RUN = ignore_case(
+    DOI_START
     + r"(?:[^\s|?#<\-]++"
     + rf"|<(?!(?:/\s*)?(?:{DOI_STOP_TAGS})(?:\s[^>\n\r]+)?>|!--)"
     + r"|-(?!->))*+"
@@ -64,8 +81,10 @@ def arxiv(text: Column) -> Column:
 
     def by_prefix(t: Column, prefix: str) -> Column:
         # A pattern that opens with a group is slower to find than its bare form.
-        bare = f"{IGNORE_CASE}{prefix}(?:-?{ARXIV_OLD_ID}|{ARXIV_NEW_ID}(?:v[0-9]+)?)"
-        pattern = f"{IGNORE_CASE}({prefix})(?:(-?)({ARXIV_OLD_ID})|({ARXIV_NEW_ID})(?:v[0-9]+)?)"
+        bare = ignore_case(f"{prefix}(?:-?{ARXIV_OLD_ID}|{ARXIV_NEW_ID}(?:v[0-9]+)?)")
+        pattern = ignore_case(
+            f"({prefix})(?:(-?)({ARXIV_OLD_ID})|({ARXIV_NEW_ID})(?:v[0-9]+)?)"
+        )
 
         def parse(match: Column) -> Column:
             raw = match["raw"]
@@ -88,7 +107,7 @@ def arxiv(text: Column) -> Column:
 
     def find(t: Column) -> Column:
         found = F.concat(*[by_prefix(t, prefix) for prefix in ARXIV_PREFIXES])
-        return F.when(F.rlike(t, F.lit(IGNORE_CASE + "arxiv")), found).otherwise(
+        return F.when(F.rlike(t, F.lit(ignore_case("arxiv"))), found).otherwise(
             F.array().cast(CAPTURES)
         )
 
@@ -226,7 +245,7 @@ def doi(text: Column, overlap: str = "skip") -> Column:
 
 def _trailing_group(text: Column, kind: str, pattern: str, drop: str = "") -> Column:
     """Captures of a pattern whose group 1 is the end of the match."""
-    pattern = IGNORE_CASE + _word_first(pattern)
+    pattern = ignore_case(_word_first(pattern))
 
     def parse(match: Column) -> Column:
         return let(

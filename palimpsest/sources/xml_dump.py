@@ -13,7 +13,7 @@ Two ways to read revisions, both with ``is_last``:
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -214,7 +214,7 @@ def read_revisions(
     next splits.  Texts are read in place and not shuffled.
     """
     chunks = _headed_chunks(spark, paths)
-    filled = chunks.mapInArrow(_carry_forward, _filled_schema(chunks.schema))
+    filled = chunks.mapInArrow(_carry_forward(), _filled_schema(chunks.schema))
     carry = staged(_carry_over(chunks), "page-carry")
     if carry.count() <= MAX_BROADCAST_SPLITS:
         carry = F.broadcast(carry)
@@ -260,43 +260,48 @@ def _filled_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("place", T.LongType())])
 
 
-def _carry_forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Give each record the last page head before it in the same split.
+def _carry_forward() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The fill below as a local function: it travels to the workers whole, package or not."""
+
+    def carry_forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Give each record the last page head before it in the same split.
+
+        ``place`` counts the records since that head.  Records before the first head of a split
+        keep a NULL page, and count from the split's start.  Only the narrow columns are looked
+        at; texts pass through as Arrow buffers.
+        """
+        split, page, place = None, None, 0  # of the next record, if it is in the same split
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            heads = batch.column("page")
+            splits = list(
+                zip(batch.column("source_file").to_pylist(), batch.column("split").to_pylist())
+            )
+            rows = np.arange(n)
+            opens = np.fromiter((a != b for a, b in zip(splits, [split, *splits[:-1]])), bool, n)
+            after_head = np.zeros(n, bool)
+            after_head[1:] = heads.is_valid().to_numpy(zero_copy_only=False)[:-1]
+            # Counting starts anew in a new split and behind a head; else it goes on.
+            start = np.maximum.accumulate(np.where(opens | after_head, rows, -1))
+            goes_on = start < 0
+            places = np.where(goes_on, place + rows, rows - start)
+            # The page comes from the record before the start, from the batch before, or is open.
+            source = np.where(goes_on, n, np.where(opens[start] & ~goes_on, n + 1, start - 1))
+            choices = pa.concat_arrays([heads, pa.array([page, None], type=heads.type)])
+            pages = choices.take(pa.array(source))
+            split = splits[-1]
+            if heads[n - 1].is_valid:
+                page, place = heads[n - 1].as_py(), 0
+            else:
+                page, place = pages[n - 1].as_py(), int(places[-1]) + 1
+            columns = [pages if name == "page" else batch.column(name) for name in batch.schema.names]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(places, type=pa.int64())], names=[*batch.schema.names, "place"]
+            )
 
-    ``place`` counts the records since that head.  Records before the first head of a split
-    keep a NULL page, and count from the split's start.  Only the narrow columns are looked
-    at; texts pass through as Arrow buffers.
-    """
-    split, page, place = None, None, 0  # of the next record, if it is in the same split
-    for batch in batches:
-        n = batch.num_rows
-        if n == 0:
-            continue
-        heads = batch.column("page")
-        splits = list(
-            zip(batch.column("source_file").to_pylist(), batch.column("split").to_pylist())
-        )
-        rows = np.arange(n)
-        opens = np.fromiter((a != b for a, b in zip(splits, [split, *splits[:-1]])), bool, n)
-        after_head = np.zeros(n, bool)
-        after_head[1:] = heads.is_valid().to_numpy(zero_copy_only=False)[:-1]
-        # Counting starts anew in a new split and behind a head; else it goes on.
-        start = np.maximum.accumulate(np.where(opens | after_head, rows, -1))
-        goes_on = start < 0
-        places = np.where(goes_on, place + rows, rows - start)
-        # The page comes from the record before the start, from the batch before, or is open.
-        source = np.where(goes_on, n, np.where(opens[start] & ~goes_on, n + 1, start - 1))
-        choices = pa.concat_arrays([heads, pa.array([page, None], type=heads.type)])
-        pages = choices.take(pa.array(source))
-        split = splits[-1]
-        if heads[n - 1].is_valid:
-            page, place = heads[n - 1].as_py(), 0
-        else:
-            page, place = pages[n - 1].as_py(), int(places[-1]) + 1
-        columns = [pages if name == "page" else batch.column(name) for name in batch.schema.names]
-        yield pa.RecordBatch.from_arrays(
-            [*columns, pa.array(places, type=pa.int64())], names=[*batch.schema.names, "place"]
-        )
+    return carry_forward
 
 
 def _carry_over(chunks: DataFrame) -> DataFrame:

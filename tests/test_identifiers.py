@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import regex
 from pyspark.sql import functions as F
 
 from palimpsest.functions import identifiers as ids
@@ -142,6 +143,56 @@ def test_doi_by_brute_force(apply):
     assert [x for x in zip(texts, got, expected) if x[1] != x[2]] == []
 
 
+def test_patterns_match_as_in_another_engine(apply):
+    """Ids and spans of the plain patterns, matched by the ``regex`` package."""
+    old = rf"(?:{ids.ARXIV_ARCHIVE})?{ids.ARXIV_OLD_NUMBER}"
+    arxiv = [
+        rf"{prefix}(?:-?(?P<id>{old})|(?P<id>{ids.ARXIV_NEW_ID})(?:v[0-9]+)?)"
+        for prefix in ids.ARXIV_PREFIXES
+    ]
+    around = ["", " ", "\n", "é", "x", "_", "|", "K"]
+    between = ["", "=", " = ", "=\u00a0", ":", ": ", " "]
+    cases = (  # extractor, plain patterns, leads, what follows them
+        (ids.arxiv, arxiv, ["arxiv", "ArXiv", "//arxiv.org/", "//arxiv.org/abs/"],
+         ["-", "ab", "K", ".", "/", "ı", "ſ", "\u212a", "1234", "56789", "0706.0001", "v1", "\n", "math.gt/", "abc/", "/cd/"]),
+        (ids.isbn, [ids.ISBN], ["isbn", "ISBN", "iſbn", "ısbn", "İSBN"], ["12", "-", "X", "x", ":", "\n", "3"]),
+        (ids.pmid, [ids.PMID_TEMPLATE, ids.PMID_URL],
+         ["pmid", "PMID", "//www.ncbi.nlm.nih.gov/pubmed/"], ["pmc", "12", "3", "é", "_", "\n", " "]),
+        (ids.pmc, [ids.PMC_TEMPLATE, ids.PMC_URL],
+         ["pmc", "Pmc", "//www.ncbi.nlm.nih.gov/pmc/articles/PMC"], ["PMC", "12", "3", "é", "_", "\n", " "]),
+    )
+    rng = random.Random(21)
+    for function, patterns, leads, pieces in cases:
+        texts = [
+            "".join(
+                rng.choice(around) + rng.choice(leads) + rng.choice(between)
+                + "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 6)))
+                for _ in range(rng.randrange(4))
+            )
+            for _ in range(5000)
+        ]
+        expected = []
+        for text in texts:
+            found = []
+            for pattern in patterns:
+                for match in regex.finditer(pattern, text, regex.I):
+                    group = "id" if "id" in match.groupdict() else 1
+                    id_ = match.group(group)
+                    id_ = id_.lower() if function is ids.arxiv else id_
+                    id_ = id_.replace("-", "") if function is ids.isbn else id_
+                    found.append((id_, *match.span(group)))
+            expected.append(found)
+        got = [[(c.id, c.begin, c.end) for c in f] for f in apply(function, texts)]
+        assert sum(map(len, expected)) > 100
+        assert [x for x in zip(texts, got, expected) if x[1] != x[2]] == []
+
+
+def test_long_words_are_linear(apply):
+    texts = ["arxiv=" + "a" * 200_000, "arxiv=" + "a" * 100_000 + "/1234567", "pmid" + " " * 200_000]
+    assert [[c.end - c.begin for c in f] for f in apply(ids.arxiv, texts)] == [[], [100_008], []]
+    assert apply(ids.pmid, texts) == [[], [], []]
+
+
 def test_isbn(apply):
     (found,) = apply(ids.isbn, ["ISBN 0-19-853453-1 isbn=978X ISBN: 99 isbn=-"])
     assert [c.id for c in found] == ["0198534531", "978X", ""]
