@@ -39,7 +39,7 @@ def with_chronological_position(rows: DataFrame) -> DataFrame:
     """
     if "chrono_pos" in rows.columns:
         return rows
-    hourly = rows.withColumn("_hour", F.date_trunc("hour", "ts"))
+    hourly = rows.withColumn("_hour", F.floor(F.unix_seconds("ts") / 3600))
     page_hour = [*PAGE_KEY, "_hour"]
     earlier_hours = (
         Window.partitionBy(*PAGE_KEY).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)

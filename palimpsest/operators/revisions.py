@@ -82,4 +82,13 @@ def minor_flag(minor: Column) -> Column:
 
 
 def iso_timestamp(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """ISO 8601 text in UTC, whatever the session's time zone."""
+    seconds = F.unix_seconds(ts)
+    day = F.date_from_unix_date(F.floor(seconds / 86400).cast("int"))
+    rest = F.pmod(seconds, F.lit(86400))
+
+    def two_digits(value: Column) -> Column:
+        return F.lpad(F.floor(value).cast("string"), 2, "0")
+
+    clock = [two_digits(rest / 3600), two_digits(rest % 3600 / 60), two_digits(rest % 60)]
+    return F.concat(day.cast("string"), F.lit("T"), F.concat_ws(":", *clock), F.lit("Z"))

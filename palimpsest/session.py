@@ -18,6 +18,8 @@ DEFAULTS = {
     # Call-site capture for every column expression costs more than building it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
+# Applied where the cluster sets none: start wide, and let small partitions be merged.
+CLUSTER_DEFAULTS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192"}
 
 
 def session(
@@ -35,6 +37,10 @@ def session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.sparkContext.master.startswith("local"):
+        for key, value in CLUSTER_DEFAULTS.items():
+            if spark.conf.get(key, None) is None:
+                spark.conf.set(key, value)
     return spark
 
 

@@ -97,6 +97,7 @@ CONVERSATION_USER_TEXT = (
 CONVERSATION_COMMENT = f"CASE WHEN turn % 2 = 0 THEN {_cat(chr(39) + 'edit ' + chr(39), _txt('turn'))} END"
 CONVERSATION_MODEL = "CASE WHEN conv_id % 17 = 16 AND turn = 1 THEN '7 bad model' ELSE 'wikitext' END"
 FIRST_TIMESTAMP = "TIMESTAMP '2015-01-01 00:00:00'"
+FIRST_INSTANT = "TIMESTAMP '2015-01-01T00:00:00Z'"
 
 
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
@@ -147,7 +148,7 @@ def conversation_revisions(
         "rev_pos",
         F.expr(CONVERSATION_REV_ID).alias("rev_id"),
         F.expr(CONVERSATION_PARENT_ID).alias("parent_id"),
-        F.expr(f"timestampadd(HOUR, {CONVERSATION_HOUR}, {FIRST_TIMESTAMP})").alias("ts"),
+        F.expr(f"timestampadd(HOUR, {CONVERSATION_HOUR}, {FIRST_INSTANT})").alias("ts"),
         F.when(
             user_text.isNotNull(),
             F.struct(F.expr(CONVERSATION_USER_ID).alias("id"), user_text.alias("text")),
@@ -171,7 +172,7 @@ def document_articles(spark: SparkSession, directory: str) -> DataFrame:
         F.lit(0).alias("rev_pos"),
         (F.col("doc_id") + 1).alias("rev_id"),
         F.lit(None).cast("bigint").alias("parent_id"),
-        F.expr(FIRST_TIMESTAMP).alias("ts"),
+        F.expr(FIRST_INSTANT).alias("ts"),
         F.lit(None).cast("struct<id:bigint,text:string>").alias("user"),
         F.lit(False).alias("minor"),
         F.lit(None).cast("string").alias("comment"),

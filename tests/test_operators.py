@@ -192,6 +192,21 @@ def test_contributor(spark):
     ]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_iso_timestamp_in_any_time_zone(spark, zone):
+    instants = [0, -1, 1_446_355_800, 1_446_359_400, 1_425_798_000, 253_402_300_799]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        table = spark.createDataFrame([(i,) for i in instants], "s bigint")
+        got = table.select("s", rev.iso_timestamp(F.timestamp_seconds("s")).alias("t")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    epoch = datetime(1970, 1, 1)
+    assert {r.s: r.t for r in got} == {
+        i: (epoch + timedelta(seconds=i)).strftime("%Y-%m-%dT%H:%M:%SZ") for i in instants
+    }
+
+
 def test_counters(spark):
     rows = [("f", "a", True), ("f", "a", False), ("f", "b", False), ("g", "a", True)]
     table = spark.createDataFrame(rows, "source_file string, name string, is_last boolean")
