@@ -21,6 +21,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def let_sql(value: Column, lambda_sql: str) -> Column:
+    """``let`` with the body as a SQL lambda ``name -> expression``.
+
+    For bodies of many small steps that are built often: one call to the JVM parses the text,
+    where the column API makes several for each step.
+    """
+    return F.get(F.call_function("transform", F.array(value), F.expr(lambda_sql)), F.lit(0))
+
+
 def prefix_scan(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
     """Inclusive scan of an array with an associative ``combine``.
 
@@ -43,11 +52,6 @@ def prefix_scan(values: Column, combine: Callable[[Column, Column], Column]) ->
     return let(values, scan)
 
 
-def prefix_sum(values: Column) -> Column:
-    """Running sum of an integer array."""
-    return prefix_scan(values, lambda x, left: x + F.coalesce(left, F.lit(0)))
-
-
 def prefix_max(values: Column) -> Column:
     """Running maximum of an array; NULL elements are ignored."""
     return prefix_scan(values, lambda x, left: F.greatest(x, left))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from palimpsest.functions.arrays import let, prefix_sum
+from palimpsest.functions.arrays import let, let_sql
 
 # What counts as an HTML comment, and as blank when trimming.
 COMMENT = r"(?s)<!--.*?-->"
@@ -42,50 +42,39 @@ def strip_blanks(text: Column) -> Column:
     return F.regexp_replace(text, BLANK_EDGES, "")
 
 
+def _sql_string(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def locate_all(text: Column, pattern: str, tail: bool = False) -> Column:
     """Every match of ``pattern`` as ``array<struct<raw, begin, end[, tail]>>``.
 
     ``begin`` and ``end`` are half-open code-point offsets.  They come from the lengths of
     the pieces between matches, which costs one more pass over texts that do match and
-    nothing on texts that do not.  ``tail`` is the text between a match and the next one.
+    nothing on texts that do not.  The lengths are summed up in log2(n) passes: adding to an
+    array one by one would copy it n times.  ``tail`` is the text between a match and the
+    next one.
     """
+    p = _sql_string(pattern)
     fields = "raw:string,begin:int,end:int" + (",tail:string" if tail else "")
-    none = F.array().cast(f"array<struct<{fields}>>")
-
-    def build(t: Column, matches: Column) -> Column:
-        def place(pieces: Column) -> Column:
-            ends = prefix_sum(
-                F.zip_with(
-                    F.slice(pieces, F.lit(1), F.size(matches)),
-                    matches,
-                    lambda gap, raw: F.length(gap) + F.length(raw),
-                )
-            )
-            spans = F.zip_with(
-                matches,
-                ends,
-                lambda raw, end: F.struct(
-                    raw.alias("raw"), (end - F.length(raw)).alias("begin"), end.alias("end")
-                ),
-            )
-            if not tail:
-                return spans
-            return F.transform(
-                spans,
-                lambda s, i: F.struct(
-                    s["raw"].alias("raw"),
-                    s["begin"].alias("begin"),
-                    s["end"].alias("end"),
-                    F.get(pieces, i + 1).alias("tail"),
-                ),
-            )
-
-        return let(F.split(t, pattern, -1), place)
-
-    def find(t: Column) -> Column:
-        return let(
-            F.regexp_extract_all(t, F.lit(pattern), F.lit(0)),
-            lambda m: F.when(F.size(m) == 0, none).otherwise(build(t, m)),
-        )
-
-    return let(text, find)
+    spans = """
+        zip_with(matches, ends, (raw, last) ->
+          named_struct('raw', raw, 'begin', last - length(raw), 'end', last))"""
+    if tail:
+        spans = f"""
+        transform({spans}, (m, i) -> named_struct(
+          'raw', m.raw, 'begin', m.begin, 'end', m.`end`, 'tail', get(pieces, i + 1)))"""
+    ends = """
+        aggregate(
+          sequence(0, length(bin(size(matches))) - 1),
+          zip_with(slice(pieces, 1, size(matches)), matches, (gap, raw) -> length(gap) + length(raw)),
+          (sums, k) -> transform(
+            sums, (s, i) -> s + coalesce(get(sums, i - shiftleft(1, k)), 0)))"""
+    return let_sql(
+        text,
+        f"""t -> get(transform(array(regexp_extract_all(t, {p}, 0)), matches ->
+          CASE WHEN size(matches) = 0 THEN CAST(array() AS array<struct<{fields}>>)
+          ELSE get(transform(array(split(t, {p}, -1)), pieces ->
+            get(transform(array({ends}), ends -> {spans}), 0)), 0) END), 0)""",
+    )

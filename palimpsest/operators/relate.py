@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from palimpsest.functions import identifiers, wikitext
-from palimpsest.functions.arrays import let, prefix_max
+from palimpsest.functions.arrays import let, let_sql
 from palimpsest.functions.matching import is_bibliography
 
 SectionFilter = Callable[[Column], Column]
@@ -34,56 +34,34 @@ def contained(points: Column, intervals: Column) -> Column:
     n log n steps where testing all pairs takes n * m, which is only cheaper while few.
     """
 
-    def test_pairs(spans: Column, containers: Column) -> Column:
-        return F.transform(
-            spans,
-            lambda p: F.exists(
-                containers, lambda c: (c["begin"] <= p["begin"]) & (p["end"] <= c["end"])
-            ),
-        )
-
-    def choose(spans: Column, containers: Column) -> Column:
-        n, m = F.size(spans), F.size(containers)
-        return F.when(n * m <= (n + m) * PAIRS_PER_MARK, test_pairs(spans, containers)).otherwise(
-            sweep(spans, containers)
-        )
-
-    def sweep(spans: Column, containers: Column) -> Column:
-        marks = F.sort_array(
-            F.concat(
-                F.transform(
-                    containers,
-                    lambda s: F.struct(
-                        s["begin"].alias("at"), F.lit(-1).alias("point"), s["end"].alias("end")
-                    ),
-                ),
-                F.transform(
-                    spans,
-                    lambda s, i: F.struct(
-                        s["begin"].alias("at"), i.cast("int").alias("point"), s["end"].alias("end")
-                    ),
-                ),
-            )
-        )
-
-        def test(sorted_marks: Column) -> Column:
-            reach = prefix_max(
-                F.transform(sorted_marks, lambda m: F.when(m["point"] < 0, m["end"]))
-            )
-            tested = F.zip_with(
-                sorted_marks,
-                reach,
-                lambda m, r: F.struct(
-                    m["point"].alias("point"),
-                    F.coalesce(m["end"] <= r, F.lit(False)).alias("inside"),
-                ),
-            )
-            in_order = F.sort_array(F.filter(tested, lambda m: m["point"] >= 0))
-            return F.transform(in_order, lambda m: m["inside"])
-
-        return let(marks, test)
-
-    return let(points, lambda p: let(intervals, lambda i: choose(p, i)))
+    pairs = """
+        transform(both.points, p ->
+          exists(both.intervals, c -> c.begin <= p.begin AND p.`end` <= c.`end`))"""
+    marks = """
+        sort_array(concat(
+          transform(both.intervals, c -> named_struct('at', c.begin, 'point', -1, 'end', c.`end`)),
+          transform(both.points, (p, i) -> named_struct('at', p.begin, 'point', i, 'end', p.`end`))))"""
+    reach = """
+        aggregate(
+          sequence(0, length(bin(size(marks))) - 1),
+          transform(marks, m -> CASE WHEN m.point < 0 THEN m.`end` END),
+          (reach, k) -> transform(
+            reach, (r, i) -> greatest(r, get(reach, i - shiftleft(1, k)))))"""
+    sweep = f"""
+        get(transform(array({marks}), marks ->
+          transform(
+            sort_array(filter(
+              zip_with(marks, {reach}, (m, r) ->
+                named_struct('point', m.point, 'inside', coalesce(m.`end` <= r, false))),
+              m -> m.point >= 0)),
+            m -> m.inside)), 0)"""
+    return let_sql(
+        F.struct(points.alias("points"), intervals.alias("intervals")),
+        f"""both -> CASE
+          WHEN size(both.points) * size(both.intervals)
+            <= (size(both.points) + size(both.intervals)) * {PAIRS_PER_MARK}
+          THEN {pairs} ELSE {sweep} END""",
+    )
 
 
 def section_filter(kind: str | None, language: str | None = None) -> SectionFilter | None:
