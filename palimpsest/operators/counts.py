@@ -45,14 +45,20 @@ def class_counts(rows: DataFrame, classes: str, names: tuple[str, ...]) -> DataF
 
     Classes that never occur are reported with 0.
     """
+    per_row = rows.select(
+        "source_file", "is_last", *[_occurrences(F.col(classes), n).alias(n) for n in names]
+    )
     sums = []
     for name in names:
-        n = _occurrences(F.col(classes), name)
-        sums.append(F.sum(n).alias(f"all_{name}"))
-        sums.append(F.sum(F.when(F.col("is_last"), n).otherwise(0)).alias(f"last_{name}"))
-    summed = rows.groupBy("source_file").agg(*sums)
+        sums.append(F.sum(name).alias(f"all_{name}"))
+        sums.append(F.sum(F.when(F.col("is_last"), F.col(name)).otherwise(0)).alias(f"last_{name}"))
+    summed = per_row.groupBy("source_file").agg(*sums)
     entries = [
-        F.struct(F.lit(scope).alias("scope"), F.lit(name).alias("key"), F.col(f"{prefix}_{name}").alias("count"))
+        F.struct(
+            F.lit(scope).alias("scope"),
+            F.lit(name).alias("key"),
+            F.col(f"{prefix}_{name}").alias("count"),
+        )
         for scope, prefix in ((GLOBAL, "all"), (LAST, "last"))
         for name in names
     ]
