@@ -44,6 +44,9 @@ def session(
     return spark
 
 
+_local_folders: dict[str, str] = {}
+
+
 def working_folder(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: the session's ``spark.checkpoint.dir``.
 
@@ -54,9 +57,10 @@ def working_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="palimpsest-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="palimpsest-")
+    return _local_folders[application]
 
 
 def staged(rows: DataFrame, name: str) -> DataFrame:
