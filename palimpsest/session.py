@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +46,27 @@ def session(
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application.
+
+    Functions that run in workers import it; workers need not have it installed.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        with tempfile.TemporaryDirectory() as folder:
+            copy = Path(folder) / "copy"
+            shutil.copytree(
+                package, copy / package.name, ignore=shutil.ignore_patterns("__pycache__")
+            )
+            keep = tempfile.mkdtemp(prefix="palimpsest-package-")
+            context.addPyFile(shutil.make_archive(f"{keep}/{package.name}", "zip", copy))
+        _shipped.add(context.applicationId)
+
+
 _local_folders: dict[str, str] = {}
 
 
@@ -63,7 +86,7 @@ def working_folder(spark: SparkSession) -> str:
     return _local_folders[application]
 
 
-def staged(rows: DataFrame, name: str) -> DataFrame:
+def staged(rows: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``rows`` once to the working folder and read them back.
 
     A job derives features and counters from the same captures.  Staging the captures, which
@@ -72,5 +95,5 @@ def staged(rows: DataFrame, name: str) -> DataFrame:
     """
     spark = rows.sparkSession
     path = f"{working_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
+    rows.write.parquet(path, compression=compression)
     return spark.read.schema(rows.schema).parquet(path)
