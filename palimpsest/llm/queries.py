@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from palimpsest.llm.packing import pack
 from palimpsest.llm.token_counts import token_counts
+from palimpsest.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -15,8 +19,13 @@ ORACLE: dict[str, str] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def shipped(spark: SparkSession, directory: str) -> DataFrame:
+        ship_package(spark)
+        return function(spark, directory)
+
+    QUERIES[function.__name__] = shipped
+    return shipped
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -27,3 +36,19 @@ def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 def op1_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts(_table(spark, directory, "documents"), path, limit=4096)
+
+
+@query
+def op10_packing(spark: SparkSession, directory: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = pack(_table(spark, directory, "documents"), path, window=1024, end_id=0)
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+        "padded",
+    )

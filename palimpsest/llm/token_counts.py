@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from palimpsest.llm.memory import trim
+
 #: Merged pre-tokens that a worker keeps besides those of the batch at hand, and their length.
 MEMORY_ENTRIES = 600_000
 MEMORY_CHARS = 128
@@ -111,13 +113,8 @@ class Shortcut:
         new_spaced = self._learn(self.spaced, spaced, False)
         one, other = self.plain.__getitem__, self.spaced.__getitem__
         found = [sum(map(other if id(row) in odd else one, row)) for row in plain]
-        for memory, learned in ((self.plain, new), (self.spaced, new_spaced)):
-            for unit in learned:
-                if len(unit) > MEMORY_CHARS:
-                    del memory[unit]
-            if len(memory) > MEMORY_ENTRIES:
-                memory.clear()
-                memory.update(self.seed(memory is self.plain))
+        trim(self.plain, new, MEMORY_ENTRIES, MEMORY_CHARS)
+        trim(self.spaced, new_spaced, MEMORY_ENTRIES, MEMORY_CHARS)
         return found
 
     def seed(self, plain: bool) -> dict[str, int]:
@@ -173,7 +170,7 @@ def token_counts(docs: DataFrame, path: str, limit: int) -> DataFrame:
                 n_bytes = pa.compute.binary_length(column).cast(pa.int64())
                 n_tokens = pa.array(counter.counts(texts), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [ids, n_bytes, n_tokens], ["doc_id", "n_bytes", "n_tokens"]
+                    [ids, n_bytes, n_tokens], schema.names
                 )
 
     counted = rows.mapInArrow(count, schema)
