@@ -9,13 +9,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palimpsest.llm.oracle import ORACLE
 from palimpsest.llm.packing import pack
+from palimpsest.llm.substring_dedup import substring_dedup, with_digest
+from palimpsest.llm.suffix_dedup import suffix_dedup
 from palimpsest.llm.token_counts import token_counts
 from palimpsest.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
 
 
 def query(function: Query) -> Query:
@@ -52,3 +55,13 @@ def op10_packing(spark: SparkSession, directory: str) -> DataFrame:
         "offset",
         "padded",
     )
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return with_digest(substring_dedup(_table(spark, directory, "documents"), size=13))
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return with_digest(suffix_dedup(_table(spark, directory, "documents"), size=50))
