@@ -22,7 +22,7 @@ removed AS (SELECT doc_id, list(j) AS js FROM gone GROUP BY doc_id)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
   CAST(coalesce(len(js), 0) AS BIGINT) AS n_removed,
   sha256(CASE WHEN js IS NULL THEN array_to_string(words, ' ') ELSE array_to_string(list_transform(
-    list_filter(range(1, len(words) + 1), j -> NOT list_contains(js, j)), j -> words[j]), ' ') END
+    list_filter(range(1, len(words) + 1), lambda j: NOT list_contains(js, j)), lambda j: words[j]), ' ') END
   ) AS kept_sha256
 FROM docs LEFT JOIN removed USING (doc_id)
 """
