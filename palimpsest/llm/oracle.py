@@ -28,7 +28,29 @@ FROM docs LEFT JOIN removed USING (doc_id)
 """
 
 
+VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98
+),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT a AS vec_id, CAST((SELECT count(*) FROM links WHERE links.a = reach.a) AS BIGINT) AS n_links,
+  min(b) AS component_id, a = min(b) AS kept
+FROM reach GROUP BY reach.a
+"""
+
+
 ORACLE = {
+    "op7_embedding_dedup": VECTORS,
     "op6_substring_dedup": repeats(13),
     "op8_suffix_dedup": repeats(50),
 }

@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palimpsest.llm.embedding_dedup import embedding_dedup
 from palimpsest.llm.oracle import ORACLE
 from palimpsest.llm.packing import pack
 from palimpsest.llm.substring_dedup import substring_dedup, with_digest
@@ -65,3 +66,8 @@ def op6_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def op8_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return with_digest(suffix_dedup(_table(spark, directory, "documents"), size=50))
+
+
+@query
+def op7_embedding_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return embedding_dedup(_table(spark, directory, "embeddings"), threshold=0.98)
