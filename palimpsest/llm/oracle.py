@@ -49,7 +49,37 @@ FROM reach GROUP BY reach.a
 """
 
 
+NEAR = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, {WORDS} AS words FROM documents WHERE doc_id IS NOT NULL
+),
+bags AS (
+  SELECT doc_id, shingle, count(*) AS c FROM (
+    SELECT doc_id, unnest(CASE WHEN len(words) < 5 THEN [array_to_string(words, ' ')] ELSE
+      list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END
+    ) AS shingle
+    FROM docs WHERE len(words) > 0
+  ) GROUP BY ALL
+),
+sizes AS (SELECT doc_id, sum(c) AS n FROM bags GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, sum(least(x.c, y.c)) AS c
+  FROM bags x JOIN bags y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM common JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+  WHERE CAST(c AS DOUBLE) / CAST(s.n + t.n - c AS DOUBLE) >= 0.8
+),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT a AS doc_id, min(b) AS class_id, a = min(b) AS kept FROM reach GROUP BY a
+"""
+
+
 ORACLE = {
+    "op5_minhash_dedup": NEAR,
     "op7_embedding_dedup": VECTORS,
     "op6_substring_dedup": repeats(13),
     "op8_suffix_dedup": repeats(50),

@@ -13,14 +13,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def block_pairs(rows: DataFrame, group: str, member: str, size: int) -> DataFrame:
+def block_pairs(
+    rows: DataFrame, group: str, member: str, size: int, weight: str | None = None, most: int = 0
+) -> DataFrame:
     """``rows`` with ``left`` and ``right`` block numbers and ``side``, once for each block pair.
 
     Members of groups of one are left out.  ``side`` is 0 for members of the left block, 1 for
-    those of the right; in the pair of a block with itself all are on side 0.
+    those of the right; in the pair of a block with itself all are on side 0.  Blocks are made so
+    many that each has some ``size`` members, and where ``weight`` is named, ``most`` of that.
     """
-    sizes = rows.groupBy(group).agg(F.count("*").alias("members")).filter("members > 1")
-    cut = rows.join(sizes, group).withColumn("blocks", F.ceil(F.col("members") / size).cast("int"))
+    blocks = F.ceil(F.count("*") / size)
+    if weight:
+        blocks = F.greatest(blocks, F.ceil(F.sum(weight) / most))
+    sizes = rows.groupBy(group).agg(F.count("*").alias("members"), blocks.cast("int").alias("blocks"))
+    cut = rows.join(sizes.filter("members > 1"), group)
     cut = cut.withColumn("own", F.pmod(F.xxhash64(member), "blocks").cast("int"))
     return (
         cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

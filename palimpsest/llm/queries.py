@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.embedding_dedup import embedding_dedup
+from palimpsest.llm.minhash import near_duplicates
 from palimpsest.llm.oracle import ORACLE
 from palimpsest.llm.packing import pack
 from palimpsest.llm.substring_dedup import substring_dedup, with_digest
@@ -71,3 +72,8 @@ def op8_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def op7_embedding_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return embedding_dedup(_table(spark, directory, "embeddings"), threshold=0.98)
+
+
+@query
+def op5_minhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return near_duplicates(_table(spark, directory, "documents"), similarity=0.8, shingle=5)
