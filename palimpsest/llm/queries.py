@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.embedding_dedup import embedding_dedup
 from palimpsest.llm.minhash import near_duplicates
+from palimpsest.llm.mixing import mix
 from palimpsest.llm.oracle import ORACLE
 from palimpsest.llm.packing import pack
+from palimpsest.llm.quality_rules import quality_rules
 from palimpsest.llm.substring_dedup import substring_dedup, with_digest
 from palimpsest.llm.suffix_dedup import suffix_dedup
 from palimpsest.llm.token_counts import token_counts
@@ -77,3 +79,27 @@ def op7_embedding_dedup(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def op5_minhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return near_duplicates(_table(spark, directory, "documents"), similarity=0.8, shingle=5)
+
+
+@query
+def op2_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
+    return quality_rules(_table(spark, directory, "documents"), _table(spark, directory, "labels"))
+
+
+#: Domains of documents as the labels tell them, and the weights that a mixture should have.
+DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 0 THEN 'poor' WHEN quality = 1 THEN 'good' END"
+TARGETS = {"good": 0.94, "poor": 0.03, "toxic": 0.03}
+
+
+@query
+def op4_mixing(spark: SparkSession, directory: str) -> DataFrame:
+    docs = _table(spark, directory, "documents").select("doc_id", "text")
+    labelled = _table(spark, directory, "labels").select("doc_id", F.expr(DOMAIN).alias("domain"))
+    rows = mix(docs, labelled, TARGETS, anchor="good")
+    return rows.select(
+        "doc_id",
+        F.col("mix_tokens").alias("n_tokens"),
+        *(F.col("mix_posterior")[i].alias(f"p_{name}") for i, name in enumerate(TARGETS)),
+        F.col("mix_rate").alias("rate"),
+        F.col("mix_copies").alias("copies"),
+    )
