@@ -78,7 +78,38 @@ SELECT a AS doc_id, min(b) AS class_id, a = min(b) AS kept FROM reach GROUP BY a
 """
 
 
+URLS = r"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+),
+urls AS (
+  SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(h) + 1), '^[^?#]*') AS path
+  FROM (SELECT *, regexp_extract(rest, '^[^/?#]*') AS h FROM parts)
+),
+rules(rule_host, rule_path, rule_verdict) AS (VALUES
+  ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+),
+fits AS (
+  SELECT *, rule_host || rule_path AS rule, row_number() OVER (
+    PARTITION BY page_id, host, path ORDER BY length(rule_host || rule_path) DESC, rule_host || rule_path
+  ) AS place
+  FROM (SELECT DISTINCT page_id, host, path FROM urls) u JOIN rules
+  ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, rule, coalesce(rule_verdict, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict,
+  listed
+FROM (
+  SELECT *, list_has_any(string_split_regex(host, '[.-]'), ['ads', 'adult', 'bets', 'casino', 'gambling',
+    'malware', 'pills', 'poker', 'porn', 'spam', 'warez']) AS listed FROM urls
+) LEFT JOIN (SELECT page_id, host, path, rule, rule_verdict FROM fits WHERE place = 1) USING (page_id, host, path)
+"""
+
+
 ORACLE = {
+    "op3_url_filters": URLS,
     "op5_minhash_dedup": NEAR,
     "op7_embedding_dedup": VECTORS,
     "op6_substring_dedup": repeats(13),

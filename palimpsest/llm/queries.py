@@ -18,6 +18,7 @@ from palimpsest.llm.quality_rules import quality_rules
 from palimpsest.llm.substring_dedup import substring_dedup, with_digest
 from palimpsest.llm.suffix_dedup import suffix_dedup
 from palimpsest.llm.token_counts import token_counts
+from palimpsest.llm.url_filters import Rule, hosts_with_terms, url_filter
 from palimpsest.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +104,20 @@ def op4_mixing(spark: SparkSession, directory: str) -> DataFrame:
         F.col("mix_rate").alias("rate"),
         F.col("mix_copies").alias("copies"),
     )
+
+
+# The rules, and the terms of which a listed host holds one.
+RULES = (
+    Rule("org", "/", "allow"),
+    Rule("example.org", "/es/", "block"),
+    Rule("example.org", "/en/1", "block"),
+    Rule("com", "/fr/", "allow"),
+    Rule("com", "/de/", "block"),
+)
+TERMS = ("ads", "adult", "bets", "casino", "gambling", "malware", "pills", "poker", "porn", "spam", "warez")
+
+
+@query
+def op3_url_filters(spark: SparkSession, directory: str) -> DataFrame:
+    pages = _table(spark, directory, "pages").select("page_id", "url")
+    return url_filter(pages, hosts_with_terms(pages, TERMS), RULES)
