@@ -14,6 +14,7 @@ from palimpsest.llm.minhash import near_duplicates
 from palimpsest.llm.mixing import mix
 from palimpsest.llm.oracle import ORACLE
 from palimpsest.llm.packing import pack
+from palimpsest.llm.quality_classifier import quality_scores
 from palimpsest.llm.quality_rules import quality_rules
 from palimpsest.llm.substring_dedup import substring_dedup, with_digest
 from palimpsest.llm.suffix_dedup import suffix_dedup
@@ -121,3 +122,8 @@ TERMS = ("ads", "adult", "bets", "casino", "gambling", "malware", "pills", "poke
 def op3_url_filters(spark: SparkSession, directory: str) -> DataFrame:
     pages = _table(spark, directory, "pages").select("page_id", "url")
     return url_filter(pages, hosts_with_terms(pages, TERMS), RULES)
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, directory: str) -> DataFrame:
+    return quality_scores(_table(spark, directory, "documents"), _table(spark, directory, "labels"))
