@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.llm.components import components
@@ -283,3 +283,18 @@ def near_duplicates(
     ).join(named, ["h1", "h2"], "left")
     own = F.coalesce("component", "rep", "doc_id")
     return members.select("doc_id", own.alias("class_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of which one for each class is kept.
+
+    Of rows with equal ids one stays; rows without an id all stay.
+    """
+    found = near_duplicates(docs.select("doc_id", "text"), **options)
+    gone = found.filter("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    named = rows.filter("row.doc_id IS NOT NULL").withColumn("id", F.col("row.doc_id").cast("long"))
+    named = named.join(gone, named["id"] == gone["gone"], "left_anti")
+    first = F.row_number().over(Window.partitionBy("id").orderBy("id"))
+    named = named.withColumn("place", first).filter("place = 1").select("row.*")
+    return named.unionByName(docs.filter("doc_id IS NULL"))

@@ -1,6 +1,6 @@
 """Mixing to target weights with soft membership.
 
-A multinomial classifier, fitted on a labelled table, gives every document the posterior
+A classifier, fitted on a labelled table, gives every document the posterior
 probability of each domain.  Every document then gets a nonnegative rate, such that the
 expected tokens of each domain (the sum over documents of rate x tokens x posterior) match the
 targets.  Rates start at 1 and follow the projected gradient of the squared misfit, with
@@ -35,17 +35,20 @@ TOLERANCE = 1e-7
 
 
 def _units(text: Column, buckets: int) -> Column:
+    """The distinct buckets of a text's units."""
     units = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(UNIT), F.lit(0))
-    return F.transform(units, lambda u: F.pmod(F.xxhash64(u), F.lit(buckets)).cast("int"))
+    return F.array_distinct(F.transform(units, lambda u: F.pmod(F.xxhash64(u), F.lit(buckets)).cast("int")))
 
 
 def classifier(
-    docs: DataFrame, labelled: DataFrame, domains: list[str], buckets: int, shrink: float, labelled_rows: int
+    docs: DataFrame, labelled: DataFrame, domains: list[str], buckets: int, evidence: float, labelled_rows: int
 ) -> DataFrame:
-    """One row: the log priors and, for every bucket, the log likelihood ratios of the domains.
+    """One row: the log odds of each domain without any unit, and for every bucket what it adds.
 
-    A ratio is that of the domain's count to the count expected from all labelled documents,
-    both raised by ``shrink``, so that rare units hardly count.
+    For each bucket the labelled documents of a domain that hold it are counted.  It is a mark
+    of the domain if their share is more than twice that of all labelled documents, by
+    ``evidence`` standard deviations at least; holding a mark then speaks for the domain and not
+    holding it against (a Bernoulli model of the marks).  Other buckets say nothing.
     """
     known = (
         labelled.filter(F.col("domain").isin(domains) & F.col("doc_id").isNotNull())
@@ -55,36 +58,46 @@ def classifier(
         .limit(labelled_rows)
     )
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    per_domain = [F.count_if(F.col("mix_domain") == d).cast("double") for d in domains]
     counts = (
         rows.select("mix_domain", F.explode_outer(_units(F.col("text"), buckets)).alias("bucket"))
         .filter("bucket IS NOT NULL")
         .groupBy("bucket")
-        .agg(*(F.count_if(F.col("mix_domain") == d).alias(f"n{i}") for i, d in enumerate(domains)))
+        .agg(F.array(*per_domain).alias("held"))
     )
+    sizes = rows.agg(F.array(*per_domain).alias("sizes"))
+    none = F.array(*(F.lit(0.0) for _ in domains))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-    dense = every.join(counts, "bucket", "left").fillna(0)
-    numbers = [F.col(f"n{i}") for i in range(len(domains))]
-    table = dense.agg(
-        F.sort_array(F.collect_list(F.struct("bucket", F.array(*numbers).alias("n")))).alias("t"),
-        F.array(*(F.sum(n) for n in numbers)).alias("totals"),
+    dense = every.join(counts, "bucket", "left").select(
+        "bucket", F.coalesce("held", none).alias("held"), sizes.scalar().alias("sizes")
     )
-    total = F.aggregate("totals", F.lit(0.0), lambda s, n: s + n)
-    many = table.select("t", "totals", total.alias("total"))
-
-    def ratios(x):
-        here = F.aggregate(x["n"], F.lit(0.0), lambda s, n: s + n)
-        return F.zip_with(
-            x["n"],
-            F.col("totals"),
-            lambda n, all_n: F.log((n + shrink) / (here * all_n / F.greatest(F.col("total"), F.lit(1)) + shrink)),
+    add = lambda a, b: a + b
+    share = (F.aggregate("held", F.lit(0.5), add) / F.aggregate("sizes", F.lit(1.0), add)).alias("share")
+
+    def sign(held, size):
+        """What holding the bucket and what not holding it adds to the domain's log odds."""
+        expected = size * F.col("share")
+        telling = held - 2 * expected > evidence * F.sqrt(expected * (1 - F.col("share")) + 1)
+        own = (held + 2 * F.col("share")) / (size + 2)
+        present, absent = F.log(own / F.col("share")), F.log((1 - own) / (1 - F.col("share")))
+        return F.struct(
+            F.when(telling, present - absent).otherwise(0.0).alias("present"),
+            F.when(telling, absent).otherwise(0.0).alias("absent"),
         )
 
-    size = known.agg(*(F.count_if(F.col("mix_domain") == d).alias(f"d{i}") for i, d in enumerate(domains)))
-    priors = size.select(F.array(*(F.log(F.col(f"d{i}") + 0.5) for i in range(len(domains)))).alias("p"))
-    return many.select(priors.scalar().alias("priors"), F.transform("t", ratios).alias("weights"))
+    signs = dense.select("*", share).select("bucket", "sizes", F.zip_with("held", "sizes", sign).alias("signs"))
+    return signs.agg(
+        F.array(
+            *(F.first(F.log(F.col("sizes")[i] + 0.5)) + F.sum(F.col("signs")[i]["absent"]) for i in range(len(domains)))
+        ).alias("priors"),
+        F.transform(
+            F.sort_array(F.collect_list(F.struct("bucket", F.transform("signs", lambda x: x["present"]).alias("w")))),
+            lambda x: x["w"],
+        ).alias("weights"),
+    )
 
 
-def with_posteriors(docs: DataFrame, model: DataFrame, domains: list[str], buckets: int) -> DataFrame:
+def with_posteriors(docs: DataFrame, model: DataFrame, buckets: int) -> DataFrame:
     """The documents with ``mix_tokens`` (words) and ``mix_posterior``, in the order of domains."""
     rows = docs.withColumn("mix_model", model.select(F.struct("priors", "weights")).scalar())
     found = _units(F.col("text"), buckets)
@@ -154,7 +167,7 @@ def mix(
     targets: dict[str, float],
     anchor: str | None = None,
     buckets: int = 1 << 16,
-    shrink: float = 50.0,
+    evidence: float = 4.0,
     labelled_rows: int = 200_000,
     max_rate: float = 4.0,
     max_steps: int = 40,
@@ -167,8 +180,8 @@ def mix(
     ``mix_copies`` rounds a rate down or up by a hash of the id.
     """
     domains = list(targets)
-    model = classifier(docs, labelled, domains, buckets, shrink, labelled_rows)
-    rows = staged(with_posteriors(docs, model, domains, buckets), "posteriors")
+    model = classifier(docs, labelled, domains, buckets, evidence, labelled_rows)
+    rows = staged(with_posteriors(docs, model, buckets), "posteriors")
     steps = fit_rates(rows, targets, anchor, max_rate, max_steps)
     chance = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 53)) / F.lit(float(1 << 53))
     return rows.withColumn("mix_rate", _rate(steps, max_rate)).withColumn(
@@ -176,7 +189,9 @@ def mix(
     )
 
 
-def mixed(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Each row of ``mix`` as often as its copies say."""
+def mixed_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], **options) -> DataFrame:
+    """Each row of ``docs``, with its columns, as often as its rate says."""
+    rows = docs.select(F.struct(*docs.columns).alias("mix_row"), "doc_id", "text")
+    found = mix(rows, labelled, targets, **options)
     copies = F.explode(F.array_repeat(F.lit(0), F.col("mix_copies")))
-    return rows.select(*columns, copies.alias("mix_copy")).drop("mix_copy")
+    return found.select("mix_row", copies.alias("mix_copy")).select("mix_row.*")

@@ -225,3 +225,17 @@ def pack(docs: DataFrame, path: str, window: int = 1024, end_id: int = 0) -> Dat
         "offset",
         F.when(F.bit_count("filled") == 1, F.col("filled")).otherwise(window).alias("padded"),
     )
+
+
+def with_checksum(pieces: DataFrame) -> DataFrame:
+    """The pieces with the CRC-32 of their ids in place of the ids."""
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+        "padded",
+    )

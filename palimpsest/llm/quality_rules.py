@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]+"
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 UNIT = r"\p{L}+|\p{N}+|[^\p{L}\p{N}\s]+"
 
 
@@ -55,26 +56,26 @@ def repeat_words(words: Column) -> Column:
     return F.when(F.size(words) > 3, _bind(_bind(windows, repeated), covered)).otherwise(0)
 
 
-def base_counts(docs: DataFrame) -> DataFrame:
-    """The documents with the counts that the base rules judge."""
-    text = F.coalesce("text", F.lit(""))
+def base_counts(text: Column) -> Column:
+    """A struct of the counts that the base rules judge, and their verdict."""
+    text = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD))
-    rows = docs.select(
-        "*",
-        F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("_words"),
-        F.length(F.array_join(F.regexp_extract_all(text, F.lit(SYMBOLS), F.lit(0)), ""))
-        .cast("long")
-        .alias("n_symbols"),
-        _bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-    )
-    n_words, n_repeat = F.col("n_words"), F.col("n_repeat_words")
-    return (
-        rows.withColumn("n_words", F.size("_words").cast("long"))
-        .withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
-        .withColumn("n_repeat_words", repeat_words(F.col("_words")).cast("long"))
-        .withColumn("base_failed", (n_words < 50) | (100 * n_repeat > 50 * n_words))
-        .drop("_words")
-    )
+    symbols = F.length(F.array_join(F.regexp_extract_all(text, F.lit(SYMBOLS), F.lit(0)), ""))
+
+    def counts(words):
+        return F.struct(
+            F.size(words).cast("long").alias("n_words"),
+            F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+            symbols.cast("long").alias("n_symbols"),
+            _bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            repeat_words(words).cast("long").alias("n_repeat_words"),
+        )
+
+    def judged(c):
+        failed = (c["n_words"] < 50) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
+        return F.struct(*(c[name].alias(name) for name in COUNTS), failed.alias("base_failed"))
+
+    return _bind(_bind(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), counts), judged)
 
 
 def grams(text: Column, buckets: int) -> Column:
@@ -124,7 +125,7 @@ def weights(docs: DataFrame, labels: DataFrame, buckets: int, smoothing: float,
     return table.select(F.when(F.col("all_target") > 0, F.transform("t", ratio)).otherwise(zeros).alias("w"))
 
 
-def quality_rules(
+def judged(
     docs: DataFrame,
     labels: DataFrame,
     threshold: float = -0.5,
@@ -132,24 +133,32 @@ def quality_rules(
     smoothing: float = 1.0,
     trusted_rows: int = 200_000,
 ) -> DataFrame:
-    """Base counts, ``score``, ``base_failed`` and ``kept`` for every row of ``docs``."""
-    columns = docs.select("doc_id", "text")
-    ratios = weights(columns, labels, buckets, smoothing, trusted_rows)
+    """Each input row as ``row``, the base counts as ``base``, ``score`` and ``kept``.
+
+    Every expression stands in the plan once, also where a filter on ``kept`` is pushed down.
+    """
+    ratios = weights(docs.select("doc_id", "text"), labels, buckets, smoothing, trusted_rows)
+    rows = docs.select(F.struct(*docs.columns).alias("row")).withColumn("_w", ratios.scalar())
+    text = F.col("row")["text"]
 
     def score(found):
         total = F.aggregate(found, F.lit(0.0), lambda s, g: s + F.col("_w")[g])
         return F.when(F.size(found) > 0, total / F.size(found)).otherwise(0.0)
 
-    rows = base_counts(columns).withColumn("_w", ratios.scalar())
-    rows = rows.withColumn("score", _bind(grams(F.col("text"), buckets), score))
+    rows = rows.select(
+        "row", base_counts(text).alias("base"), _bind(grams(text, buckets), score).alias("score")
+    )
     return rows.select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        "base_failed",
-        (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"),
-        "score",
+        "row", "base", "score", (~F.col("base.base_failed") & (F.col("score") >= threshold)).alias("kept")
     )
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """Base counts, ``base_failed``, ``kept`` and ``score`` for every row of ``docs``."""
+    rows = judged(docs.select("doc_id", "text"), labels, **options)
+    return rows.select("row.doc_id", "base.*", "kept", "score")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns."""
+    return judged(docs, labels, **options).filter("kept").select("row.*")

@@ -13,7 +13,7 @@ from palimpsest.llm.embedding_dedup import embedding_dedup
 from palimpsest.llm.minhash import near_duplicates
 from palimpsest.llm.mixing import mix
 from palimpsest.llm.oracle import ORACLE
-from palimpsest.llm.packing import pack
+from palimpsest.llm.packing import pack, with_checksum
 from palimpsest.llm.quality_classifier import quality_scores
 from palimpsest.llm.quality_rules import quality_rules
 from palimpsest.llm.substring_dedup import substring_dedup, with_digest
@@ -50,17 +50,7 @@ def op1_token_counts(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, directory: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = pack(_table(spark, directory, "documents"), path, window=1024, end_id=0)
-    return pieces.select(
-        "doc_id",
-        "start",
-        "length",
-        F.crc32("ids").alias("ids_crc32"),
-        "doc_tokens",
-        "sequence_id",
-        "offset",
-        "padded",
-    )
+    return with_checksum(pack(_table(spark, directory, "documents"), path, window=1024, end_id=0))
 
 
 @query
