@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.operators.joins import null_safe_join
+
 # The two scopes of every counter.
 GLOBAL = "global"
 LAST = "last_revision"
@@ -40,10 +44,27 @@ def _by_scope(in_all: Column, in_last: Column) -> Column:
     )
 
 
-def class_counts(rows: DataFrame, classes: str, names: tuple[str, ...]) -> DataFrame:
+def source_files(*tables: DataFrame | None) -> DataFrame:
+    """Every ``source_file`` that one of the tables names."""
+    named = [table.select("source_file") for table in tables if table is not None]
+    return reduce(DataFrame.unionByName, named).distinct()
+
+
+def _for_every(sources: DataFrame | None, counted: DataFrame) -> DataFrame:
+    """``counted`` with zeros for the source files that it lacks."""
+    if sources is None:
+        return counted
+    joined = null_safe_join(sources.select("source_file").distinct(), counted, ["source_file"], "left")
+    return joined.fillna(0, [c for c in counted.columns if c != "source_file"])
+
+
+def class_counts(
+    rows: DataFrame, classes: str, names: tuple[str, ...], sources: DataFrame | None = None
+) -> DataFrame:
     """Occurrences of each of ``names`` in the array column ``classes``, per source and scope.
 
-    Classes that never occur are reported with 0.
+    Classes that never occur are reported with 0, and so are all classes for those of
+    ``sources`` that have no rows.
     """
     per_row = rows.select(
         "source_file", "is_last", *[_occurrences(F.col(classes), n).alias(n) for n in names]
@@ -52,7 +73,7 @@ def class_counts(rows: DataFrame, classes: str, names: tuple[str, ...]) -> DataF
     for name in names:
         sums.append(F.sum(name).alias(f"all_{name}"))
         sums.append(F.sum(F.when(F.col("is_last"), F.col(name)).otherwise(0)).alias(f"last_{name}"))
-    summed = per_row.groupBy("source_file").agg(*sums)
+    summed = _for_every(sources, per_row.groupBy("source_file").agg(*sums))
     entries = [
         F.struct(
             F.lit(scope).alias("scope"),
@@ -69,11 +90,14 @@ def _occurrences(values: Column, name: str) -> Column:
     return F.size(F.filter(values, lambda value: value == name))
 
 
-def analyzed(rows: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+def analyzed(
+    rows: DataFrame, pages: DataFrame | None = None, sources: DataFrame | None = None
+) -> DataFrame:
     """``pages_analyzed`` and ``revisions_analyzed`` per source; ``rows`` needs ``is_last``.
 
     A page has exactly one last revision, so pages are counted without a distinct.  Pages
-    that have no revisions only count when the page table is given.
+    that have no revisions only count when the page table is given.  Those of ``sources``
+    without any page are reported with 0.
     """
     seen = rows.select(
         "source_file", F.col("is_last").alias("ends_page"), F.lit(True).alias("is_revision")
@@ -84,10 +108,11 @@ def analyzed(rows: DataFrame, pages: DataFrame | None = None) -> DataFrame:
                 "source_file", F.lit(True).alias("ends_page"), F.lit(False).alias("is_revision")
             )
         )
-    return seen.groupBy("source_file").agg(
+    counted = seen.groupBy("source_file").agg(
         F.count_if("ends_page").alias("pages_analyzed"),
         F.count_if("is_revision").alias("revisions_analyzed"),
     )
+    return _for_every(sources, counted)
 
 
 def grand_total(stats: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.model import HISTORY_BLOCK, PAGE_KEY
+from palimpsest.operators.joins import null_safe_join
 
 # The two kinds of change.
 ADDED = "added"
@@ -34,7 +35,8 @@ def with_chronological_position(rows: DataFrame) -> DataFrame:
     """Add ``chrono_pos``, the dense place of a revision in its page by ``(ts, rev_id)``.
 
     Revisions are counted per page and hour first; an hour's rows are then ranked on their
-    own and shifted by the count of all earlier hours.  A page has at most some 200,000
+    own and shifted by the count of all earlier hours.  Revisions without a timestamp come
+    first, as an hour of their own.  A page has at most some 200,000
     hours, so the second window stays small however many revisions the page has.
     """
     if "chrono_pos" in rows.columns:
@@ -50,7 +52,7 @@ def with_chronological_position(rows: DataFrame) -> DataFrame:
         .select(*page_hour, F.coalesce(F.sum("_n").over(earlier_hours), F.lit(0)).alias("_before"))
     )
     rank = F.row_number().over(Window.partitionBy(*page_hour).orderBy("ts", "rev_id"))
-    return hourly.join(offsets, page_hour).select(
+    return null_safe_join(hourly, offsets, page_hour).select(
         *rows.columns, (F.col("_before") + rank - 1).cast("int").alias("chrono_pos")
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.model import PAGE_KEY
+from palimpsest.operators.joins import null_safe_join
 
 # The export schema's value patterns and enumerations.
 MODEL_PATTERN = r"^[a-zA-Z][\-+./a-zA-Z0-9]*$"
@@ -22,7 +23,7 @@ def dangling_parents(revisions: DataFrame) -> DataFrame:
     """Edges whose parent is not a revision of the same page."""
     edges = revision_edges(revisions).where(F.col("parent_id").isNotNull())
     known = revisions.select(*PAGE_KEY, F.col("rev_id").alias("parent_id"))
-    return edges.join(known, [*PAGE_KEY, "parent_id"], "left_anti").select(
+    return null_safe_join(edges, known, [*PAGE_KEY, "parent_id"], "left_anti").select(
         *PAGE_KEY, "parent_id", "rev_id", "ts"
     )
 

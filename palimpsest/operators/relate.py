@@ -58,8 +58,8 @@ def contained(points: Column, intervals: Column) -> Column:
     return let_sql(
         F.struct(points.alias("points"), intervals.alias("intervals")),
         f"""both -> CASE
-          WHEN size(both.points) * size(both.intervals)
-            <= (size(both.points) + size(both.intervals)) * {PAIRS_PER_MARK}
+          WHEN bigint(size(both.points)) * size(both.intervals)
+            <= (bigint(size(both.points)) + size(both.intervals)) * {PAIRS_PER_MARK}
           THEN {pairs} ELSE {sweep} END""",
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions.text import strip_comments
 from palimpsest.model import ARTICLE_NAMESPACE, HISTORY_BLOCK, PAGE_KEY
+from palimpsest.operators.joins import null_safe_join
 
 
 def articles(revisions: DataFrame) -> DataFrame:
@@ -34,7 +35,7 @@ def with_last_flag(
         .select(*PAGE_KEY, "_last_pos", F.explode(blocks).alias("_block"))
     )
     keyed = rows.withColumn("_block", F.floor(F.col("rev_pos") / block).cast("int"))
-    return keyed.join(last, [*PAGE_KEY, "_block"]).select(
+    return null_safe_join(keyed, last, [*PAGE_KEY, "_block"]).select(
         *rows.columns, (F.col("rev_pos") == F.col("_last_pos")).alias("is_last")
     )
 

@@ -52,5 +52,7 @@ def stats(captures: DataFrame) -> DataFrame:
     )
 
 
-def performance(captures: DataFrame, pages: DataFrame | None = None) -> DataFrame:
-    return analyzed(captures, pages)
+def performance(
+    captures: DataFrame, pages: DataFrame | None = None, sources: DataFrame | None = None
+) -> DataFrame:
+    return analyzed(captures, pages, sources)

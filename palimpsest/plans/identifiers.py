@@ -78,16 +78,18 @@ def diffs(features_: DataFrame) -> DataFrame:
     )
 
 
-def appearance_counts(captures: DataFrame) -> DataFrame:
+def appearance_counts(captures: DataFrame, sources: DataFrame | None = None) -> DataFrame:
     flagged = with_last_flag(captures.drop("ids", "user", "ts", "page_title"))
-    return class_counts(flagged, "appearances", APPEARANCES)
+    return class_counts(flagged, "appearances", APPEARANCES, sources)
 
 
-def stats(captures: DataFrame) -> DataFrame:
-    return appearance_counts(captures).select(
+def stats(captures: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    return appearance_counts(captures, sources).select(
         "source_file", F.lit(IDENTIFIERS).alias("counter"), "scope", "key", "count"
     )
 
 
-def performance(captures: DataFrame, pages: DataFrame | None = None) -> DataFrame:
-    return analyzed(with_last_flag(captures), pages)
+def performance(
+    captures: DataFrame, pages: DataFrame | None = None, sources: DataFrame | None = None
+) -> DataFrame:
+    return analyzed(with_last_flag(captures), pages, sources)

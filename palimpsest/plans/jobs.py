@@ -2,7 +2,7 @@
 
 Each function takes a revisions table, or a page table for page ids, and an output folder;
 features go to ``<output>/<job>/features`` and counters to ``<output>/<job>/stats``, with one
-folder per source file.  ``output=None`` is a dry run: everything is computed, nothing is
+folder per source file, also for files without an article.  ``output=None`` is a dry run: everything is computed, nothing is
 written there.  ``pages``, the article pages of ``read_pages``, adds pages that have no
 revisions to documents and totals.
 """
@@ -15,6 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 
 from palimpsest.functions.identifiers import Extractor
+from palimpsest.operators.counts import source_files
 from palimpsest.operators.relate import section_filter
 from palimpsest.operators.revisions import with_last_flag
 from palimpsest.plans import (
@@ -84,8 +85,13 @@ def extract_bibliography(
     tables.check_compression(compression)
     started = _now()
     captured = staged(bibliography.captured(revisions, language, only_last), "bibliography")
-    result = JobResult(captured, bibliography.stats(captured), bibliography.performance(captured, pages))
-    document = documents.bibliography_document(captured, siteinfo, only_last, pages)
+    sources = staged(source_files(revisions, siteinfo, pages), "sources")
+    result = JobResult(
+        captured,
+        staged(bibliography.stats(captured), "bibliography-stats"),
+        bibliography.performance(captured, pages, sources),
+    )
+    document = documents.bibliography_document(captured, siteinfo, only_last, pages, sources)
     _write_pages(document, output, "extract-bibliography", compression)
     _write_stats(
         result, documents.BIBLIOGRAPHY_STATS, started, output, "extract-bibliography", compression
@@ -109,9 +115,14 @@ def extract_identifiers(
     started = _now()
     captured = identifiers.captured(revisions, keep, only_last, extractors)
     captured = with_last_flag(staged(captured, "identifiers"))
+    sources = staged(source_files(revisions, pages), "sources")
     features = identifiers.features(captured, only_last)
-    result = JobResult(features, identifiers.stats(captured), identifiers.performance(captured, pages))
-    document = documents.identifiers_document(features, only_last, pages)
+    result = JobResult(
+        features,
+        staged(identifiers.stats(captured, sources), "identifier-stats"),
+        identifiers.performance(captured, pages, sources),
+    )
+    document = documents.identifiers_document(features, only_last, pages, sources)
     _write_pages(document, output, "extract-identifiers", compression)
     _write_stats(
         result, documents.IDENTIFIER_STATS, started, output, "extract-identifiers", compression
@@ -130,8 +141,11 @@ def count_sections(
     tables.check_compression(compression)
     started = _now()
     captured = staged(sections_counter.captured(revisions, only_last), "sections")
+    sources = staged(source_files(revisions, pages), "sources")
     result = JobResult(
-        None, sections_counter.stats(captured), sections_counter.performance(captured, pages)
+        None,
+        staged(sections_counter.stats(captured), "section-stats"),
+        sections_counter.performance(captured, pages, sources),
     )
     _write_stats(result, documents.SECTION_STATS, started, output, "count-sections", compression)
     return result

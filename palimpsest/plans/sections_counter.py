@@ -54,5 +54,7 @@ def stats(captures: DataFrame) -> DataFrame:
     return tables[0].unionByName(tables[1]).unionByName(tables[2])
 
 
-def performance(captures: DataFrame, pages: DataFrame | None = None) -> DataFrame:
-    return analyzed(captures, pages)
+def performance(
+    captures: DataFrame, pages: DataFrame | None = None, sources: DataFrame | None = None
+) -> DataFrame:
+    return analyzed(captures, pages, sources)

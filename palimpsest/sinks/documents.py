@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from palimpsest.model import HISTORY_BLOCK
 from palimpsest.operators.counts import GLOBAL, LAST
 from palimpsest.operators.history import ADDED, REMOVED, key_id, key_type
+from palimpsest.operators.joins import null_safe_join
 from palimpsest.operators.revisions import iso_timestamp
 from palimpsest.plans import bibliography, identifiers, sections_counter
 from palimpsest.sinks.tables import check_compression
@@ -115,11 +116,14 @@ def bibliography_document(
     siteinfo: DataFrame | None = None,
     only_last: bool = False,
     pages: DataFrame | None = None,
+    sources: DataFrame | None = None,
 ) -> DataFrame:
     """Fragments of an export document whose texts are the bibliography sections.
 
-    ``pages`` adds the article pages that have no revisions.
+    ``pages`` adds the article pages that have no revisions, ``sources`` the files that have
+    no article.
     """
+    files = _sources(captures if sources is None else sources)
     user = F.col("user")
     contributor = F.when(
         user.isNotNull(),
@@ -153,7 +157,7 @@ def bibliography_document(
         "page", F.col("page_title").alias("title"), F.col("ns"), F.col("page_id").alias("id")
     )
     if siteinfo is None:
-        ends = _ends(_sources(captures), F.lit(EXPORT_ROOT), "</mediawiki>")
+        ends = _ends(files, F.lit(EXPORT_ROOT), "</mediawiki>")
     else:
         site = _xml(
             "siteinfo",
@@ -171,7 +175,9 @@ def bibliography_document(
                 ).alias("namespace")
             ).alias("namespaces"),
         )
-        ends = _ends(siteinfo, F.concat(F.lit(EXPORT_ROOT + "\n"), site), "</mediawiki>")
+        known = siteinfo.select("source_file", site.alias("site"))
+        named = null_safe_join(files, known, ["source_file"], "left")
+        ends = _ends(named, F.concat_ws("\n", F.lit(EXPORT_ROOT), F.col("site")), "</mediawiki>")
     document = _pages(captures, opening, revision, "</page>", only_last).unionByName(ends)
     if pages is not None:
         document = document.unionByName(_pages_without_revisions(pages, opening, "</page>"))
@@ -188,7 +194,10 @@ def _grouped(action: str) -> Column:
 
 
 def identifiers_document(
-    features: DataFrame, only_last: bool = False, pages: DataFrame | None = None
+    features: DataFrame,
+    only_last: bool = False,
+    pages: DataFrame | None = None,
+    sources: DataFrame | None = None,
 ) -> DataFrame:
     """Fragments of the identifier changes; ``features`` needs ``changes`` and ``is_last``."""
     user = F.when(
@@ -210,7 +219,8 @@ def identifiers_document(
         F.lit("\n<revisions>"),
     )
     closing = "</revisions>\n</page>"
-    ends = _ends(_sources(features), F.lit("<root>"), "</root>")
+    files = _sources(features if sources is None else sources)
+    ends = _ends(files, F.lit("<root>"), "</root>")
     document = _pages(features, opening, revision, closing, only_last).unionByName(ends)
     if pages is not None:
         document = document.unionByName(_pages_without_revisions(pages, opening, closing))

@@ -256,3 +256,47 @@ def test_quality(spark):
     ]
     sections = spark.createDataFrame([("a", 1), ("b", 0)], "name string, level int")
     assert [r.name for r in quality.section_level_violations(sections).collect()] == ["b"]
+
+
+def test_contained_with_more_pairs_than_an_int_counts(spark):
+    """50,000 spans among 50,000 intervals."""
+    spans = F.transform(F.sequence(F.lit(1), F.lit(50_000)), lambda i: F.struct((i * 4).alias("begin"), (i * 4 + 2).alias("end")))
+    shifted = F.transform(F.sequence(F.lit(1), F.lit(50_000)), lambda i: F.struct((i * 8 - 1).alias("begin"), (i * 8 + 3).alias("end")))
+    inside = relate.contained(F.col("points"), F.col("intervals"))
+    rows = spark.range(1).select(spans.alias("points"), shifted.alias("intervals")).select(inside.alias("x"))
+    (found,) = rows.select(F.size(F.filter("x", lambda x: x)).alias("n"), F.size("x").alias("all")).collect()
+    assert (found.n, found["all"]) == (25_000, 50_000)
+
+
+def test_missing_source_files_and_timestamps_are_kept(spark):
+    later = START + timedelta(hours=2)
+    rows = [
+        (None, 1, "P", 0, 11, None, None, ["doi:a"]),
+        (None, 1, "P", 1, 12, 11, START, ["doi:a", "doi:b"]),
+        (None, 1, "P", 2, 13, 12, later, ["doi:b"]),
+        ("f", 1, "Q", 0, 21, 99, START, []),
+    ]
+    schema = (
+        "source_file string, page_id bigint, page_title string, rev_pos int, rev_id bigint,"
+        " parent_id bigint, ts timestamp, ids array<string>"
+    )
+    table = spark.createDataFrame(rows, schema)
+    placed = history.with_chronological_position(table).orderBy("rev_id").collect()
+    assert [(r.rev_id, r.chrono_pos) for r in placed] == [(11, 0), (12, 1), (13, 2), (21, 0)]
+    flagged = rev.with_last_flag(table).where("is_last").collect()
+    assert sorted(r.rev_id for r in flagged) == [13, 21]
+    assert [r.rev_id for r in quality.dangling_parents(table).collect()] == [21]
+    spans = {(r.item, r.added_ts, r.removed_ts) for r in history.lifespans(table).collect()}
+    assert spans == {("doi:a", None, later), ("doi:b", START, None)}
+
+
+def test_source_files_without_articles_have_zeros(spark):
+    rows = spark.createDataFrame([("a", True, ["x"])], "source_file string, is_last boolean, classes array<string>")
+    sources = spark.createDataFrame([("a",), ("b",), (None,)], "source_file string")
+    every = counts.source_files(sources, rows)
+    totals = {r.source_file: (r.pages_analyzed, r.revisions_analyzed) for r in counts.analyzed(rows, None, every).collect()}
+    assert totals == {"a": (1, 1), "b": (0, 0), None: (0, 0)}
+    found = counts.class_counts(rows, "classes", ("x", "y"), every).where("scope = 'global'").collect()
+    assert {(r.source_file, r.key, r["count"]) for r in found} == {
+        ("a", "x", 1), ("a", "y", 0), ("b", "x", 0), ("b", "y", 0), (None, "x", 0), (None, "y", 0),
+    }
