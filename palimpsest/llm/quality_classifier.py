@@ -137,7 +137,7 @@ def fit(
     statistic = np.zeros((trees, inner), np.int64)
     threshold = np.full((trees, inner), np.inf)
     leaf = np.zeros((trees, inner + 1))
-    if good.min(initial=1) == good.max(initial=0):
+    if not len(good) or good.min() == good.max():
         return Trees(prior, statistic, threshold, leaf)
     edges = [np.unique(np.quantile(x, np.linspace(0, 1, bins + 1)[1:-1])) for x in rows.T]
     binned = np.column_stack([np.searchsorted(e, x, side="left") for e, x in zip(edges, rows.T, strict=True)])

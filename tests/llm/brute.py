@@ -1,7 +1,12 @@
 """Plain versions of the operators, for small tables."""
 
 import hashlib
+import math
 import re
+from collections import Counter
+
+import regex
+import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -36,3 +41,95 @@ def substring_rows(rows, size=13):
         kept = " ".join(w for w, g in zip(words(text), gone, strict=True) if not g)
         out.append((i, len(gone), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
     return out
+
+
+def jaccard(a, b):
+    """Weighted Jaccard index of two bags."""
+    common = sum((a & b).values())
+    return common / (sum(a.values()) + sum(b.values()) - common)
+
+
+def bag(text, size=5):
+    w = words(text)
+    if not w:
+        return Counter()
+    return Counter(tuple(w[i : i + size]) for i in range(max(len(w) - size + 1, 1)))
+
+
+def least_reachable(nodes, links):
+    label = {n: n for n in nodes}
+
+    def root(n):
+        while label[n] != n:
+            n = label[n]
+        return n
+
+    for a, b in links:
+        a, b = root(a), root(b)
+        label[max(a, b)] = min(a, b)
+    return {n: root(n) for n in nodes}
+
+
+def near_classes(rows, similarity=0.8):
+    """doc rows (id, text) with distinct ids -> class of each id."""
+    bags = {i: bag(text) for i, text in rows if i is not None}
+    by_shingle = {}
+    for i, b in bags.items():
+        for shingle in b:
+            by_shingle.setdefault(shingle, set()).add(i)
+    pairs = {(i, j) for ids in by_shingle.values() for i in ids for j in ids if i < j}
+    links = [(i, j) for i, j in pairs if jaccard(bags[i], bags[j]) >= similarity]
+    return least_reachable(bags, links)
+
+
+def base_counts(text):
+    text = text or ""
+    w = words(text)
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    windows = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+    often = Counter(windows)
+    covered = {i + k for i, x in enumerate(windows) if often[x] > 1 for k in range(3)}
+    n_words, n_repeat = len(w), len(covered)
+    return (
+        n_words,
+        sum(map(len, w)),
+        sum(text.count(c) for c in "#*$%&|<>"),
+        len(lines) - len(set(lines)),
+        n_repeat,
+        n_words < 50 or 100 * n_repeat > 50 * n_words,
+    )
+
+
+def spark_hash(*values):
+    h = 42
+    for v in values:
+        h = xxhash.xxh64_intdigest(v.encode(), h)
+    return h
+
+
+def units(text):
+    return regex.findall(r"\p{L}+|\p{N}+|[^\p{L}\p{N} \t\n\x0b\f\r]+", text or "")
+
+
+def grams(text, buckets=1 << 16):
+    u = units(text)
+    return [spark_hash(x) % buckets for x in u] + [
+        spark_hash(a, b) % buckets for a, b in zip(u, u[1:], strict=False)
+    ]
+
+
+def ratios(docs, good, buckets=1 << 16):
+    """Weights of the buckets, for doc rows (id, text) and the ids of trusted documents."""
+    raw, target = Counter(), Counter()
+    for i, text in docs:
+        g = grams(text)
+        raw.update(g)
+        if i in good:
+            target.update(g)
+    all_raw, all_target = sum(raw.values()) + buckets, sum(target.values()) + buckets
+    return [math.log((target[b] + 1) / all_target) - math.log((raw[b] + 1) / all_raw) for b in range(buckets)]
+
+
+def score(text, weights):
+    g = grams(text)
+    return sum(weights[b] for b in g) / len(g) if g else 0.0
