@@ -7,6 +7,8 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as contract
+from palimpsest.checks.oracle import ORACLE
+from palimpsest.checks.queries import QUERIES
 
 TABLES = ("documents", "pages", "conversations")
 
@@ -25,13 +27,14 @@ def bag(rows, columns):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, database, name):
-    found = contract.queries()[name](spark, SMALL)
-    expected = database.sql(contract.oracle_sql()[name])
+    found = QUERIES[name](spark, SMALL)
+    expected = database.sql(ORACLE[name])
     assert sorted(found.columns) == sorted(expected.columns)
     assert bag(found.collect(), found.columns) == bag(expected.fetchall(), expected.columns)
 
