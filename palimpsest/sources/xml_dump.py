@@ -94,6 +94,8 @@ def read_siteinfo(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     content = F.substring_index(
         F.substring_index(F.col("value"), "</siteinfo>", 1), "<siteinfo>", -1
     )
+    # Other records are not parsed even where a plan works this out ahead of the filter.
+    content = F.when(F.contains("value", F.lit("<siteinfo>")), content)
     site = _parse(_wrap("siteinfo", content), SITEINFO_ELEMENT)
     return chunks.select("source_file", site.alias("site")).select(
         "source_file",
