@@ -345,17 +345,22 @@ LEFT JOIN ranked r ON r.page_id = i.page_id AND r.n = i.last_n + 1""",
         spans("refs", REFERENCE),
         "rd AS ("
         + with_(diffs("SELECT DISTINCT page_id, rev_pos, raw FROM refs", "raw"))
-        + "SELECT page_id, rev_pos, count(*) AS n FROM d GROUP BY ALL)",
+        + "SELECT page_id, rev_pos, count(*) AS n, md5(string_agg(action || ':' || raw, chr(10)"
+        " ORDER BY action || ':' || raw)) AS h FROM d GROUP BY ALL)",
         ids(),
         "idd AS ("
         + with_(diffs("SELECT DISTINCT page_id, rev_pos, type, id FROM ids", "type, id"))
-        + "SELECT page_id, rev_pos, count(*) AS n FROM d GROUP BY ALL)",
+        + "SELECT page_id, rev_pos, count(*) AS n, md5(string_agg(action || ':' || type || ':' || id, chr(10)"
+        " ORDER BY action || ':' || type || ':' || id)) AS h FROM d GROUP BY ALL)",
         SECTIONS,
         BIB_TEXT,
-        "ns AS (SELECT page_id, rev_pos, count(*) AS n FROM sec GROUP BY ALL)",
+        "ns AS (SELECT page_id, rev_pos, count(*) AS n, md5(string_agg(CAST(level AS VARCHAR) || ':' || name,"
+        " chr(10) ORDER BY number)) AS h FROM sec GROUP BY ALL)",
     )
     + """SELECT source_file, page_id, art.rev_id, coalesce(rd.n, 0) AS reference_changes,
   coalesce(idd.n, 0) AS identifier_changes, coalesce(ns.n, 0) AS sections,
+  coalesce(rd.h, md5('')) AS reference_changes_md5, coalesce(idd.h, md5('')) AS identifier_changes_md5,
+  coalesce(ns.h, md5('')) AS sections_md5,
   md5(coalesce(bib.body, '')) AS bibliography_md5
 FROM art LEFT JOIN rd USING (page_id, rev_pos) LEFT JOIN idd USING (page_id, rev_pos)
 LEFT JOIN ns USING (page_id, rev_pos) LEFT JOIN bib USING (page_id, rev_pos)""",

@@ -434,6 +434,11 @@ def reference_diffs(spark, directory):
     )
 
 
+def _changes_md5(changes: str) -> Column:
+    items = F.transform(changes, lambda c: F.concat(c["action"], F.lit(":"), c["item"]))
+    return F.md5(F.array_join(F.sort_array(items), "\n"))
+
+
 @query
 def revision_report_rows(spark, directory):
     report = revision_report.features(conversation_revisions(spark, directory), "en")
@@ -442,8 +447,15 @@ def revision_report_rows(spark, directory):
         "page_id",
         "rev_id",
         F.size("references_diff").cast("bigint").alias("reference_changes"),
+        _changes_md5("references_diff").alias("reference_changes_md5"),
         F.size("identifiers_diff").cast("bigint").alias("identifier_changes"),
+        _changes_md5("identifiers_diff").alias("identifier_changes_md5"),
         F.size("sections").cast("bigint").alias("sections"),
+        F.md5(
+            F.array_join(
+                F.transform("sections", lambda s: F.concat(s["level"].cast("string"), F.lit(":"), s["name"])), "\n"
+            )
+        ).alias("sections_md5"),
         F.md5("bibliography").alias("bibliography_md5"),
     )
 

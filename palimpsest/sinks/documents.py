@@ -21,7 +21,7 @@ from palimpsest.operators.history import ADDED, REMOVED, key_id, key_type
 from palimpsest.operators.joins import null_safe_join
 from palimpsest.operators.revisions import iso_timestamp
 from palimpsest.plans import bibliography, identifiers, sections_counter
-from palimpsest.sinks.tables import check_compression
+from palimpsest.sinks.tables import check_compression, source_name
 
 # The root element of an export document.
 EXPORT_ROOT = (
@@ -38,14 +38,16 @@ KEYS = ("place", "page_id", "rev_pos")
 def write_document(
     fragments: DataFrame, keys: tuple[str, ...], path: str, compression: str | None = None
 ) -> None:
-    """Write ``fragment`` in order of ``keys``, one folder per ``source_file``."""
-    named = fragments.withColumn("source_file", F.coalesce("source_file", F.lit("unknown")))
+    """Write ``fragment`` in order of ``keys``, one folder per source, named as its file is."""
+    named = fragments.withColumn("uri", F.coalesce("source_file", F.lit("unknown"))).withColumn(
+        "source_file", source_name(F.col("source_file"))
+    )
     ranges = [
         F.floor(F.col(key) / HISTORY_BLOCK) if key == "rev_pos" else F.col(key) for key in keys
     ]
     (
-        named.repartitionByRange("source_file", *ranges)
-        .sortWithinPartitions("source_file", *keys)
+        named.repartitionByRange("source_file", "uri", *ranges)
+        .sortWithinPartitions("source_file", "uri", *keys)
         .select("source_file", "fragment")
         .write.partitionBy("source_file")
         .option("compression", check_compression(compression) or "none")

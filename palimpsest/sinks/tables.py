@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.operators.revisions import iso_timestamp
 
 COMPRESSIONS = (None, "gzip")
+PAGES_PER_FILE = 100_000
 
 
 def check_compression(compression: str | None) -> str | None:
@@ -21,14 +22,22 @@ def write_nowhere(rows: DataFrame) -> None:
     rows.write.format("noop").mode("overwrite").save()
 
 
+def source_name(source_file: Column) -> Column:
+    """The folder name of a source's output: the file's own name, without where it lay."""
+    return F.coalesce(F.regexp_extract(source_file, "([^/]*)/*$", 1), F.lit("unknown"))
+
+
 def _by_source(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("source_file", F.coalesce("source_file", F.lit("unknown")))
+    return rows.withColumn("source_file", source_name(F.col("source_file")))
 
 
 def write_csv(
     rows: DataFrame, path: str, header: bool, compression: str | None = None
 ) -> None:
-    """CSV with the columns in order; timestamps as ISO 8601, NULL as an empty field."""
+    """CSV with the columns in order; timestamps as ISO 8601, NULL as an empty field.
+
+    With ``header`` every part file has a header line.
+    """
     columns = [
         iso_timestamp(F.col(f"`{field.name}`")).alias(field.name)
         if field.dataType.typeName() == "timestamp"
@@ -60,6 +69,6 @@ def write_page_ids(pages: DataFrame, path: str, compression: str | None = None)
 
 
 def write_lifespans(spans: DataFrame, path: str, compression: str | None = None) -> None:
-    """Sorted by page and identifier, which also keeps a source file's rows in few tasks."""
-    order = ("source_file", "page_id", "identifier_type", "identifier_id", "added_ts")
-    write_csv(spans.orderBy(*order), path, header=False, compression=compression)
+    """Dealt out by source and block of pages, which keeps files few; rows have no order."""
+    dealt = spans.repartition("source_file", F.floor(F.col("page_id") / PAGES_PER_FILE))
+    write_csv(dealt, path, header=False, compression=compression)
