@@ -20,14 +20,15 @@ DEFAULTS = {
     # Call-site capture for every column expression costs more than building it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
-# Applied where the cluster sets none: start wide, and let small partitions be merged.
-CLUSTER_DEFAULTS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192"}
 
 
 def session(
     name: str, master: str | None = None, shuffle_partitions: int | None = None
 ) -> SparkSession:
-    """A session with ``DEFAULTS``; master and partition count come from the cluster if unset."""
+    """A session with ``DEFAULTS``; master and partition count come from the cluster if unset.
+
+    The number of shuffle partitions has to suit the input, which only the caller knows.
+    """
     builder = SparkSession.builder.appName(name)
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
@@ -39,10 +40,6 @@ def session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.sparkContext.master.startswith("local"):
-        for key, value in CLUSTER_DEFAULTS.items():
-            if spark.conf.get(key, None) is None:
-                spark.conf.set(key, value)
     return spark
 
 

@@ -14,6 +14,7 @@ Two ways to read revisions, both with ``is_last``:
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,9 @@ SITEINFO_ELEMENT = (
 # Surrounding blanks belong to the text: spans count from its first character.
 XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "mode": "FAILFAST"}
 
-# Largest number of file splits whose page carry-over is sent to every task (some 100 bytes
-# each); more than that are joined by shuffle.
-MAX_BROADCAST_SPLITS = 200_000
+# Largest number of file splits whose page carry-over is sent to every task at once (some 100
+# bytes each, 400 at most).  More splits are read as several groups of files.
+MAX_BROADCAST_SPLITS = 500_000
 
 
 def _paths(paths: str | Iterable[str]) -> list[str]:
@@ -213,18 +214,44 @@ def read_revisions(
     between: the end of the page, if it was the last revision, and the head of the next page.
     Within a file split, page heads are carried forward to the revisions that follow; a small
     table with one row per split, built from the page heads alone, carries them over to the
-    next splits.  Texts are read in place and not shuffled.
+    next splits.  Texts are read in place and never shuffled: the table is broadcast, for so
+    many files at once as keep it small.  That table is built when this function is called.
     """
     chunks = _headed_chunks(spark, paths)
-    filled = chunks.mapInArrow(_carry_forward(), _filled_schema(chunks.schema))
     carry = staged(_carry_over(chunks), "page-carry")
-    if carry.count() <= MAX_BROADCAST_SPLITS:
-        carry = F.broadcast(carry)
+    groups = max(1, -(-carry.count() // MAX_BROADCAST_SPLITS))
+    if groups == 1:
+        placed = _placed(chunks, carry)
+    else:
+        # How files are split depends on which of them are read, so each group has its own table.
+        parts = [_file_group(chunks, k, groups) for k in range(groups)]
+        placed = reduce(
+            DataFrame.unionByName, [_placed(p, staged(_carry_over(p), "page-carry")) for p in parts]
+        )
+    if articles_only:
+        placed = placed.where(F.col("ns") == ARTICLE_NAMESPACE)
+    content = F.substring_index(F.col("value"), "</revision>", 1)
+    keys = ["source_file", "page_id", "ns", "page_title", "rev_pos"]
+    return placed.select(
+        *keys,
+        _parse(_wrap("revision", content), REVISION_ELEMENT).alias("revision"),
+        F.contains("value", F.lit("</page>")).alias("is_last"),
+    ).select(*keys, *_revision_columns(F.col("revision")), "is_last")
+
+
+def _file_group(rows: DataFrame, number: int, groups: int) -> DataFrame:
+    """The rows of a share of the files; other files are not opened."""
+    return rows.where(F.pmod(F.xxhash64("source_file"), F.lit(groups)) == number)
+
+
+def _placed(chunks: DataFrame, carry: DataFrame) -> DataFrame:
+    """Revision records with their page and their place in it."""
+    filled = chunks.mapInArrow(_carry_forward(), _filled_schema(chunks.schema))
     page = F.coalesce(F.col("page"), F.col("before"))
     in_split = F.col("page").isNotNull()
-    placed = (
+    return (
         filled.where(F.contains("value", F.lit("</revision>")))
-        .join(carry, ["source_file", "split"], "left")
+        .join(F.broadcast(carry), ["source_file", "split"], "left")
         .select(
             "source_file",
             page["id"].alias("page_id"),
@@ -237,15 +264,6 @@ def read_revisions(
             "value",
         )
     )
-    if articles_only:
-        placed = placed.where(F.col("ns") == ARTICLE_NAMESPACE)
-    content = F.substring_index(F.col("value"), "</revision>", 1)
-    keys = ["source_file", "page_id", "ns", "page_title", "rev_pos"]
-    return placed.select(
-        *keys,
-        _parse(_wrap("revision", content), REVISION_ELEMENT).alias("revision"),
-        F.contains("value", F.lit("</page>")).alias("is_last"),
-    ).select(*keys, *_revision_columns(F.col("revision")), "is_last")
 
 
 def _headed_chunks(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:

@@ -132,9 +132,20 @@ def test_report_document(whole, tmp_path):
     assert first.find("bibliography").text.startswith("== References ==")
 
 
-def test_carry_over_by_shuffle(spark, folder, whole, monkeypatch):
-    monkeypatch.setattr(xml_dump, "MAX_BROADCAST_SPLITS", -1)
-    assert rows(xml_dump.read_revisions(spark, folder)) == rows(whole)
+def test_texts_are_not_shuffled_at_any_number_of_splits(spark, folder, whole, monkeypatch):
+    monkeypatch.setattr(xml_dump, "MAX_BROADCAST_SPLITS", 1)
+    names = ("maxPartitionBytes", "openCostInBytes", "minPartitionNum")
+    for name, value in zip(names, (400, 1, 200)):
+        spark.conf.set(f"spark.sql.files.{name}", str(value))
+    try:
+        read = xml_dump.read_revisions(spark, folder)
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert "Union" in plan and "BroadcastExchange" in plan
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+        assert rows(read) == rows(whole)
+    finally:
+        for name in names:
+            spark.conf.unset(f"spark.sql.files.{name}")
 
 
 def test_compressed_dumps(spark, tmp_path, folder, whole):
