@@ -1,7 +1,7 @@
 """Words of whole texts and hashes of word sequences, vectorised over many texts.
 
 A word is a run of ``[^\\x20\\x09-\\x0D]``.  Its 64-bit hash is a polynomial over its bytes, each
-byte standing for a random odd-or-even 64-bit value, taken from prefix sums and then mixed;
+byte standing for a random 64-bit value, taken from prefix sums and then mixed;
 a window's hash is a polynomial over mixed word hashes in the same way.
 """
 
