@@ -13,6 +13,7 @@ import statistics
 import sys
 import time
 
+from palimpsest.checks import outputs  # noqa: F401
 from palimpsest.checks.queries import QUERIES
 from palimpsest.session import session
 
@@ -32,6 +33,9 @@ HEADLINE = (
     "identifier_diffs",
     "identifier_lifespans",
     "revision_report_rows",
+    # Whole jobs: captures, XML writing, and reading the documents back.
+    "bibliography_document_read_back",
+    "identifiers_document_read_back",
 )
 
 

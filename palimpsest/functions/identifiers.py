@@ -76,6 +76,17 @@ def _capture(kind: str, id_: Column, begin: Column, end: Column) -> Column:
     )
 
 
+def _if_contains(text: Column, literal: str, found: Column) -> Column:
+    """``found`` where the text holds a lower-case literal in any case, else nothing.
+
+    A plain search costs far less than a pattern.  The literals are parts of the patterns
+    without "i", "k" and "s", to which other letters fold.
+    """
+    return F.when(F.contains(F.lower(text), F.lit(literal)), found).otherwise(
+        F.array().cast(CAPTURES)
+    )
+
+
 def arxiv(text: Column) -> Column:
     """arXiv identifiers, lower-cased and without version, one pass per prefix."""
 
@@ -106,10 +117,11 @@ def arxiv(text: Column) -> Column:
         return F.transform(locate_all(t, bare), parse)
 
     def find(t: Column) -> Column:
-        found = F.concat(*[by_prefix(t, prefix) for prefix in ARXIV_PREFIXES])
-        return F.when(F.rlike(t, F.lit(ignore_case("arxiv"))), found).otherwise(
-            F.array().cast(CAPTURES)
-        )
+        found = [
+            _if_contains(t, literal, by_prefix(t, prefix))
+            for prefix, literal in zip(ARXIV_PREFIXES, ("arx", "//arx", "v:"), strict=True)
+        ]
+        return _if_contains(t, "arx", F.concat(*found))
 
     return let(text, find)
 
@@ -236,15 +248,19 @@ def doi(text: Column, overlap: str = "skip") -> Column:
 
         return F.aggregate(locate_all(run["raw"], DOI_START), zero, step, lambda s: s["out"])
 
-    runs = locate_all(text, DOI_RUN)
-    return F.transform(
-        F.flatten(F.transform(runs, in_run)),
-        lambda d: _capture("doi", d["id"], d["begin"], d["end"]),
-    )
+    def find(t: Column) -> Column:
+        dois = F.flatten(F.transform(locate_all(t, DOI_RUN), in_run))
+        return _if_contains(
+            t, "10.", F.transform(dois, lambda d: _capture("doi", d["id"], d["begin"], d["end"]))
+        )
+
+    return let(text, find)
 
 
-def _trailing_group(text: Column, kind: str, pattern: str, drop: str = "") -> Column:
-    """Captures of a pattern whose group 1 is the end of the match."""
+def _trailing_group(
+    text: Column, kind: str, pattern: str, literal: str, drop: str = ""
+) -> Column:
+    """Captures of a pattern whose group 1 is the end of the match; it holds ``literal``."""
     pattern = ignore_case(_word_first(pattern))
 
     def parse(match: Column) -> Column:
@@ -258,12 +274,12 @@ def _trailing_group(text: Column, kind: str, pattern: str, drop: str = "") -> Co
             ),
         )
 
-    return F.transform(locate_all(text, pattern), parse)
+    return _if_contains(text, literal, F.transform(locate_all(text, pattern), parse))
 
 
 def isbn(text: Column) -> Column:
     """ISBNs without dashes; the span covers the dashed form; no check digit test."""
-    return _trailing_group(text, "isbn", ISBN, drop="-")
+    return let(text, lambda t: _trailing_group(t, "isbn", ISBN, "bn", drop="-"))
 
 
 def pmid(text: Column) -> Column:
@@ -271,7 +287,8 @@ def pmid(text: Column) -> Column:
     return let(
         text,
         lambda t: F.concat(
-            _trailing_group(t, "pmid", PMID_TEMPLATE), _trailing_group(t, "pmid", PMID_URL)
+            _trailing_group(t, "pmid", PMID_TEMPLATE, "pm"),
+            _trailing_group(t, "pmid", PMID_URL, ".nlm."),
         ),
     )
 
@@ -281,7 +298,8 @@ def pmc(text: Column) -> Column:
     return let(
         text,
         lambda t: F.concat(
-            _trailing_group(t, "pmc", PMC_TEMPLATE), _trailing_group(t, "pmc", PMC_URL)
+            _trailing_group(t, "pmc", PMC_TEMPLATE, "pmc"),
+            _trailing_group(t, "pmc", PMC_URL, ".nlm."),
         ),
     )
 
