@@ -7,7 +7,8 @@ targets.  Rates start at 1 and follow the projected gradient of the squared misf
 misfits in units of the domain's own tokens and rates in units of a document's; so those
 rates change least whose documents matter least.  The rate of a document is a function of
 its posterior and of the misfits of all steps, a few numbers, so a step is one aggregation of
-a narrow table and nothing is joined.
+a narrow table and nothing is joined.  Rates have no upper limit, and steps go on until the
+targets are matched or shown to be out of reach.
 
 Everything is DataFrame expressions.  The labelled rows are broadcast, at most
 ``labelled_rows`` of them (those with the smallest hashes); word counts and totals cover all
@@ -17,13 +18,15 @@ steps read only tokens and posterior of them.
 Defined results: a null or empty text has 0 tokens and the prior as posterior, and does not
 count for the fit; every row gets a rate, repeated or without an id; an id labelled with
 several domains counts for the least of them; null domains and labels of absent documents are
-ignored; a domain without tokens cannot be reached and is left out of the fit; an empty table
-gives an empty one.  Other columns are carried through; the added ones have names that start
+ignored; a domain without tokens cannot be reached and is left out of the fit; targets that no rates
+reach give the nearest ones and a warning; an empty table gives an empty one.  Other columns are carried through; the added ones have names that start
 with ``mix_``.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +35,9 @@ from palimpsest.session import staged
 
 SEED = 77
 TOLERANCE = 1e-7
+GAP = 1e-3
+STALLED = 1e-6
+STEPS_AT_ONCE = 32
 
 
 def _units(text: Column, buckets: int) -> Column:
@@ -121,44 +127,68 @@ def with_posteriors(docs: DataFrame, model: DataFrame, buckets: int) -> DataFram
     )
 
 
-def _rate(steps: list[list[float]], max_rate: float) -> Column:
+def _rate(steps: list[list[float]], start: Column | None = None) -> Column:
     """A document's rate after the given steps."""
-    rate = F.lit(1.0)
-    for step in steps:
-        move = sum((F.col("mix_posterior")[i] * F.lit(x) for i, x in enumerate(step)), F.lit(0.0))
-        rate = F.least(F.greatest(rate + move, F.lit(0.0)), F.lit(max_rate))
-    return rate
+    start = F.lit(1.0) if start is None else start
 
+    def step(rate, s):
+        return F.greatest(sum((F.col("mix_posterior")[i] * s[i] for i in range(len(steps[0]))), rate), F.lit(0.0))
+
+    return F.aggregate(F.lit(steps), start, step) if steps else start
 
-def fit_rates(
-    rows: DataFrame, targets: dict[str, float], anchor: str | None, max_rate: float, max_steps: int
-) -> list[list[float]]:
-    """The steps of the projected gradient: for each the scaled misfits of the domains."""
-    weights = [w / sum(targets.values()) for w in targets.values()]
-    size = range(len(weights))
 
-    def totals(steps):
-        rate = _rate(steps, max_rate)
-        sums = [F.sum(rate * F.col("mix_tokens") * F.col("mix_posterior")[i]) for i in size]
-        return [x or 0.0 for x in rows.agg(*(s.alias(f"s{i}") for i, s in enumerate(sums))).first()]
+def fit_rates(rows: DataFrame, targets: dict[str, float], anchor: str | None) -> tuple[list[list[float]], list[float], bool]:
+    """The steps of the projected gradient, the tokens each domain then lacks, and if all match.
 
-    first = totals([])
+    A step is the misfits of the domains, scaled.  Steps end once no misfit exceeds the tolerance,
+    or once a bound shows that nonnegative rates cannot have a squared misfit smaller by a
+    thousandth, or once a step hardly changes it.  The bound is the dual one: for prices y with
+    posterior . y <= 0 in every document it is target . y - sum(own tokens x y^2) / 2; the
+    prices are the last step, lowered until that holds.
+    """
+    weights = [w / sum(targets.values()) for w in targets.values()]
+    size = range(len(weights))
+    narrow = rows.filter("mix_tokens > 0").select("mix_tokens", "mix_posterior", F.lit(1.0).alias("mix_rate"))
+
+    def totals(fresh, usable):
+        rate, p = _rate(fresh, F.col("mix_rate")), F.col("mix_posterior")
+        sums = [F.sum(rate * F.col("mix_tokens") * p[i]).alias(f"s{i}") for i in size]
+        last = fresh[-1] if fresh else [0.0 for _ in size]
+        gain = sum((p[i] * F.lit(last[i]) for i in size), F.lit(0.0))
+        held = sum((p[i] for i in size if usable[i]), F.lit(0.0))
+        row = narrow.agg(*sums, F.max(F.when(held > 0, gain / held)).alias("most")).first()
+        return [x or 0.0 for x in row[:-1]], max(row[-1] or 0.0, 0.0)
+
+    first, _ = totals([], [True for _ in size])
+    # A domain of less than a token has nothing to be scaled.
+    usable = [f >= 1 for f in first]
     if anchor is None:
         total = sum(first)
     else:
         at = list(targets).index(anchor)
         total = first[at] / weights[at] if weights[at] else sum(first)
     steps: list[list[float]] = []
-    now = first
-    while len(steps) < max_steps:
+    fresh: list[list[float]] = []
+    now, before, best = first, None, 0.0
+    while True:
         misfit = [w * total - x for w, x in zip(weights, now, strict=True)]
-        # A domain of less than a token has nothing to be scaled.
-        usable = [m if f >= 1 else 0.0 for m, f in zip(misfit, first, strict=True)]
-        if max(map(abs, usable), default=0.0) <= TOLERANCE * max(total, 1.0):
+        reachable = [m for m, u in zip(misfit, usable, strict=True) if u]
+        if max(map(abs, reachable), default=0.0) <= TOLERANCE * max(total, 1.0):
+            break
+        step = [m / f if u else 0.0 for m, f, u in zip(misfit, first, usable, strict=True)]
+        squared = sum(f * s * s for f, s in zip(first, step, strict=True)) / 2
+        if squared - best <= GAP * squared or (before is not None and squared > before * (1 - STALLED)):
             break
-        steps.append([m / f if f >= 1 else 0.0 for m, f in zip(usable, first, strict=True)])
-        now = totals(steps)
-    return steps
+        before = squared
+        steps.append(step)
+        fresh.append(step)
+        now, most = totals(fresh, usable)
+        price = [s - most if u else 0.0 for s, u in zip(step, usable, strict=True)]
+        value = sum(w * total * y - f * y * y / 2 for w, f, y in zip(weights, first, price, strict=True))
+        best = max(best, value)
+        if len(fresh) == STEPS_AT_ONCE:
+            narrow, fresh = staged(narrow.withColumn("mix_rate", _rate(fresh, F.col("mix_rate"))), "rates"), []
+    return steps, misfit, max(map(abs, misfit), default=0.0) <= TOLERANCE * max(total, 1.0)
 
 
 def mix(
@@ -169,22 +199,24 @@ def mix(
     buckets: int = 1 << 16,
     evidence: float = 4.0,
     labelled_rows: int = 200_000,
-    max_rate: float = 4.0,
-    max_steps: int = 40,
 ) -> DataFrame:
-    """``docs`` with ``mix_tokens``, ``mix_posterior``, ``mix_rate`` and ``mix_copies``.
+    """``docs`` with ``mix_tokens``, ``mix_posterior``, ``mix_rate``, ``mix_misfit`` and ``mix_copies``.
 
     ``labelled`` has ``doc_id`` and ``domain``; ``targets`` has the weight of each domain.  The
     expected total is the tokens there are; with ``anchor`` it is the one that leaves the
-    expected tokens of that domain as they are.  Rates lie between 0 and ``max_rate``.
-    ``mix_copies`` rounds a rate down or up by a hash of the id.
+    expected tokens of that domain as they are.  ``mix_misfit`` has the tokens that each domain
+    still lacks; there is a warning if they exceed the tolerance.  ``mix_copies`` rounds a rate
+    down or up by a hash of the id.
     """
     domains = list(targets)
     model = classifier(docs, labelled, domains, buckets, evidence, labelled_rows)
     rows = staged(with_posteriors(docs, model, buckets), "posteriors")
-    steps = fit_rates(rows, targets, anchor, max_rate, max_steps)
+    steps, misfit, matched = fit_rates(rows, targets, anchor)
+    if not matched:
+        warnings.warn(f"targets not reached, tokens lacking: {dict(zip(domains, misfit, strict=True))}", stacklevel=2)
     chance = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    return rows.withColumn("mix_rate", _rate(steps, max_rate)).withColumn(
+    rows = rows.withColumn("mix_rate", _rate(steps)).withColumn("mix_misfit", F.lit(misfit))
+    return rows.withColumn(
         "mix_copies", (F.floor("mix_rate") + (chance < F.col("mix_rate") - F.floor("mix_rate")).cast("int")).cast("int")
     )
 

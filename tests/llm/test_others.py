@@ -199,6 +199,21 @@ def test_mixing_reaches_its_targets(spark, anchor):
     assert {r.mix_rate for r in mix(table.drop("mix_domain").limit(5), labels.limit(0), targets).collect()} is not None
 
 
+def test_mixing_reaches_a_target_of_many_times_the_tokens(spark):
+    rows = [(i, ("rare " if i % 50 == 0 else "plain ") * 40) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "a" if i % 50 else "b") for i in range(1000)], "doc_id long, domain string")
+    found = mix(docs, labels, {"a": 0.7, "b": 0.3}, "a").collect()
+    reached = [sum(r.mix_rate * r.mix_tokens * r.mix_posterior[k] for r in found) for k in (0, 1)]
+    assert reached[1] / sum(reached) == pytest.approx(0.3, abs=1e-5)
+    assert max(r.mix_rate for r in found) > 15
+    # Documents that are all alike cannot be mixed: the misfit is told.
+    alike = docs.withColumn("text", F.lit("same words"))
+    with pytest.warns(UserWarning, match="not reached"):
+        told = mix(alike, labels, {"a": 0.5, "b": 0.5}).first().mix_misfit
+    assert max(map(abs, told)) > 100
+
+
 # -- the pipeline ----------------------------------------------------------------------
 
 
