@@ -8,9 +8,9 @@ log(target / raw), divided by their number; it passes if the score reaches the t
 same threshold holds for every document, whatever the corpus.
 
 The counts are combined before they are shuffled, ``buckets`` rows from each task at most.  The
-weights, one number for each bucket, come back as a scalar subquery.  The ids of the trusted
-rows are broadcast, at most ``trusted_rows`` of them (those with the smallest hashes).  Texts
-are never moved.
+weights, one number for each bucket, come back as a scalar subquery.  All trusted rows count for
+the target: to be marked, texts are dealt out once by id, which is smaller than moving their
+n-grams, and joined with the ids of the trusted rows; a hot id is left to the skew join.
 
 Defined results: a null or empty text has no words, all its counts are 0 and it fails the base
 rules; a text without n-grams has score 0; every row is judged, repeated or without an id; an
@@ -92,16 +92,20 @@ def grams(text: Column, buckets: int) -> Column:
     return _bind(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(UNIT), F.lit(0)), hashed)
 
 
-def trusted(labels: DataFrame, trusted_rows: int) -> DataFrame:
-    """Ids whose labels all say good, at most ``trusted_rows``."""
+def trusted(labels: DataFrame) -> DataFrame:
+    """Ids whose labels all say good."""
     good = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    return good.filter("quality = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_rows).select("doc_id")
+    return good.filter("quality = 1").select("doc_id")
 
 
-def weights(docs: DataFrame, labels: DataFrame, buckets: int, smoothing: float, trusted_rows: int) -> DataFrame:
+def weights(docs: DataFrame, labels: DataFrame, buckets: int, smoothing: float) -> DataFrame:
     """One row: the array of log(target / raw) for all buckets."""
-    known = trusted(labels, trusted_rows).withColumn("target", F.lit(1))
-    rows = docs.select("doc_id", grams(F.col("text"), buckets).alias("grams")).join(F.broadcast(known), "doc_id", "left")
+    known = trusted(labels).withColumn("target", F.lit(1))
+    # A hash table of ids for each part: texts are dealt out by id, but not sorted.
+    named = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    marked = named.join(known.hint("shuffle_hash"), "doc_id", "left").select("target", "text")
+    others = docs.filter("doc_id IS NULL").select(F.lit(None).cast("int").alias("target"), "text")
+    rows = marked.unionByName(others).select("target", grams(F.col("text"), buckets).alias("grams"))
     counts = (
         rows.select("target", F.explode_outer("grams").alias("bucket"))
         .filter("bucket IS NOT NULL")
@@ -131,13 +135,12 @@ def judged(
     threshold: float = -0.5,
     buckets: int = 1 << 16,
     smoothing: float = 1.0,
-    trusted_rows: int = 200_000,
 ) -> DataFrame:
     """Each input row as ``row``, the base counts as ``base``, ``score`` and ``kept``.
 
     Every expression stands in the plan once, also where a filter on ``kept`` is pushed down.
     """
-    ratios = weights(docs.select("doc_id", "text"), labels, buckets, smoothing, trusted_rows)
+    ratios = weights(docs.select("doc_id", "text"), labels, buckets, smoothing)
     rows = docs.select(F.struct(*docs.columns).alias("row")).withColumn("_w", ratios.scalar())
     text = F.col("row")["text"]
 

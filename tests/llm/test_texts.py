@@ -1,5 +1,6 @@
 """Operators on documents against plain versions, on a given table and on awkward rows."""
 
+import math
 import random
 import zlib
 
@@ -9,13 +10,14 @@ import public_tokenizers
 import pytest
 import sentencepiece
 from conftest import SMALL
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import palimpsest.llm.queries as llm
 from palimpsest.llm.minhash import bags, near_duplicates, one_of_each, shingles, signatures
 from palimpsest.llm.packing import Encoder, pack
 from palimpsest.llm.quality_classifier import fit
-from palimpsest.llm.quality_rules import keep_good, quality_rules
+from palimpsest.llm.quality_rules import keep_good, quality_rules, weights
 from palimpsest.llm.repeats import DifferenceCover
 from palimpsest.llm.substring_dedup import substring_dedup, with_digest
 from palimpsest.llm.suffix_dedup import cut_passages, suffix_dedup
@@ -184,6 +186,17 @@ def test_quality_rules_on_awkward_rows(awkward, labels):
     assert quality_rules(awkward.limit(0), labels).collect() == []
 
 
+def test_every_trusted_document_counts(spark):
+    # More trusted rows than were once counted at most; each has a unit of its own bucket or so.
+    n = 200_500
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("good").alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(n, "bad"), (None, "good")], "doc_id long, text string"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    found = weights(docs, labels, 64, 1.0).first().w
+    bucket = brute.spark_hash("good") % 64
+    assert found[bucket] == pytest.approx(math.log((n + 1) / (n + 64)) - math.log((n + 2) / (n + 2 + 64)), abs=1e-12)
+
+
 def test_quality_classifier(spark, rows, labels):
     found = llm.QUERIES["op9_quality_classifier"](spark, SMALL).collect()
     assert len(found) == len(rows)
