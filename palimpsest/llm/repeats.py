@@ -163,12 +163,12 @@ class Block:
             yield int(k), slice(edges[k], edges[k + 1])
 
     def anchor_rows(self) -> Iterator[dict]:
-        text = self.words.text[self.at]
-        low = np.full(len(self.sent), len(self.ids))
-        high = np.zeros(len(self.sent), np.int64)
-        np.minimum.at(low, self.of, text)
-        np.maximum.at(high, self.of, text)
-        several = (self.ids[np.minimum(low, len(self.ids) - 1)] != self.ids[high]) if len(low) else low > 0
+        ids = self.ids[self.words.text[self.at]]
+        limits = np.iinfo(np.int64)
+        low, high = np.full(len(self.sent), limits.max), np.full(len(self.sent), limits.min)
+        np.minimum.at(low, self.of, ids)
+        np.maximum.at(high, self.of, ids)
+        several = low < high
         keys = ((self.sent & U64((1 << 39) - 1)) << U64(1)) | several.astype(U64)
         raw = keys.view(np.uint8).reshape(-1, 8)[:, :ANCHOR_BYTES]
         for bucket, part in self.bucket_slices(self.sent):

@@ -241,6 +241,16 @@ def test_repeats(spark, awkward, rows, size):
     assert operator(awkward.limit(0), size).collect() == []
 
 
+@pytest.mark.parametrize("operator, size", [(substring_dedup, 13), (suffix_dedup, 50)])
+@pytest.mark.parametrize("ids", [(5, 7, 5), (7, 5, 7), (5, 7, 5, None)])
+def test_repeats_of_ids_that_alternate(spark, operator, size, ids):
+    ship_package(spark)
+    rows = [(i, f"t{k} {prose(8, 70)} u{k}") for k, i in enumerate(ids)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    wanted = sorted(map(repr, brute.substring_rows(rows, size)))
+    assert as_set(with_digest(operator(table, size))) == wanted
+
+
 def test_cut_passages_keeps_columns_and_white_space(spark, awkward):
     found = cut_passages(awkward, 50)
     assert found.columns == awkward.columns and found.count() == len(AWKWARD)
