@@ -10,13 +10,14 @@ its posterior and of the misfits of all steps, a few numbers, so a step is one a
 a narrow table and nothing is joined.  Rates have no upper limit, and steps go on until the
 targets are matched or shown to be out of reach.
 
-Everything is DataFrame expressions.  The labelled rows are broadcast, at most
+Everything is DataFrame expressions but the calibration, a small regression on the driver over a
+few numbers for each labelled row.  The labelled rows are broadcast, at most
 ``labelled_rows`` of them (those with the smallest hashes); word counts and totals cover all
 documents.  Documents are written once to the shared folder with their posterior, and the
 steps read only tokens and posterior of them.
 
-Defined results: a null or empty text has 0 tokens and the prior as posterior, and does not
-count for the fit; every row gets a rate, repeated or without an id; an id labelled with
+Defined results: a null or empty text has 0 tokens and the posterior of a text without
+evidence, and does not count for the fit; every row gets a rate, repeated or without an id; an id labelled with
 several domains counts for the least of them; null domains and labels of absent documents are
 ignored; a domain without tokens cannot be reached and is left out of the fit; targets that no rates
 reach give the nearest ones and a warning; an empty table gives an empty one.  Other columns are carried through; the added ones have names that start
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import warnings
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,15 +48,88 @@ def _units(text: Column, buckets: int) -> Column:
     return F.array_distinct(F.transform(units, lambda u: F.pmod(F.xxhash64(u), F.lit(buckets)).cast("int")))
 
 
+def _signs(held: Column, sizes: Column, domains: int, evidence: float, less: int) -> Column:
+    """For each domain what holding a bucket adds to its evidence and to that of its marks.
+
+    That is log(share in the domain / share in all labelled documents).  A bucket is a mark if its
+    share is more than twice the overall one, by ``evidence`` standard deviations.  The counts are
+    those without ``less`` documents that hold the bucket.
+    """
+    add = lambda a, b: a + b
+    share = F.aggregate(held, F.lit(0.5), add) / F.aggregate(sizes, F.lit(1.0), add)
+    out = []
+    for i in range(domains):
+        k, n = F.greatest(held[i] - less, F.lit(0.0)), F.greatest(sizes[i] - less, F.lit(0.0))
+        ratio = F.log((k + 2 * share) / (n + 2) / share)
+        telling = k - 2 * n * share > evidence * F.sqrt(n * share * (1 - share) + 1)
+        out += [ratio, F.when(telling, ratio).otherwise(0.0)]
+    return F.array(*out)
+
+
+def _sums(found: Column, weights: Column, domains: int) -> Column:
+    zeros = F.array(*(F.lit(0.0) for _ in range(2 * domains)))
+    return F.aggregate(found, zeros, lambda s, g: F.zip_with(s, weights[g], lambda a, b: a + b))
+
+
+def _features(sums: Column, found: Column, domain: int) -> list[Column]:
+    """Evidence of marks, and all evidence divided by the number of buckets and by its root."""
+    n = F.greatest(F.size(found), F.lit(1))
+    return [sums[2 * domain + 1], sums[2 * domain] / n, sums[2 * domain] / F.sqrt(n)]
+
+
+def calibrated(features: np.ndarray, domain: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Weights of the features and an offset for each domain, by logistic regression.
+
+    Rows count by their tokens.  The offsets are not held back, so the expected tokens of each
+    domain on the given rows are those that the labels tell; the weights are, slightly.
+    """
+    n, domains, kinds = features.shape
+    own = np.eye(domains)
+    scale = np.maximum(np.abs(features).mean(axis=(0, 1)), 1e-9) if n else np.ones(kinds)
+    x = np.zeros((n, domains, domains * kinds + domains))
+    for k in range(domains):
+        x[:, k, k * kinds : (k + 1) * kinds] = features[:, k] / scale
+        x[:, k, domains * kinds + k] = 1
+    w, y = tokens / max(tokens.sum(), 1.0), own[domain]
+    held = np.full(x.shape[2], 1e-4)
+    held[domains * kinds :] = 0.0
+    theta = np.zeros(x.shape[2])
+
+    def loss(t):
+        q = x @ t
+        top = q.max(axis=1)
+        return w @ (top + np.log(np.exp(q - top[:, None]).sum(axis=1)) - (q * y).sum(axis=1)) + held @ (t * t) / 2
+
+    # Domains without tokens have a far offset at once.
+    seen = w @ y > 0
+    theta[domains * kinds :][~seen] = -30.0 if seen.any() else 0.0
+    free = np.concatenate((np.repeat(seen, kinds), seen))
+    for _ in range(200):
+        q = x @ theta
+        p = np.exp(q - q.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        slope = np.einsum("n,nk,nkj->j", w, p - y, x) + held * theta
+        slope[~free] = 0.0
+        if np.abs(slope).max(initial=0.0) < 1e-10:
+            break
+        mean = np.einsum("nk,nkj->nj", p, x)
+        bend = np.einsum("n,nk,nki,nkj->ij", w, p, x, x, optimize=True) - np.einsum("n,ni,nj->ij", w, mean, mean, optimize=True)
+        step = np.linalg.lstsq(bend + np.diag(held) + 1e-12 * np.eye(len(theta)), slope, rcond=None)[0] * free
+        length, now = 1.0, loss(theta)
+        while loss(theta - length * step) > now - 1e-4 * length * (slope @ step) and length > 1e-6:
+            length /= 2
+        theta = theta - length * step
+    weights = theta[: domains * kinds].reshape(domains, kinds) / scale
+    return np.concatenate((weights, theta[domains * kinds :, None]), axis=1)
+
+
 def classifier(
     docs: DataFrame, labelled: DataFrame, domains: list[str], buckets: int, evidence: float, labelled_rows: int
-) -> DataFrame:
-    """One row: the log odds of each domain without any unit, and for every bucket what it adds.
+) -> tuple[DataFrame, np.ndarray]:
+    """One row of what each bucket adds, with and without one document; and the calibration.
 
-    For each bucket the labelled documents of a domain that hold it are counted.  It is a mark
-    of the domain if their share is more than twice that of all labelled documents, by
-    ``evidence`` standard deviations at least; holding a mark then speaks for the domain and not
-    holding it against (a Bernoulli model of the marks).  Other buckets say nothing.
+    All buckets count, marks by themselves once more; how much is fitted on the labelled rows,
+    each left out of the counts of its domain.
     """
     known = (
         labelled.filter(F.col("domain").isin(domains) & F.col("doc_id").isNotNull())
@@ -64,67 +139,77 @@ def classifier(
         .limit(labelled_rows)
     )
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    rows = rows.select("mix_domain", _tokens().alias("mix_tokens"), _units(F.col("text"), buckets).alias("mix_found"))
+    rows = staged(rows, "labelled")
     per_domain = [F.count_if(F.col("mix_domain") == d).cast("double") for d in domains]
     counts = (
-        rows.select("mix_domain", F.explode_outer(_units(F.col("text"), buckets)).alias("bucket"))
+        rows.select("mix_domain", F.explode_outer("mix_found").alias("bucket"))
         .filter("bucket IS NOT NULL")
         .groupBy("bucket")
         .agg(F.array(*per_domain).alias("held"))
     )
-    sizes = rows.agg(F.array(*per_domain).alias("sizes"))
     none = F.array(*(F.lit(0.0) for _ in domains))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+    sizes = rows.agg(F.array(*per_domain).alias("sizes"))
     dense = every.join(counts, "bucket", "left").select(
         "bucket", F.coalesce("held", none).alias("held"), sizes.scalar().alias("sizes")
     )
-    add = lambda a, b: a + b
-    share = (F.aggregate("held", F.lit(0.5), add) / F.aggregate("sizes", F.lit(1.0), add)).alias("share")
-
-    def sign(held, size):
-        """What holding the bucket and what not holding it adds to the domain's log odds."""
-        expected = size * F.col("share")
-        telling = held - 2 * expected > evidence * F.sqrt(expected * (1 - F.col("share")) + 1)
-        own = (held + 2 * F.col("share")) / (size + 2)
-        present, absent = F.log(own / F.col("share")), F.log((1 - own) / (1 - F.col("share")))
-        return F.struct(
-            F.when(telling, present - absent).otherwise(0.0).alias("present"),
-            F.when(telling, absent).otherwise(0.0).alias("absent"),
-        )
-
-    signs = dense.select("*", share).select("bucket", "sizes", F.zip_with("held", "sizes", sign).alias("signs"))
-    return signs.agg(
-        F.array(
-            *(F.first(F.log(F.col("sizes")[i] + 0.5)) + F.sum(F.col("signs")[i]["absent"]) for i in range(len(domains)))
-        ).alias("priors"),
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("bucket", F.transform("signs", lambda x: x["present"]).alias("w")))),
-            lambda x: x["w"],
-        ).alias("weights"),
+    size = range(len(domains))
+    signs = [_signs(F.col("held"), F.col("sizes"), len(domains), evidence, less) for less in (0, 1)]
+    model = dense.select("bucket", signs[0].alias("all"), signs[1].alias("others"))
+    listed = F.sort_array(F.collect_list(F.struct("bucket", "all", "others")))
+    model = model.agg(listed.alias("t")).select(F.col("t")["all"].alias("all"), F.col("t")["others"].alias("others"))
+    model = staged(model, "weights")
+    told = rows.filter("mix_tokens > 0").withColumn("mix_model", model.select(F.struct("all", "others")).scalar())
+    # A labelled text does not speak for its own domain.
+    told = told.select(
+        "mix_domain",
+        "mix_tokens",
+        "mix_found",
+        *(_sums(F.col("mix_found"), F.col("mix_model")[n], len(domains)).alias(n) for n in ("all", "others")),
     )
+    chosen = []
+    for i in size:
+        own = F.col("mix_domain") == domains[i]
+        both = [_features(F.col(n), F.col("mix_found"), i) for n in ("others", "all")]
+        chosen += [F.when(own, x).otherwise(y).alias(f"e{i}_{k}") for k, (x, y) in enumerate(zip(*both, strict=True))]
+    flat = told.select("mix_domain", "mix_tokens", *chosen).toArrow()
+    values = [flat.column(i).to_numpy() for i in range(2, flat.num_columns)]
+    features = np.stack(values, axis=1).reshape(-1, len(domains), 3).astype(float)
+    domain = np.array([domains.index(d) for d in flat.column(0).to_pylist()], int)
+    return model, calibrated(features, domain, flat.column(1).to_numpy().astype(float))
+
+
+def _tokens() -> Column:
+    return F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
 
 
-def with_posteriors(docs: DataFrame, model: DataFrame, buckets: int) -> DataFrame:
+def with_posteriors(docs: DataFrame, model: DataFrame, calibration: np.ndarray, buckets: int) -> DataFrame:
     """The documents with ``mix_tokens`` (words) and ``mix_posterior``, in the order of domains."""
-    rows = docs.withColumn("mix_model", model.select(F.struct("priors", "weights")).scalar())
-    found = _units(F.col("text"), buckets)
-    scores = F.aggregate(
-        found,
-        F.col("mix_model.priors"),
-        lambda s, g: F.zip_with(s, F.col("mix_model.weights")[g], lambda a, b: a + b),
-    )
-    rows = rows.withColumn("mix_scores", scores).drop("mix_model")
+    rows, size = docs.withColumn("mix_weights", model.select("all").scalar()), range(len(calibration))
+
+    def scores(found):
+        def score(sums):
+            return F.array(
+                *(
+                    sum(
+                        (x * F.lit(float(w)) for x, w in zip(_features(sums, found, i), calibration[i], strict=False)),
+                        F.lit(float(calibration[i][-1])),
+                    )
+                    for i in size
+                )
+            )
+
+        return F.transform(F.array(_sums(found, F.col("mix_weights"), len(size))), score)[0]
 
     def softmax(s):
         most = F.array_max(s)
         total = F.aggregate(s, F.lit(0.0), lambda t, x: t + F.exp(x - most))
         return F.transform(s, lambda x: F.exp(x - most) / total)
 
-    tokens = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
-    return (
-        rows.withColumn("mix_tokens", tokens)
-        .withColumn("mix_posterior", F.transform(F.array("mix_scores"), softmax)[0])
-        .drop("mix_scores")
-    )
+    found = F.transform(F.array(_units(F.col("text"), buckets)), scores)
+    rows = rows.withColumn("mix_tokens", _tokens()).withColumn("mix_posterior", F.transform(found, softmax)[0])
+    return rows.drop("mix_weights")
 
 
 def _rate(steps: list[list[float]], start: Column | None = None) -> Column:
@@ -209,8 +294,8 @@ def mix(
     down or up by a hash of the id.
     """
     domains = list(targets)
-    model = classifier(docs, labelled, domains, buckets, evidence, labelled_rows)
-    rows = staged(with_posteriors(docs, model, buckets), "posteriors")
+    model, calibration = classifier(docs, labelled, domains, buckets, evidence, labelled_rows)
+    rows = staged(with_posteriors(docs, model, calibration, buckets), "posteriors")
     steps, misfit, matched = fit_rates(rows, targets, anchor)
     if not matched:
         warnings.warn(f"targets not reached, tokens lacking: {dict(zip(domains, misfit, strict=True))}", stacklevel=2)

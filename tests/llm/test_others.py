@@ -199,6 +199,22 @@ def test_mixing_reaches_its_targets(spark, anchor):
     assert {r.mix_rate for r in mix(table.drop("mix_domain").limit(5), labels.limit(0), targets).collect()} is not None
 
 
+def test_mixing_finds_domains_by_weak_evidence(spark):
+    draw, odds = random.Random(12), {"a": [1] * 100, "b": [3] * 10 + [1] * 90, "c": [1] * 90 + [3] * 10}
+    domains = ["abc"[i % 10 // 8 + (i % 10 == 9)] for i in range(1500)]
+    docs = [(i, " ".join(f"w{k}" for k in draw.choices(range(100), odds[d], k=60))) for i, d in enumerate(domains)]
+    labelled = [(i, d) for i, d in enumerate(domains) if i < 1000]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(labelled, "doc_id long, domain string")
+    found = {r.doc_id: r.mix_posterior for r in mix(table, labels, {"a": 0.6, "b": 0.2, "c": 0.2}).collect()}
+    for k, d in enumerate("abc"):
+        assert sum(found[i][k] for i, _ in labelled) / 1000 == pytest.approx([0.8, 0.1, 0.1][k], abs=0.02)
+        held_out = [found[i][k] for i in range(1000, 1500) if domains[i] == d]
+        others = [found[i][k] for i in range(1000, 1500) if domains[i] != d]
+        assert sum(held_out) / len(held_out) > sum(others) / len(others) + 0.3
+        assert sum(x > 0.5 for x in held_out) > (0.3 if k else 0.9) * len(held_out)
+
+
 def test_mixing_reaches_a_target_of_many_times_the_tokens(spark):
     rows = [(i, ("rare " if i % 50 == 0 else "plain ") * 40) for i in range(1000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
