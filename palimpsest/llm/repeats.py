@@ -79,16 +79,16 @@ class DifferenceCover:
 
 @dataclass(frozen=True)
 class Minimisers:
-    """Anchors at the suffixes whose first ``gram`` words hash lowest within some window.
+    """For every window the hash of its sequence of ``gram`` words that hashes lowest.
 
-    The choice depends on content alone, so equal windows retain the same suffix.
+    The choice depends on content alone, so equal windows have equal anchors.
     """
 
     size: int
     gram: int
 
     def anchors(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """For every window the hash of its lowest suffix, and the window's position."""
+        """For every window the hash of its lowest sequence, and the window's position."""
         at = words.windows(self.size)
         return self._lowest(words)[at], at
 

@@ -1,14 +1,10 @@
-"""Removal of passages that an earlier document holds, by sparse suffix arrays.
-
-Of the suffixes of all documents only those are retained at whose place a minimiser lies: the
-word sequence of ``gram`` words with the lowest hash within some window of ``size`` words.
-Content alone selects them, so two copies of a passage of ``size`` words or more retain the
-same suffixes.  Retained suffixes are sorted by the hash of their first ``gram`` words within
-each block and again within each bucket of the exchange, where neighbours that agree are found
-to belong to several documents.  From such a suffix the match is extended: every window of
-``size`` words for which it is the minimiser, reaching left and right of it, is compared with
-the windows of the other documents, again by sorting and comparing neighbours.  With 50 words
-and minimisers of 12 about one suffix in twenty is retained.  See ``repeats`` for what is moved.
+"""Removal of passages that an earlier document holds, by windows anchored at minimisers.
+
+This stands in for a sparse suffix array and has its results: no suffix is retained, ordered or
+extended.  For every window of ``size`` words the hash of its minimiser is sent, the word
+sequence of ``gram`` words with the lowest hash within the window, so equal windows send equal
+hashes.  Where several documents hold a minimiser, the hashes of the whole windows around it
+are exchanged and compared.  See ``repeats`` for what is moved.
 
 Defined results: a passage is a word covered by ``size`` consecutive words that also start in a
 document with a smaller id; longer passages are covered by several such windows.  A null or
