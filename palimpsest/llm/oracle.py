@@ -108,7 +108,59 @@ FROM (
 """
 
 
+RESAMPLING = r"""
+WITH RECURSIVE table_of(i, step, c) AS (
+  SELECT i, 0, i FROM range(256) t(i)
+  UNION ALL
+  SELECT i, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM table_of WHERE step < 8
+),
+crc AS (SELECT list(c ORDER BY i) AS steps FROM table_of WHERE step = 8),
+texts AS (
+  SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, NULL, text FROM benchmark
+),
+found AS (
+  SELECT side, id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts
+),
+occurring AS (SELECT side, id, unnest(words) AS word FROM found),
+spelled AS (
+  SELECT word, list_transform(range(1, CAST(octet_length(encode(word)) AS BIGINT) + 1),
+    lambda i: CAST('0x' || substr(hex(encode(word)), 2 * i - 1, 2) AS BIGINT)) AS bytes
+  FROM (SELECT DISTINCT word FROM occurring)
+),
+hashed AS (
+  SELECT word, xor(list_reduce(bytes, lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM spelled, crc
+),
+counts AS (SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM occurring JOIN hashed USING (word) GROUP BY bucket),
+totals AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM counts),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(s_all + 10000 AS DOUBLE)
+    / (CAST(s + 1 AS DOUBLE) * CAST(t_all + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM counts, totals
+),
+weights AS (
+  SELECT id, sum(gain) AS weight FROM occurring JOIN hashed USING (word) JOIN gains USING (bucket) WHERE side = 0 GROUP BY id
+),
+scored AS (
+  SELECT id AS doc_id, CAST(len(words) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST('0x' || substr(sha256('2024:' || id), 1, 8) AS BIGINT) AS h
+  FROM found LEFT JOIN weights USING (id) WHERE side = 0
+),
+noisy AS (
+  SELECT doc_id, n_features, weight,
+    weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM scored
+),
+placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM noisy WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CAST(CASE WHEN place <= n * 10 // 100 THEN place END AS BIGINT) AS rank
+FROM noisy LEFT JOIN placed USING (doc_id)
+"""
+
+
 ORACLE = {
+    "op13_importance_resampling": RESAMPLING,
     "op3_url_filters": URLS,
     "op5_minhash_dedup": NEAR,
     "op7_embedding_dedup": VECTORS,

@@ -16,6 +16,7 @@ from palimpsest.llm.oracle import ORACLE
 from palimpsest.llm.packing import pack, with_checksum
 from palimpsest.llm.quality_classifier import quality_scores
 from palimpsest.llm.quality_rules import quality_rules
+from palimpsest.llm.resampling import resample
 from palimpsest.llm.substring_dedup import substring_dedup, with_digest
 from palimpsest.llm.suffix_dedup import suffix_dedup
 from palimpsest.llm.token_counts import token_counts
@@ -117,3 +118,9 @@ def op3_url_filters(spark: SparkSession, directory: str) -> DataFrame:
 @query
 def op9_quality_classifier(spark: SparkSession, directory: str) -> DataFrame:
     return quality_scores(_table(spark, directory, "documents"), _table(spark, directory, "labels"))
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, directory: str) -> DataFrame:
+    docs, target = _table(spark, directory, "documents"), _table(spark, directory, "benchmark")
+    return resample(docs, target, size=1, buckets=10_000, seed=2024, least_words=20, percent=10)

@@ -16,6 +16,9 @@ SEGMENT = 1 << 20  # bytes hashed at once
 U64 = np.uint64
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
+#: Each byte with A-Z as a-z.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -83,8 +86,11 @@ class Words:
         return out
 
 
-def words_of(column: pa.StringArray) -> Words:
-    """Words of every text of an Arrow string column; a null has none."""
+def words_of(column: pa.StringArray, white: np.ndarray = WHITE, lower: bool = False) -> Words:
+    """Words of every text of an Arrow string column; a null has none.
+
+    ``white`` tells which bytes stand between words; ``lower`` takes A-Z as a-z.
+    """
     if not pa.types.is_large_string(column.type):
         column = column.cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
@@ -96,12 +102,14 @@ def words_of(column: pa.StringArray) -> Words:
     base = int(offsets[0]) if len(offsets) else 0
     offsets = offsets - base
     data = data[base : base + int(offsets[-1])] if len(offsets) else data[:0]
+    if lower:
+        data = LOWER[data]
     begins, ends, hashes = [], [], []
     cuts = offsets[1:-1]
     at = 0
     while at < len(data):
-        stop = _segment_end(data, at)
-        begin, end, value = _hash(data[at:stop], cuts[(cuts > at) & (cuts < stop)] - at)
+        stop = _segment_end(data, at, white)
+        begin, end, value = _hash(data[at:stop], cuts[(cuts > at) & (cuts < stop)] - at, white)
         begins.append(begin + at)
         ends.append(end + at)
         hashes.append(value)
@@ -116,19 +124,19 @@ def words_of(column: pa.StringArray) -> Words:
     )
 
 
-def _segment_end(data: np.ndarray, at: int) -> int:
+def _segment_end(data: np.ndarray, at: int, separators: np.ndarray) -> int:
     """An end of a segment that cuts no word."""
     stop = at + SEGMENT
     while stop < len(data):
-        white = np.flatnonzero(WHITE[data[stop : stop + 4096]])
+        white = np.flatnonzero(separators[data[stop : stop + 4096]])
         if len(white):
             return stop + int(white[0])
         stop += 4096
     return len(data)
 
 
-def _hash(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    inside = ~WHITE[data]
+def _hash(data: np.ndarray, cuts: np.ndarray, white: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    inside = ~white[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[cuts] = True
     before = np.zeros(len(data) + 1, bool)
