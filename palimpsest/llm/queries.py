@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.embedding_dedup import embedding_dedup
+from palimpsest.llm.katz import katz_scores
 from palimpsest.llm.minhash import near_duplicates
 from palimpsest.llm.mixing import mix
 from palimpsest.llm.oracle import ORACLE
@@ -124,3 +125,9 @@ def op9_quality_classifier(spark: SparkSession, directory: str) -> DataFrame:
 def op13_importance_resampling(spark: SparkSession, directory: str) -> DataFrame:
     docs, target = _table(spark, directory, "documents"), _table(spark, directory, "benchmark")
     return resample(docs, target, size=1, buckets=10_000, seed=2024, least_words=20, percent=10)
+
+
+@query
+def op11_katz_scoring(spark: SparkSession, directory: str) -> DataFrame:
+    learn = F.crc32(F.col("doc_id").cast("string")) % 5 != 1
+    return katz_scores(_table(spark, directory, "documents"), learn, order=2)
