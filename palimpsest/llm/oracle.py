@@ -159,7 +159,46 @@ FROM noisy LEFT JOIN placed USING (doc_id)
 """
 
 
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, unnest(w) AS phrase, 1 AS size FROM worded
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])), 2 FROM worded
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])), 3 FROM worded
+),
+f AS (SELECT lang, phrase, size, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[:k], ' ') AS one, array_to_string(w[k + 1:], ' ') AS two
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
+),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r,
+    CAST(1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = one JOIN f y ON y.lang = c.lang AND y.phrase = two
+),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM candidates WHERE size = 3
+  ) GROUP BY ALL
+),
+kept AS (
+  SELECT weakest.* FROM weakest LEFT JOIN inner_ USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 ORACLE = {
+    "op12_collocations": COLLOCATIONS,
     "op13_importance_resampling": RESAMPLING,
     "op3_url_filters": URLS,
     "op5_minhash_dedup": NEAR,

@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palimpsest.llm.collocations import collocations
 from palimpsest.llm.embedding_dedup import embedding_dedup
 from palimpsest.llm.katz import katz_scores
 from palimpsest.llm.minhash import near_duplicates
@@ -131,3 +132,8 @@ def op13_importance_resampling(spark: SparkSession, directory: str) -> DataFrame
 def op11_katz_scoring(spark: SparkSession, directory: str) -> DataFrame:
     learn = F.crc32(F.col("doc_id").cast("string")) % 5 != 1
     return katz_scores(_table(spark, directory, "documents"), learn, order=2)
+
+
+@query
+def op12_collocations(spark: SparkSession, directory: str) -> DataFrame:
+    return collocations(_table(spark, directory, "documents"), longest=3, least=10, percent=50, first=2000)
