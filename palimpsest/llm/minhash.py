@@ -23,9 +23,9 @@ large groups in pairs of blocks (``pairs``), so no pair is missed within a group
 pairs is written.  Verified links give the classes returned.
 
 Defined results: a text without words links with nothing; a row without an id likewise, and its
-class is null; every row is classed by its own text, so repeated rows get one class, and all
-of them are ``kept`` if one is; among equal texts the smallest id is kept; an empty table gives
-an empty one; other columns are not read.
+class is null; every row is classed by its own text, also where an id has several, so repeated
+rows get one class, and all of them are ``kept`` if one is; among equal texts the smallest id is
+kept; an empty table gives an empty one; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,8 +35,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from palimpsest.llm.components import components
 from palimpsest.llm.pairs import bipartite_forest, block_pairs, forest
@@ -154,6 +155,14 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
+def text_hashes(words: Words) -> list[np.ndarray]:
+    """Two hashes of each text's words in their order."""
+    place = np.arange(len(words.hashes)) - words.first[words.text].astype(np.int64)
+    spread = [mix(words.hashes + mix(place.astype(U64) * GOLDEN + seed)) for seed in SEEDS]
+    total = [np.concatenate((np.zeros(1, U64), np.cumsum(s, dtype=U64))) for s in spread]
+    return [t[words.first[1:]] - t[words.first[:-1]] for t in total]
+
+
 def band_table(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     """For each row two hashes of its words, its number of shingles, and its band keys."""
 
@@ -167,10 +176,7 @@ def band_table(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
             for k in range(rows):
                 keys = mix(keys * GOLDEN + points[:, k::rows])
             has = n > 0
-            place = np.arange(len(words.hashes)) - words.first[words.text].astype(np.int64)
-            spread = [mix(words.hashes + mix(place.astype(U64) * GOLDEN + seed)) for seed in SEEDS]
-            total = [np.concatenate(([0], np.cumsum(s))).astype(U64) for s in spread]
-            whole = [t[words.first[1:]] - t[words.first[:-1]] for t in total]
+            whole = text_hashes(words)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.int64()),
@@ -190,23 +196,33 @@ def band_table(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
 
 
 def _bag_rows(rows: DataFrame, shingle: int) -> DataFrame:
-    """In place of ``text`` the sorted hashes of its shingles, the repeats of one told apart."""
+    """In place of ``text`` the sorted hashes of its shingles, the repeats of one told apart.
+
+    Rows whose text is not that of the class are left out, and repeated rows of a task but one.
+    """
 
     def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in _pieces(batches, 2):
             words = words_of(batch.column(2))
+            wanted = [x.to_pylist() for x in batch.column(0).flatten()]
+            whole = [h.view(np.int64).tolist() for h in text_hashes(words)]
+            usable = []
+            for i, (key, text) in enumerate(zip(zip(*wanted, strict=True), zip(*whole, strict=True), strict=True)):
+                if key[1:] == text and key not in seen:
+                    seen.add(key)
+                    usable.append(i)
             text, value, count = bags(*shingles(words, shingle))
             of = np.repeat(np.arange(len(text)), count)
             turn = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
             unit = np.where(turn > 0, mix(value[of] + turn.astype(U64) * GOLDEN), value[of])
             edges = np.searchsorted(text[of], np.arange(batch.num_rows + 1))
-            raw = [unit[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(raw, pa.binary())], ["rep", "places", "bag"]
-            )
+            raw = [unit[edges[i] : edges[i + 1]].tobytes() for i in usable]
+            chosen = [batch.column(k).take(pa.array(usable, pa.int64())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*chosen, pa.array(raw, pa.binary())], ["rep", "places", "bag"])
 
-    places = rows.schema["places"].dataType.simpleString()
-    return rows.select("rep", "places", "text").mapInArrow(bag, f"rep long, places {places}, bag binary")
+    schema = T.StructType([*rows.select("rep", "places").schema.fields, T.StructField("bag", T.BinaryType())])
+    return rows.select("rep", "places", "text").mapInArrow(bag, schema)
 
 
 def overlaps(bags_of: list[np.ndarray], cut: int | None) -> np.ndarray:
@@ -231,15 +247,18 @@ def overlaps(bags_of: list[np.ndarray], cut: int | None) -> np.ndarray:
     return total
 
 
-def near_duplicates(
-    docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bands: int = 32, rows: int = 5
-) -> DataFrame:
-    """``doc_id``, ``class_id`` (the smallest id reachable by links) and ``kept`` for every row."""
+def _classified(docs: DataFrame, similarity: float, shingle: int, bands: int, rows: int) -> DataFrame:
+    """``doc_id``, ``h1``, ``h2`` of every row, and ``class``: the least text that links reach.
+
+    A text is named by the smallest id that has it and by its two hashes, so unlike texts of one
+    id are told apart, and the least text of a class has its smallest id.
+    """
     signed = staged(band_table(docs, shingle, bands, rows), "bag-minhash", "zstd")
     usable = signed.filter("bands IS NOT NULL AND doc_id IS NOT NULL")
     classes = usable.groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")
     )
+    classes = classes.select(F.struct("id", "h1", "h2").alias("rep"), "n", "bands")
     entries = classes.select("rep", F.posexplode("bands").alias("band", "key")).select(
         "rep", F.xxhash64("band", "key").alias("bucket")
     )
@@ -248,18 +267,24 @@ def near_duplicates(
     groups = components(stars.select("leader", "rep").distinct()).select(
         F.col("node").alias("rep"), F.col("component").alias("candidates")
     )
-    sized = groups.join(classes.groupBy("rep").agg(F.max("n").alias("n")), "rep")
+    sized = groups.join(classes.select("rep", "n"), "rep")
     places = (
         block_pairs(sized, "candidates", "rep", BLOCK, "n", BLOCK_SHINGLES)
         .groupBy("rep")
         .agg(F.collect_list(F.struct("candidates", "left", "right", "side")).alias("places"))
+        .withColumn("id", F.col("rep.id"))
     )
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(places, "rep")
-    tasks = _bag_rows(texts, shingle).select("rep", "bag", F.inline("places"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(places, "id")
+    tasks = _bag_rows(texts, shingle).select("rep.*", "bag", F.inline("places"))
 
     def verify(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("side", "ascending"), ("rep", "ascending")])
-        rep, side = table["rep"].to_numpy(), table["side"].to_numpy()
+        names = ("id", "h1", "h2")
+        table = table.sort_by([(x, "ascending") for x in ("side", *names)])
+        # A row may be there several times, from several tasks.
+        keys = np.stack([table[x].to_numpy() for x in names])
+        table = table.filter(pa.array(np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)))))
+        rep = [table[x].to_numpy() for x in names]
+        side = table["side"].to_numpy()
         found = [np.frombuffer(b, U64) for b in table["bag"].to_pylist()]
         within = table["left"][0].as_py() == table["right"][0].as_py()
         cut = None if within else int((side == 0).sum())
@@ -272,29 +297,74 @@ def near_duplicates(
         else:
             roots = np.concatenate(bipartite_forest(linked))
             joined = np.concatenate((linked.any(axis=1), linked.any(axis=0)))
-        return pa.table({"rep": rep[joined], "root": rep[roots[joined]]})
+        columns = [x[joined] for x in rep] + [x[roots[joined]] for x in rep]
+        return pa.table(dict(zip(("a", "b", "c", "x", "y", "z"), columns, strict=True)))
+
+    links = tasks.groupBy("candidates", "left", "right").applyInArrow(
+        verify, "a long, b long, c long, x long, y long, z long"
+    )
+    named = [F.struct(*(F.col(k).alias(n) for k, n in zip(c, ("id", "h1", "h2"), strict=True))) for c in ("abc", "xyz")]
+    reached = components(links.select(named[0].alias("one"), named[1].alias("other"))).withColumnRenamed("node", "rep")
+    named = classes.select("rep").join(reached, "rep", "left").select(
+        "rep.h1", "rep.h2", F.coalesce("component", "rep").alias("class")
+    )
+    known = F.col("bands").isNotNull() & F.col("doc_id").isNotNull()
+    members = signed.select("doc_id", *(F.when(known, F.col(h)).alias(h) for h in ("h1", "h2")))
+    return members.join(named, ["h1", "h2"], "left")
 
-    links = tasks.groupBy("candidates", "left", "right").applyInArrow(verify, "rep long, root long")
-    reached = components(links).withColumnRenamed("node", "rep")
-    named = classes.select("h1", "h2", "rep").join(reached, "rep", "left")
-    members = signed.select(
-        "doc_id",
-        *(F.when(F.col("bands").isNotNull() & F.col("doc_id").isNotNull(), F.col(h)).alias(h) for h in ("h1", "h2")),
-    ).join(named, ["h1", "h2"], "left")
-    own = F.coalesce("component", "rep", "doc_id")
-    return members.select("doc_id", own.alias("class_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
 
+def near_duplicates(
+    docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bands: int = 32, rows: int = 5
+) -> DataFrame:
+    """``doc_id``, ``class_id`` (the smallest id reachable by links) and ``kept`` for every row."""
+    own = F.coalesce("class.id", "doc_id")
+    return _classified(docs, similarity, shingle, bands, rows).select(
+        "doc_id", own.alias("class_id"), F.col("doc_id").eqNullSafe(own).alias("kept")
+    )
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
+
+def one_of_each(
+    docs: DataFrame, similarity: float = 0.8, shingle: int = 5, bands: int = 32, rows: int = 5
+) -> DataFrame:
     """The rows of ``docs``, with all their columns, of which one for each class is kept.
 
-    Of rows with equal ids one stays; rows without an id all stay.
+    That is a row of the class's least text and id; of several rows with both, the one whose columns
+    come first in order.  Texts without words stay, one for each id; rows without an id all stay.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), **options)
-    gone = found.filter("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
-    named = rows.filter("row.doc_id IS NOT NULL").withColumn("id", F.col("row.doc_id").cast("long"))
-    named = named.join(gone, named["id"] == gone["gone"], "left_anti")
-    first = F.row_number().over(Window.partitionBy("id").orderBy("id"))
-    named = named.withColumn("place", first).filter("place = 1").select("row.*")
-    return named.unionByName(docs.filter("doc_id IS NULL"))
+    found = _classified(docs.select("doc_id", "text"), similarity, shingle, bands, rows)
+    found = staged(found.filter("doc_id IS NOT NULL"), "near-duplicates")
+    least = F.col("class").isNull() | F.struct("doc_id", "h1", "h2").eqNullSafe(F.col("class"))
+    # Where an id is there once, the id tells the row; else its text has to.
+    per_id = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_or(least).alias("least"))
+    repeated = per_id.filter("n > 1").select(F.col("doc_id").alias("id"))
+    gone = per_id.filter("n > 1 OR NOT least").select(F.col("doc_id").alias("id"))
+    whole = docs.select(F.struct("*").alias("row")).withColumn("id", F.col("row.doc_id").cast("long"))
+    once = whole.filter("id IS NOT NULL").join(gone, "id", "left_anti")
+    again = _with_hashes(whole.join(repeated, "id", "left_semi"))
+    stay = found.filter(least).select(F.col("doc_id").alias("id"), "h1", "h2").distinct()
+    same = [again[c].eqNullSafe(stay[c]) for c in ("id", "h1", "h2")]
+    again = again.join(stay, same[0] & same[1] & same[2], "left_semi")
+    orderable = [f"row.`{f.name}`" for f in docs.schema if not _holds_map(f.dataType)]
+    again = again.groupBy("id", "h1", "h2").agg(F.min_by("row", F.struct(*orderable)).alias("row"))
+    return once.select("row").unionByName(again.select("row")).unionByName(
+        whole.filter("id IS NULL").select("row")
+    ).select("row.*")
+
+
+def _holds_map(kind) -> bool:
+    return "map<" in kind.simpleString()
+
+
+def _with_hashes(rows: DataFrame) -> DataFrame:
+    """Rows (``id``, ``row``) with the hashes of their text, null where it has no words."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _pieces(batches, 2):
+            words = words_of(batch.column(2))
+            empty = pa.array(np.diff(words.first) == 0)
+            whole = [pa.compute.if_else(empty, None, _signed(h)) for h in text_hashes(words)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *whole], ["id", "row", "h1", "h2"])
+
+    longs = [T.StructField(name, T.LongType()) for name in ("h1", "h2")]
+    schema = T.StructType([*rows.select("id", "row").schema.fields, *longs])
+    return rows.select("id", "row", F.col("row.text").alias("text")).mapInArrow(hashed, schema)

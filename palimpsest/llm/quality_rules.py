@@ -141,7 +141,7 @@ def judged(
     Every expression stands in the plan once, also where a filter on ``kept`` is pushed down.
     """
     ratios = weights(docs.select("doc_id", "text"), labels, buckets, smoothing)
-    rows = docs.select(F.struct(*docs.columns).alias("row")).withColumn("_w", ratios.scalar())
+    rows = docs.select(F.struct("*").alias("row")).withColumn("_w", ratios.scalar())
     text = F.col("row")["text"]
 
     def score(found):
