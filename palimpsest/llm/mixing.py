@@ -20,7 +20,7 @@ Defined results: a null or empty text has 0 tokens and the posterior of a text w
 evidence, and does not count for the fit; every row gets a rate, repeated or without an id; an id labelled with
 several domains counts for the least of them; null domains and labels of absent documents are
 ignored; a domain without tokens cannot be reached and is left out of the fit; targets that no rates
-reach give the nearest ones and a warning; an empty table gives an empty one.  Other columns are carried through; the added ones have names that start
+reach give a compromise between misfit and change, and a warning; an empty table gives an empty one.  Other columns are carried through; the added ones have names that start
 with ``mix_``.
 """
 
@@ -37,9 +37,10 @@ from palimpsest.session import staged
 
 SEED = 77
 TOLERANCE = 1e-7
-GAP = 1e-3
-STALLED = 1e-6
-STEPS_AT_ONCE = 32
+GAP = 1e-2
+PULL = 1e-6
+FIRM_PULL = 0.05
+MOST_STEPS = 40
 
 
 def _units(text: Column, buckets: int) -> Column:
@@ -81,7 +82,8 @@ def calibrated(features: np.ndarray, domain: np.ndarray, tokens: np.ndarray) ->
     """Weights of the features and an offset for each domain, by logistic regression.
 
     Rows count by their tokens.  The offsets are not held back, so the expected tokens of each
-    domain on the given rows are those that the labels tell; the weights are, slightly.
+    domain on the given rows are those that the labels tell; the weights are, by as much as
+    one row weighs.
     """
     n, domains, kinds = features.shape
     own = np.eye(domains)
@@ -91,7 +93,7 @@ def calibrated(features: np.ndarray, domain: np.ndarray, tokens: np.ndarray) ->
         x[:, k, k * kinds : (k + 1) * kinds] = features[:, k] / scale
         x[:, k, domains * kinds + k] = 1
     w, y = tokens / max(tokens.sum(), 1.0), own[domain]
-    held = np.full(x.shape[2], 1e-4)
+    held = np.full(x.shape[2], 1.0 / max(n, 1))
     held[domains * kinds :] = 0.0
     theta = np.zeros(x.shape[2])
 
@@ -212,68 +214,86 @@ def with_posteriors(docs: DataFrame, model: DataFrame, calibration: np.ndarray,
     return rows.drop("mix_weights")
 
 
-def _rate(steps: list[list[float]], start: Column | None = None) -> Column:
-    """A document's rate after the given steps."""
-    start = F.lit(1.0) if start is None else start
+def _rate(shift: list[float]) -> Column:
+    """A document's rate: one and what the steps add, projected to be nonnegative."""
+    return F.greatest(sum((F.col("mix_posterior")[i] * y for i, y in enumerate(shift)), F.lit(1.0)), F.lit(0.0))
 
-    def step(rate, s):
-        return F.greatest(sum((F.col("mix_posterior")[i] * s[i] for i in range(len(steps[0]))), rate), F.lit(0.0))
 
-    return F.aggregate(F.lit(steps), start, step) if steps else start
+def fit_rates(rows: DataFrame, targets: dict[str, float], anchor: str | None) -> tuple[list[float], list[float], bool]:
+    """The sum of the steps, the tokens each domain then lacks, and if all match.
 
-
-def fit_rates(rows: DataFrame, targets: dict[str, float], anchor: str | None) -> tuple[list[list[float]], list[float], bool]:
-    """The steps of the projected gradient, the tokens each domain then lacks, and if all match.
-
-    A step is the misfits of the domains, scaled.  Steps end once no misfit exceeds the tolerance,
-    or once a bound shows that nonnegative rates cannot have a squared misfit smaller by a
-    thousandth, or once a step hardly changes it.  The bound is the dual one: for prices y with
-    posterior . y <= 0 in every document it is target . y - sum(own tokens x y^2) / 2; the
-    prices are the last step, lowered until that holds.
+    The gradient of the squared misfit moves a document's rate by its posterior times one number
+    for each domain.  These numbers are added up and rates are projected when they are used, so
+    a step is one aggregation of tokens and posteriors.  A step is scaled by the second moments
+    of the documents whose rates are not held at zero, which a step with the right numbers
+    would do with at once, and halved until it helps.  A weak pull towards ``centre``, which
+    follows, keeps steps finite.  Where targets turn out to be out of reach, the fit is
+    done again with a firm pull towards rates of 1, which weighs misfit against change.
     """
     weights = [w / sum(targets.values()) for w in targets.values()]
-    size = range(len(weights))
-    narrow = rows.filter("mix_tokens > 0").select("mix_tokens", "mix_posterior", F.lit(1.0).alias("mix_rate"))
-
-    def totals(fresh, usable):
-        rate, p = _rate(fresh, F.col("mix_rate")), F.col("mix_posterior")
-        sums = [F.sum(rate * F.col("mix_tokens") * p[i]).alias(f"s{i}") for i in size]
-        last = fresh[-1] if fresh else [0.0 for _ in size]
-        gain = sum((p[i] * F.lit(last[i]) for i in size), F.lit(0.0))
-        held = sum((p[i] for i in size if usable[i]), F.lit(0.0))
-        row = narrow.agg(*sums, F.max(F.when(held > 0, gain / held)).alias("most")).first()
-        return [x or 0.0 for x in row[:-1]], max(row[-1] or 0.0, 0.0)
-
-    first, _ = totals([], [True for _ in size])
+    k = len(weights)
+    narrow = rows.filter("mix_tokens > 0").select(F.col("mix_tokens").cast("double"), "mix_posterior")
+
+    def totals(shift: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        rate, p, t = F.col("rate"), F.col("mix_posterior"), F.col("mix_tokens")
+        moments = [F.sum(F.when(rate > 0, t * p[i] * p[j])) for i in range(k) for j in range(i, k)]
+        found = narrow.withColumn("rate", _rate(shift.tolist())).agg(
+            *(F.sum(rate * t * p[i]) for i in range(k)), *moments, F.sum(t * rate * rate / 2)
+        )
+        values = np.array([x or 0.0 for x in found.first()])
+        second = np.zeros((k, k))
+        second[np.triu_indices(k)] = values[k:-1]
+        return values[:k], second + np.triu(second, 1).T, values[-1]
+
+    start = totals(np.zeros(k))
+    first = start[0]
     # A domain of less than a token has nothing to be scaled.
-    usable = [f >= 1 for f in first]
-    if anchor is None:
-        total = sum(first)
-    else:
+    usable = first >= 1
+    total = first.sum()
+    if anchor is not None and weights[list(targets).index(anchor)]:
         at = list(targets).index(anchor)
-        total = first[at] / weights[at] if weights[at] else sum(first)
-    steps: list[list[float]] = []
-    fresh: list[list[float]] = []
-    now, before, best = first, None, 0.0
-    while True:
-        misfit = [w * total - x for w, x in zip(weights, now, strict=True)]
-        reachable = [m for m, u in zip(misfit, usable, strict=True) if u]
-        if max(map(abs, reachable), default=0.0) <= TOLERANCE * max(total, 1.0):
-            break
-        step = [m / f if u else 0.0 for m, f, u in zip(misfit, first, usable, strict=True)]
-        squared = sum(f * s * s for f, s in zip(first, step, strict=True)) / 2
-        if squared - best <= GAP * squared or (before is not None and squared > before * (1 - STALLED)):
-            break
-        before = squared
-        steps.append(step)
-        fresh.append(step)
-        now, most = totals(fresh, usable)
-        price = [s - most if u else 0.0 for s, u in zip(step, usable, strict=True)]
-        value = sum(w * total * y - f * y * y / 2 for w, f, y in zip(weights, first, price, strict=True))
-        best = max(best, value)
-        if len(fresh) == STEPS_AT_ONCE:
-            narrow, fresh = staged(narrow.withColumn("mix_rate", _rate(fresh, F.col("mix_rate"))), "rates"), []
-    return steps, misfit, max(map(abs, misfit), default=0.0) <= TOLERANCE * max(total, 1.0)
+        total = first[at] / weights[at]
+    target = np.array(weights) * total
+    limit = TOLERANCE * max(total, 1.0)
+
+    def fitted(pull: float, follow: bool) -> tuple[np.ndarray, np.ndarray]:
+        shift, centre, settled = np.zeros(k), np.zeros(k), None
+        now, second, energy = start
+
+        def value(shift, energy):
+            away = (first * (shift - centre) ** 2)[usable].sum()
+            return target[usable] @ shift[usable] - energy - pull / 2 * away
+
+        for _ in range(MOST_STEPS):
+            misfit = target - now
+            worst = np.abs(misfit[usable]).max(initial=0.0)
+            if worst <= limit:
+                break
+            slope = np.where(usable, misfit - pull * first * (shift - centre), 0.0)
+            if np.abs(slope).max() <= limit / 10:
+                if not follow or (settled is not None and worst > settled * (1 - GAP)):
+                    break
+                centre, settled = shift, worst
+                slope = np.where(usable, misfit, 0.0)
+            bend = second + pull * np.diag(first)
+            step = np.zeros(k)
+            step[usable] = np.linalg.solve(bend[np.ix_(usable, usable)], slope[usable])
+            before, length = value(shift, energy), 1.0
+            while True:
+                tried = shift + length * step
+                now, second, energy = totals(tried)
+                gained = value(tried, energy) - before
+                if gained >= 1e-4 * length * (slope @ step) - 1e-13 * abs(before) or length < 1e-3:
+                    break
+                length /= 2
+            shift = tried
+        return shift, target - now
+
+    shift, misfit = fitted(PULL, follow=True)
+    matched = bool(np.abs(misfit).max(initial=0.0) <= limit)
+    if not matched:
+        shift, misfit = fitted(FIRM_PULL, follow=False)
+    return shift.tolist(), misfit.tolist(), matched
 
 
 def mix(
@@ -296,11 +316,11 @@ def mix(
     domains = list(targets)
     model, calibration = classifier(docs, labelled, domains, buckets, evidence, labelled_rows)
     rows = staged(with_posteriors(docs, model, calibration, buckets), "posteriors")
-    steps, misfit, matched = fit_rates(rows, targets, anchor)
+    shift, misfit, matched = fit_rates(rows, targets, anchor)
     if not matched:
         warnings.warn(f"targets not reached, tokens lacking: {dict(zip(domains, misfit, strict=True))}", stacklevel=2)
     chance = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    rows = rows.withColumn("mix_rate", _rate(steps)).withColumn("mix_misfit", F.lit(misfit))
+    rows = rows.withColumn("mix_rate", _rate(shift)).withColumn("mix_misfit", F.lit(misfit))
     return rows.withColumn(
         "mix_copies", (F.floor("mix_rate") + (chance < F.col("mix_rate") - F.floor("mix_rate")).cast("int")).cast("int")
     )
@@ -308,7 +328,7 @@ def mix(
 
 def mixed_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], **options) -> DataFrame:
     """Each row of ``docs``, with its columns, as often as its rate says."""
-    rows = docs.select(F.struct(*docs.columns).alias("mix_row"), "doc_id", "text")
+    rows = docs.select(F.struct("*").alias("mix_row"), "doc_id", "text")
     found = mix(rows, labelled, targets, **options)
     copies = F.explode(F.array_repeat(F.lit(0), F.col("mix_copies")))
     return found.select("mix_row", copies.alias("mix_copy")).select("mix_row.*")

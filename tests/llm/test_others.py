@@ -155,15 +155,17 @@ def test_url_filter_in_shards(spark):
 # -- mixing ----------------------------------------------------------------------------
 
 
-def plain_rates(tokens, p, weights, anchor, max_rate=4.0, max_steps=40):
+def plain_rates(tokens, p, weights, anchor):
+    """Plain steps of small size, until the targets are met."""
     first = tokens @ p
     total = first.sum() if anchor is None else first[anchor] / weights[anchor]
-    rate = np.ones(len(p))
-    for _ in range(max_steps):
+    shift = np.zeros(p.shape[1])
+    for _ in range(200_000):
+        rate = np.maximum(1 + p @ shift, 0)
         misfit = weights * total - (rate * tokens) @ p
-        if np.abs(misfit).max() <= 1e-7 * max(total, 1):
+        if np.abs(misfit).max() <= 1e-8 * max(total, 1):
             break
-        rate = np.clip(rate + p @ (misfit / first), 0, max_rate)
+        shift = shift + 0.9 * misfit / first
     return rate
 
 
