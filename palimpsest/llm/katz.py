@@ -418,9 +418,9 @@ class Model:
     """The exchange of all orders; nothing runs before its rows are asked for."""
 
     def __init__(self, docs: DataFrame, order: int):
-        partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # As many tasks as buckets: both grow with the input.
         buckets = bucket_count(docs.select("text"), BUCKET_BYTES)
-        self.texts = blocks(docs).repartition(partitions, "block")
+        self.texts = blocks(docs).repartition(buckets, "block")
         self.facts: list[Column] = []
         self.replies: DataFrame | None = None
         self.tables: list[DataFrame] = []
