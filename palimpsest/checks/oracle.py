@@ -149,6 +149,7 @@ SELECT *, CASE WHEN in_templates AND in_references THEN 'in_tag_ref_and_template
   WHEN in_sections THEN 'only_in_filtered_sections' ELSE 'only_in_raw_text' END AS appearance FROM flags)"""
 
 
+IS_LOOSELY_BIBLIOGRAPHY = f"lower(trim(name)) IN ({BIBLIOGRAPHY_NAMES}, 'literature cited')"
 IS_BIBLIOGRAPHY = f"lower(trim(name)) IN ({BIBLIOGRAPHY_NAMES})"
 X_IS_BIBLIOGRAPHY = f"lower(trim(x.name)) IN ({BIBLIOGRAPHY_NAMES})"
 FULL_BODY = "CASE WHEN level = 0 THEN body ELSE repeat('=', level) || name || repeat('=', level) || chr(10) || body END"
@@ -277,6 +278,8 @@ FROM loc""",
     + "SELECT page_id, rev_id, type, id, b AS span_begin FROM loc WHERE in_sections",
     "bibliography_sections": with_(DOCS, SECTIONS)
     + f"SELECT page_id, number, name, level FROM sec WHERE {IS_BIBLIOGRAPHY}",
+    "bibliography_sections_loose": with_(DOCS, SECTIONS)
+    + f"SELECT page_id, number, name, level FROM sec WHERE {IS_LOOSELY_BIBLIOGRAPHY}",
     "extract_wikilinks": with_(ART, PLACED_LINKS) + wikilink_rows("true"),
     "extract_wikilinks_last": with_(ART, PLACED_LINKS) + wikilink_rows("is_last"),
     "bibliography_text": with_(ART, SECTIONS, BIB_TEXT)

@@ -300,6 +300,17 @@ def bibliography_sections(spark, directory):
     )
 
 
+@query
+def bibliography_sections_loose(spark, directory):
+    """Windows of longer names count here: ``Literature cited`` holds a term."""
+    kept = F.filter(
+        wikitext.sections(F.col("text")), lambda s: is_bibliography(s["name"], "en", 70)
+    )
+    return _captures(_documents(spark, directory), kept).select(
+        "page_id", "number", "name", "level"
+    )
+
+
 # -- jobs ------------------------------------------------------------------------------
 
 

@@ -23,6 +23,12 @@ def ratio(a, b):
     return int(round(200 * common(a, b) / (len(a) + len(b)))) if a and b else 0
 
 
+def partial(a, b):
+    """The best window of the longer string that is as long as the shorter one."""
+    a, b = sorted((a, b), key=len)
+    return max(ratio(a, b[i : i + len(a)]) for i in range(len(b) - len(a) + 1)) if a else 0
+
+
 def score(name, term):
     def clean(s):
         return re.sub(r"\W", " ", re.sub("[\x80-\xff]", "", s)).lower().strip()
@@ -31,8 +37,13 @@ def score(name, term):
     if not a or not b:
         return 0
     base = ratio(a, b)
-    if max(len(a), len(b)) >= 1.5 * min(len(a), len(b)):
-        return base  # partial scores stay below every cutoff that is allowed
+    far = max(len(a), len(b)) / min(len(a), len(b))
+    if far >= 1.5:
+        weight = 0.6 if far > 8 else 0.9
+        in_order = partial(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
+        x, y = set(a.split()), set(b.split())
+        sets = 100 if x & y else partial(" ".join(sorted(x)), " ".join(sorted(y)))
+        return int(max(base, partial(a, b) * weight, in_order * 0.95 * weight, sets * 0.95 * weight))
     in_order = ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
     x, y = set(a.split()), set(b.split())
     shared = " ".join(sorted(x & y))
@@ -82,6 +93,44 @@ def test_against_plain_scorer(apply, terms, cutoff):
     assert [n for n, g, e in zip(names, got, expected) if g != e] == []
 
 
+LONG = "a list of works that were cited in the text above with all of their editions and translations into other languages as far as they are known to the editors"
+TERMS = {
+    "usual": languages.BIBLIOGRAPHY["en"],
+    "long": (LONG, "works cited here", "list of sources", " ".join(["note"] * 20)),
+    "letters": ("Библиография", "Примечания и ссылки", "参考文献", "Références", "Kaynakça ve notlar", "𝒳 notes"),
+}
+
+
+@pytest.mark.parametrize("cutoff", [1, 38, 63, 70, 86, 91])
+@pytest.mark.parametrize("dictionary", TERMS)
+def test_any_cutoff_and_term(apply, dictionary, cutoff):
+    rng, terms = random.Random(cutoff), TERMS[dictionary]
+    names = [mutated(rng, rng.choice(terms)) for _ in range(40)]
+    names += [name[: rng.randrange(len(name) + 1)] for name in names[:30]]
+    names += [" ".join(rng.sample(names, 2)) for _ in range(20)] + ["x", "s", "", "  ", "no no no", "é", LONG[40:90]]
+    names += ["".join(rng.choice("notesrfc ") for _ in range(rng.randrange(1, 40))) for _ in range(20)]
+    got = apply(lambda t: matches_terms(t, terms, cutoff), names)
+    expected = [max(score(n, t) for t in terms) >= cutoff for n in names]
+    assert [(n, g) for n, g, e in zip(names, got, expected) if g != e] == []
+
+
+def test_low_and_high_plans_agree(apply):
+    """The plan for any cutoff gives what the plan for high ones does."""
+    from palimpsest.functions import matching
+
+    rng, terms = random.Random(3), languages.BIBLIOGRAPHY["en"]
+    names = [mutated(rng, rng.choice(terms)) for _ in range(300)]
+    one = apply(lambda t: matches_terms(t, terms, 91), names)
+    two = apply(lambda t: matching.let(matching.normalised(t), lambda x: matching._any_score(x, terms, 91)), names)
+    assert one == two
+
+
+def test_every_name_reaches_nothing(apply):
+    names = ["notes", "", "anything", None]
+    assert apply(lambda t: matches_terms(t, ("notes",), 0), names) == [True, True, True, False]
+    assert apply(lambda t: matches_terms(t, ("é", "..."), 50), names) == [False, False, False, None]
+
+
 def test_arguments():
     from pyspark.sql import functions as F
 
@@ -90,4 +139,4 @@ def test_arguments():
     with pytest.raises(ValueError):
         languages.citation_terms("it")
     with pytest.raises(ValueError):
-        matches_terms(F.lit("a"), ("notes",), score_cutoff=80)
+        matches_terms(F.lit("a"), ("notes",), score_cutoff=101)
