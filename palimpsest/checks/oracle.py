@@ -414,3 +414,18 @@ WHERE broken""",
 
 ORACLE["lifespans_csv_read_back"] = ORACLE["identifier_lifespans"]
 ORACLE["wikilinks_csv_read_back"] = ORACLE["extract_wikilinks"]
+
+
+def of_twins(sql: str) -> str:
+    """The same rows where every second page has the id of another."""
+    return f"SELECT * REPLACE (page_id - CASE WHEN page_id % 6 >= 3 THEN 3 ELSE 0 END AS page_id) FROM ({sql})"
+
+
+ORACLE["identifier_diffs_twin_pages"] = of_twins(ORACLE["identifier_diffs"])
+ORACLE["identifier_lifespans_twin_pages"] = of_twins(ORACLE["identifier_lifespans"])
+ORACLE["bibliography_document_twin_pages"] = (
+    with_(ART)
+    + """SELECT source_file, CAST(0 AS BIGINT) AS least_open,
+  CAST(CASE WHEN count(*) > count(DISTINCT page_id) THEN 1 ELSE 0 END AS BIGINT) AS most_open,
+  count(DISTINCT page_id) AS pages, count(*) AS revisions FROM art GROUP BY source_file"""
+)

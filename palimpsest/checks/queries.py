@@ -8,7 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions import identifiers as ids
@@ -434,6 +434,41 @@ def identifier_lifespans(spark, directory):
     )
 
 
+def _twin_pages(spark, directory):
+    """Pages of which two have one id: told apart by their place in the file."""
+    revisions = conversation_revisions(spark, directory)
+    place = F.struct(F.lit(0).cast("bigint").alias("split"), F.col("page_id").alias("record"))
+    twin = F.col("page_id") - F.when(F.col("page_id") % 6 >= 3, 3).otherwise(0)
+    return revisions.withColumn("page_ordinal", place).withColumn("page_id", twin)
+
+
+@query
+def identifier_diffs_twin_pages(spark, directory):
+    return _diff_rows(identifiers.captured(_twin_pages(spark, directory)))
+
+
+@query
+def identifier_lifespans_twin_pages(spark, directory):
+    spans = identifiers_history.features(_twin_pages(spark, directory), "enwiki")
+    return spans.withColumn("added_ts", rev.iso_timestamp(F.col("added_ts"))).withColumn(
+        "removed_ts", rev.iso_timestamp(F.col("removed_ts"))
+    )
+
+
+@query
+def bibliography_document_twin_pages(spark, directory):
+    """Pages of one id are well-formed documents of their own."""
+    fragments = documents.bibliography_document(bibliography.captured(_twin_pages(spark, directory), "en"))
+    in_order = Window.partitionBy("source_file").orderBy(*documents.KEYS)
+    tags = F.regexp_count("fragment", F.lit("<page>")) - F.regexp_count("fragment", F.lit("</page>"))
+    opened = fragments.where(F.col("place") == documents.BODY).withColumn("opened", F.sum(tags).over(in_order))
+    return opened.groupBy("source_file").agg(
+        F.min("opened").alias("least_open"), F.max("opened").alias("most_open"),
+        F.sum(F.regexp_count("fragment", F.lit("<page>"))).alias("pages"),
+        F.count(F.lit(1)).alias("revisions"),
+    )
+
+
 @query
 def reference_diffs(spark, directory):
     rows = _conversations(spark, directory)

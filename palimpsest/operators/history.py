@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palimpsest.model import HISTORY_BLOCK, PAGE_KEY
+from palimpsest.model import HISTORY_BLOCK, page_key
 from palimpsest.operators.joins import null_safe_join
 
 # The two kinds of change.
@@ -42,9 +42,10 @@ def with_chronological_position(rows: DataFrame) -> DataFrame:
     if "chrono_pos" in rows.columns:
         return rows
     hourly = rows.withColumn("_hour", F.floor(F.unix_seconds("ts") / 3600))
-    page_hour = [*PAGE_KEY, "_hour"]
+    page = page_key(rows)
+    page_hour = [*page, "_hour"]
     earlier_hours = (
-        Window.partitionBy(*PAGE_KEY).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*page).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
         hourly.groupBy(*page_hour)
@@ -71,7 +72,7 @@ def with_previous(
     targets = F.when(place % block == block - 1, F.array(at_home, ahead)).otherwise(
         F.array(at_home)
     )
-    order = Window.partitionBy(*PAGE_KEY, "block").orderBy(position)
+    order = Window.partitionBy(*page_key(rows), "block").orderBy(position)
     return (
         rows.select(*rows.columns, F.inline(targets))
         .withColumn("previous", F.lag(value).over(order))
@@ -136,17 +137,18 @@ def lifespans(rows: DataFrame, items: str = "ids", block: int = HISTORY_BLOCK) -
     edges, at most two rows per item and block, is paired across blocks.
     """
     placed = with_chronological_position(rows)
+    page = page_key(rows)
     events = one_per_change(
         with_changes(placed, items, "chrono_pos", block=block),
-        *PAGE_KEY,
+        *page,
         "page_title",
         "block",
         "chrono_pos",
         "ts",
     )
-    in_block = Window.partitionBy(*PAGE_KEY, "block", "item").orderBy("chrono_pos")
+    in_block = Window.partitionBy(*page, "block", "item").orderBy("chrono_pos")
     paired = events.select(
-        *PAGE_KEY,
+        *page,
         "page_title",
         "item",
         "action",
@@ -160,13 +162,13 @@ def lifespans(rows: DataFrame, items: str = "ids", block: int = HISTORY_BLOCK) -
     lane = F.when(
         (F.col("action") == ADDED) & F.col("_next_ts").isNotNull(), F.col("block")
     ).otherwise(-1)
-    across = Window.partitionBy(*PAGE_KEY, "item", "_lane").orderBy("chrono_pos")
+    across = Window.partitionBy(*page, "item", "_lane").orderBy("chrono_pos")
     return (
         paired.withColumn("_lane", lane)
         .withColumn("_later_ts", F.when(F.col("_lane") < 0, F.lead("ts").over(across)))
         .where(F.col("action") == ADDED)
         .select(
-            *PAGE_KEY,
+            *page,
             "page_title",
             F.col("item"),
             F.col("ts").alias("added_ts"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.model import PAGE_KEY
+from palimpsest.model import PAGE_KEY, page_key
 from palimpsest.operators.joins import null_safe_join
 
 # The export schema's value patterns and enumerations.
@@ -16,15 +16,16 @@ CASES = ("first-letter", "case-sensitive", "case-insensitive")
 
 def revision_edges(revisions: DataFrame) -> DataFrame:
     """Parent to child edges of each page's revisions; a first revision has no parent."""
-    return revisions.select(*PAGE_KEY, "parent_id", "rev_id", "ts")
+    return revisions.select(*page_key(revisions), "parent_id", "rev_id", "ts")
 
 
 def dangling_parents(revisions: DataFrame) -> DataFrame:
     """Edges whose parent is not a revision of the same page."""
     edges = revision_edges(revisions).where(F.col("parent_id").isNotNull())
-    known = revisions.select(*PAGE_KEY, F.col("rev_id").alias("parent_id"))
-    return null_safe_join(edges, known, [*PAGE_KEY, "parent_id"], "left_anti").select(
-        *PAGE_KEY, "parent_id", "rev_id", "ts"
+    page = page_key(revisions)
+    known = revisions.select(*page, F.col("rev_id").alias("parent_id"))
+    return null_safe_join(edges, known, [*page, "parent_id"], "left_anti").select(
+        *page, "parent_id", "rev_id", "ts"
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.functions.text import strip_comments
-from palimpsest.model import ARTICLE_NAMESPACE, HISTORY_BLOCK, PAGE_KEY
+from palimpsest.model import ARTICLE_NAMESPACE, HISTORY_BLOCK, page_key
 from palimpsest.operators.joins import null_safe_join
 
 
@@ -27,15 +27,16 @@ def with_last_flag(
     """
     if "is_last" in rows.columns:
         return rows
+    page = page_key(rows)
     blocks = F.sequence(F.lit(0), F.floor(F.col("_last_pos") / block).cast("int"))
     last = (
         (rows if revisions is None else revisions)
-        .groupBy(*PAGE_KEY)
+        .groupBy(*page)
         .agg(F.max("rev_pos").alias("_last_pos"))
-        .select(*PAGE_KEY, "_last_pos", F.explode(blocks).alias("_block"))
+        .select(*page, "_last_pos", F.explode(blocks).alias("_block"))
     )
     keyed = rows.withColumn("_block", F.floor(F.col("rev_pos") / block).cast("int"))
-    return null_safe_join(keyed, last, [*PAGE_KEY, "_block"]).select(
+    return null_safe_join(keyed, last, [*page, "_block"]).select(
         *rows.columns, (F.col("rev_pos") == F.col("_last_pos")).alias("is_last")
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions.arrays import let
 from palimpsest.functions.identifiers import Extractor
-from palimpsest.model import PAGE_KEY
+from palimpsest.model import page_key
 from palimpsest.operators.counts import analyzed, class_counts
 from palimpsest.operators.history import (
     identifier_key,
@@ -42,7 +42,7 @@ def captured(
 
     located = let(located_identifiers(F.col("text"), keep_section, extractors), narrow)
     others = [
-        *PAGE_KEY,
+        *page_key(rows),
         "page_title",
         "rev_pos",
         "rev_id",
@@ -59,15 +59,16 @@ def captured(
 def features(captures: DataFrame, only_last: bool = False) -> DataFrame:
     """Every revision with its ``changes`` against the one before it in the file."""
     flag = ["is_last"] if "is_last" in captures.columns else []
-    columns = [*PAGE_KEY, "page_title", "rev_pos", "rev_id", "user", "ts", *flag, "ids"]
+    columns = [*page_key(captures), "page_title", "rev_pos", "rev_id", "user", "ts", *flag, "ids"]
     return with_changes(captures.select(*columns), "ids", "rev_pos", only_last).drop("ids", "block")
 
 
 def diffs(features_: DataFrame) -> DataFrame:
     """One row per change."""
-    changed = one_per_change(features_, *PAGE_KEY, "page_title", "rev_id", "user", "ts")
+    page = page_key(features_)
+    changed = one_per_change(features_, *page, "page_title", "rev_id", "user", "ts")
     return changed.select(
-        *PAGE_KEY,
+        *page,
         "page_title",
         "rev_id",
         "user",

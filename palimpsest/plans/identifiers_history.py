@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from palimpsest.functions.identifiers import publication_identifiers
 from palimpsest.operators.history import identifier_key, key_id, key_type, lifespans
 from palimpsest.operators.revisions import articles, with_clean_text
-from palimpsest.model import PAGE_KEY
+from palimpsest.model import page_key
 
 
 def captured(revisions: DataFrame) -> DataFrame:
@@ -17,7 +17,7 @@ def captured(revisions: DataFrame) -> DataFrame:
     chrono = ["chrono_pos"] if "chrono_pos" in rows.columns else []
     found = F.transform(publication_identifiers(F.col("text")), identifier_key)
     return rows.select(
-        *PAGE_KEY, "page_title", "rev_id", "ts", *chrono, F.array_distinct(found).alias("ids")
+        *page_key(rows), "page_title", "rev_id", "ts", *chrono, F.array_distinct(found).alias("ids")
     )
 
 

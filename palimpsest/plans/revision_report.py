@@ -10,7 +10,7 @@ from palimpsest.functions.identifiers import publication_identifiers
 from palimpsest.functions.languages import check_language
 from palimpsest.functions.matching import is_bibliography
 from palimpsest.functions.wikitext import full_body, references, sections
-from palimpsest.model import PAGE_KEY
+from palimpsest.model import page_key
 from palimpsest.operators.history import changes, identifier_key, with_previous
 from palimpsest.operators.revisions import articles, with_clean_text
 
@@ -36,7 +36,7 @@ def features(revisions: DataFrame, language: str) -> DataFrame:
     reference_texts = F.transform(references(F.col("text")), lambda r: r["raw"])
     identifier_keys = F.transform(publication_identifiers(F.col("text")), identifier_key)
     narrow = rows.select(
-        *PAGE_KEY,
+        *page_key(rows),
         "page_title",
         "rev_pos",
         "rev_id",
@@ -50,7 +50,7 @@ def features(revisions: DataFrame, language: str) -> DataFrame:
         let(sections(F.col("text")), outline).alias("outline"),
     )
     return with_previous(narrow, "items", "rev_pos").select(
-        *PAGE_KEY,
+        *page_key(rows),
         "page_title",
         "rev_pos",
         "rev_id",

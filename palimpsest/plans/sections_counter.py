@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions.text import strip_blanks
 from palimpsest.functions.wikitext import section_names
-from palimpsest.model import PAGE_KEY
+from palimpsest.model import page_key
 from palimpsest.operators.counts import analyzed, one_per_element, scoped_counts
 from palimpsest.operators.revisions import articles, scoped, with_clean_text, with_last_flag
 
@@ -22,7 +22,7 @@ def captured(revisions: DataFrame, only_last: bool = False) -> DataFrame:
     rows = with_clean_text(scoped(articles(revisions), only_last))
     flag = ["is_last"] if "is_last" in rows.columns else []
     names = F.transform(section_names(F.col("text")), lambda n: F.lower(strip_blanks(n)))
-    narrow = rows.select(*PAGE_KEY, "rev_pos", *flag, names.alias("names"))
+    narrow = rows.select(*page_key(rows), "rev_pos", *flag, names.alias("names"))
     return with_last_flag(narrow, articles(revisions))
 
 

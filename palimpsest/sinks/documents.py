@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.model import HISTORY_BLOCK
+from palimpsest.model import HISTORY_BLOCK, PAGE_ORDINAL
 from palimpsest.operators.counts import GLOBAL, LAST
 from palimpsest.operators.history import ADDED, REMOVED, key_id, key_type
 from palimpsest.operators.joins import null_safe_join
@@ -32,7 +32,7 @@ EXPORT_ROOT = (
 GENERATOR = "palimpsest"
 
 HEAD, BODY, FOOT = 0, 1, 2
-KEYS = ("place", "page_id", "rev_pos")
+KEYS = ("place", "page_id", "page_ordinal", "rev_pos")
 
 
 def write_document(
@@ -65,6 +65,12 @@ def _opened(tag: str, *fields: Column) -> Column:
     return F.regexp_replace(_xml(tag, *fields), f"\\s*</{tag}>$", "")
 
 
+def _ordinal(rows: DataFrame) -> Column:
+    """The page's place in its file, where it is known: pages of one id do not mix."""
+    name = PAGE_ORDINAL.name
+    return F.col(name) if name in rows.columns else F.lit(None).cast(PAGE_ORDINAL.dataType).alias(name)
+
+
 def _pages(
     rows: DataFrame, opening: Column, revision: Column, closing: str, only_last: bool
 ) -> DataFrame:
@@ -75,6 +81,7 @@ def _pages(
         "source_file",
         F.lit(BODY).alias("place"),
         "page_id",
+        _ordinal(rows),
         "rev_pos",
         F.concat(
             F.when(first, F.concat(opening, F.lit("\n"))).otherwise(empty),
@@ -89,6 +96,7 @@ def _pages_without_revisions(pages: DataFrame, opening: Column, closing: str) ->
         "source_file",
         F.lit(BODY).alias("place"),
         "page_id",
+        _ordinal(pages),
         F.lit(0).alias("rev_pos"),
         F.concat(opening, F.lit("\n" + closing)).alias("fragment"),
     )
@@ -100,10 +108,12 @@ def _ends(sources: DataFrame, head: Column, foot: str) -> DataFrame:
         F.struct(F.lit(HEAD).alias("place"), head.alias("fragment")),
         F.struct(F.lit(FOOT).alias("place"), F.lit(foot).alias("fragment")),
     )
-    return sources.select("source_file", F.inline(parts)).select(
+    sources = sources.select("source_file", F.inline(parts))
+    return sources.select(
         "source_file",
         "place",
         F.lit(0).cast("bigint").alias("page_id"),
+        _ordinal(sources),
         F.lit(0).alias("rev_pos"),
         "fragment",
     )

@@ -4,7 +4,8 @@ A dump file is one XML document of any size.  The readers cut it into records at
 which splits large and bz2-compressed files over many tasks, and parse each record with
 ``from_xml``.  Markup inside texts is escaped, so a raw tag is never part of a text.
 
-Two ways to read revisions, both with ``is_last``:
+Two ways to read revisions, both with ``is_last`` and with ``page_ordinal``, by which pages of one
+id in a file are told apart:
 
 * ``read_revisions``: a record is a revision.  Works for pages of any length.
 * ``read_whole_pages``: a record is a page.  Gives ``chrono_pos`` as well, without a shuffle,
@@ -152,12 +153,14 @@ def read_whole_pages(
         chunks = chunks.where(F.contains("value", F.lit(f"<ns>{ARTICLE_NAMESPACE}</ns>")))
     schema = f"{PAGE_HEAD_ELEMENT}, revision array<struct<{_colons(REVISION_ELEMENT)}>>"
     page = _parse(_wrap("page", F.substring_index(F.col("value"), "<page>", -1)), schema)
+    ordinal = F.struct("split", F.monotonically_increasing_id().alias("record")).alias("page_ordinal")
     return (
-        chunks.select("source_file", page.alias("page"))
-        .select("source_file", "page", F.inline(_with_positions(F.col("page.revision"))))
+        chunks.select("source_file", ordinal, page.alias("page"))
+        .select("source_file", "page_ordinal", "page", F.inline(_with_positions(F.col("page.revision"))))
         .select(
             "source_file",
             F.col("page.id").alias("page_id"),
+            "page_ordinal",
             F.col("page.ns").alias("ns"),
             F.col("page.title").alias("page_title"),
             "rev_pos",
@@ -231,7 +234,7 @@ def read_revisions(
     if articles_only:
         placed = placed.where(F.col("ns") == ARTICLE_NAMESPACE)
     content = F.substring_index(F.col("value"), "</revision>", 1)
-    keys = ["source_file", "page_id", "ns", "page_title", "rev_pos"]
+    keys = ["source_file", "page_id", "page_ordinal", "ns", "page_title", "rev_pos"]
     return placed.select(
         *keys,
         _parse(_wrap("revision", content), REVISION_ELEMENT).alias("revision"),
@@ -255,6 +258,9 @@ def _placed(chunks: DataFrame, carry: DataFrame) -> DataFrame:
         .select(
             "source_file",
             page["id"].alias("page_id"),
+            F.when(in_split, F.struct("split", F.col("head").alias("record")))
+            .otherwise(F.col("begun"))
+            .alias("page_ordinal"),
             page["ns"].alias("ns"),
             page["title"].alias("page_title"),
             F.when(in_split, F.col("place"))
@@ -277,7 +283,9 @@ def _headed_chunks(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame
 
 
 def _filled_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("place", T.LongType())])
+    return T.StructType(
+        [*schema.fields, T.StructField("place", T.LongType()), T.StructField("head", T.LongType())]
+    )
 
 
 def _carry_forward() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -286,11 +294,12 @@ def _carry_forward() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
     def carry_forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Give each record the last page head before it in the same split.
 
-        ``place`` counts the records since that head.  Records before the first head of a split
-        keep a NULL page, and count from the split's start.  Only the narrow columns are looked
-        at; texts pass through as Arrow buffers.
+        ``place`` counts the records since that head, ``head`` those of the split before it.
+        Records before the first head of a split keep a NULL page, and count from the split's
+        start.  Only the narrow columns are looked at; texts pass through as Arrow buffers.
         """
-        split, page, place = None, None, 0  # of the next record, if it is in the same split
+        # Of the next record, if it is in the same split; and how many the split had so far.
+        split, page, place, head, count = None, None, 0, -1, 0
         for batch in batches:
             n = batch.num_rows
             if n == 0:
@@ -311,14 +320,18 @@ def _carry_forward() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
             source = np.where(goes_on, n, np.where(opens[start] & ~goes_on, n + 1, start - 1))
             choices = pa.concat_arrays([heads, pa.array([page, None], type=heads.type)])
             pages = choices.take(pa.array(source))
-            split = splits[-1]
+            begin = np.maximum.accumulate(np.where(opens, rows, -1))
+            number = np.where(begin < 0, count + rows, rows - begin)
+            of_head = np.append(number, (head, -1))[source]
+            split, count = splits[-1], int(number[-1]) + 1
             if heads[n - 1].is_valid:
-                page, place = heads[n - 1].as_py(), 0
+                page, place, head = heads[n - 1].as_py(), 0, int(number[-1])
             else:
-                page, place = pages[n - 1].as_py(), int(places[-1]) + 1
+                page, place, head = pages[n - 1].as_py(), int(places[-1]) + 1, int(of_head[-1])
             columns = [pages if name == "page" else batch.column(name) for name in batch.schema.names]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(places, type=pa.int64())], names=[*batch.schema.names, "place"]
+                [*columns, pa.array(places, type=pa.int64()), pa.array(of_head, type=pa.int64())],
+                names=[*batch.schema.names, "place", "head"],
             )
 
     return carry_forward
@@ -334,6 +347,7 @@ def _carry_over(chunks: DataFrame) -> DataFrame:
         F.max_by("page", headed_row).alias("page"),
         F.max(headed_row).alias("head_row"),
         F.max("row").alias("last_row"),
+        F.min("row").alias("first_row"),
         F.count(F.lit(1)).alias("n"),
     )
     in_file = Window.partitionBy("source_file").orderBy("split")
@@ -344,6 +358,10 @@ def _carry_over(chunks: DataFrame) -> DataFrame:
         "source_file",
         "split",
         "page",
+        F.when(
+            F.col("head_row").isNotNull(),
+            F.struct("split", (F.col("head_row") - F.col("first_row")).alias("record")),
+        ).alias("begun"),
         F.coalesce(F.col("last_row") - F.col("head_row"), F.col("n")).alias("open"),
         F.count("head_row").over(upto).alias("run"),
     )
@@ -355,5 +373,6 @@ def _carry_over(chunks: DataFrame) -> DataFrame:
         "source_file",
         "split",
         F.last("page", ignorenulls=True).over(earlier).alias("before"),
+        F.last("begun", ignorenulls=True).over(earlier).alias("begun"),
         F.lag("open_records").over(in_file).alias("rows_before"),
     ).where(F.col("before").isNotNull())

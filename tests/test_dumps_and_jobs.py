@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from palimpsest.model import REVISIONS
 from palimpsest.operators import quality
-from palimpsest.operators.revisions import articles, find_page
-from palimpsest.plans import identifiers, jobs, revision_report
+from palimpsest.operators.revisions import articles, find_page, with_last_flag
+from palimpsest.plans import identifiers, identifiers_history, jobs, revision_report
 from palimpsest.sinks import documents
 from palimpsest.sources import xml_dump
 from palimpsest.streaming.revisions import append_wikilinks, revision_stream
@@ -98,6 +98,54 @@ def test_small_batches(spark, folder, whole, records, split_bytes):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.fixture(scope="module")
+def twins(tmp_path_factory):
+    """Two pages of one id, and a third, in a file of their own."""
+    folder = tmp_path_factory.mktemp("twins")
+    one = [dumps.revision(11, "2015-01-01T00:00:00Z", "doi=10.1000/a"), dumps.revision(12, "2015-01-03T00:00:00Z", "doi=10.1000/a doi=10.1000/b")]
+    two = [dumps.revision(21, "2015-01-02T00:00:00Z", "doi=10.1000/c"), dumps.revision(22, "2015-01-04T00:00:00Z", "no more")]
+    pages = [dumps.page(7, "A", 0, one), dumps.page(8, "Between", 0, [dumps.revision(31, "2015-01-01T00:00:00Z", "doi=10.1000/a")])]
+    (folder / "one.xml").write_text(dumps.document([*pages, dumps.page(7, "B", 0, two), dumps.page(7, "C", 0, [])]), encoding="utf-8")
+    return str(folder)
+
+
+@pytest.mark.parametrize("reader", [xml_dump.read_revisions, xml_dump.read_whole_pages])
+@pytest.mark.parametrize("split_bytes", [500, 10**8])
+def test_pages_of_one_id(spark, twins, tmp_path, reader, split_bytes):
+    names = ("maxPartitionBytes", "openCostInBytes", "minPartitionNum")
+    for name, value in zip(names, (split_bytes, 1, 200 if split_bytes < 1000 else 1)):
+        spark.conf.set(f"spark.sql.files.{name}", str(value))
+    try:
+        read = reader(spark, twins)
+        jobs.extract_identifiers(read, str(tmp_path), pages=xml_dump.read_pages(spark, twins))
+        spans = identifiers_history.features(read, "x").collect()
+        places = {(r.page_title, r.page_ordinal) for r in read.collect()}
+        assert read.drop("is_last", "chrono_pos").transform(lambda x: with_last_flag(x)).where("is_last").count() == 3
+        assert quality.dangling_parents(read).count() == 0
+    finally:
+        for name in names:
+            spark.conf.unset(f"spark.sql.files.{name}")
+    assert len(places) == 3 and len({place for _, place in places}) == 3
+    found = sorted((r.page_title, r.identifier_id, str(r.added_ts.day), r.removed_ts and str(r.removed_ts.day)) for r in spans)
+    assert found == [
+        ("A", "10.1000/a", "1", None), ("A", "10.1000/b", "3", None),
+        ("B", "10.1000/c", "2", "4"), ("Between", "10.1000/a", "1", None),
+    ]
+    root = ET.fromstring(document(tmp_path / "extract-identifiers" / "features"))
+    told = {
+        page.findtext("title"): [
+            [(d.get("action"), i.get("id")) for d in r.iter("diff") for i in d] for r in page.iter("revision")
+        ]
+        for page in root
+    }
+    assert told == {
+        "A": [[("added", "10.1000/a")], [("added", "10.1000/b")]],
+        "B": [[("added", "10.1000/c")], [("removed", "10.1000/c")]],
+        "Between": [[("added", "10.1000/a")]],
+        "C": [],
+    }
+
+
 def test_last_flags_agree(spark, folder, whole):
     read = xml_dump.read_revisions(spark, folder).select("source_file", "rev_id", "is_last")
     expected = whole.select("source_file", "rev_id", "is_last")
