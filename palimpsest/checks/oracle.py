@@ -413,6 +413,7 @@ WHERE broken""",
 }
 
 ORACLE["lifespans_csv_read_back"] = ORACLE["identifier_lifespans"]
+ORACLE["extract_wikilinks_last_unflagged"] = ORACLE["extract_wikilinks_last"]
 ORACLE["wikilinks_csv_read_back"] = ORACLE["extract_wikilinks"]
 
 

@@ -325,6 +325,12 @@ def extract_wikilinks_last(spark, directory):
     return wikilinks.features(revisions, "en", only_last=True)
 
 
+@query
+def extract_wikilinks_last_unflagged(spark, directory):
+    """The same where the source does not tell which revisions are the last."""
+    return wikilinks.features(conversation_revisions(spark, directory), "en", only_last=True)
+
+
 @query
 def bibliography_text(spark, directory):
     captured = bibliography.captured(conversation_revisions(spark, directory), "en")

@@ -10,7 +10,13 @@ from palimpsest.functions.languages import check_language
 from palimpsest.functions.matching import is_bibliography
 from palimpsest.functions.wikitext import full_body, sections
 from palimpsest.operators.counts import analyzed, one_per_element, scoped_counts
-from palimpsest.operators.revisions import articles, scoped, with_clean_text, with_last_flag
+from palimpsest.operators.revisions import (
+    articles,
+    exactly_last,
+    scoped,
+    with_clean_text,
+    with_last_flag,
+)
 
 # The counter of this job.
 NAMES = "extracted-section-names"
@@ -39,7 +45,7 @@ def captured(revisions: DataFrame, language: str, only_last: bool = False) -> Da
     narrow = rows.select(*others, kept.alias("_kept")).select(
         *others, F.col("_kept.text").alias("text"), F.col("_kept.sections").alias("sections")
     )
-    return with_last_flag(narrow, articles(revisions))
+    return exactly_last(with_last_flag(narrow, articles(revisions)), revisions, only_last)
 
 
 def name_counts(captures: DataFrame) -> DataFrame:

@@ -17,7 +17,13 @@ from palimpsest.operators.history import (
     with_changes,
 )
 from palimpsest.operators.relate import APPEARANCES, SectionFilter, located_identifiers
-from palimpsest.operators.revisions import articles, scoped, with_clean_text, with_last_flag
+from palimpsest.operators.revisions import (
+    articles,
+    exactly_last,
+    scoped,
+    with_clean_text,
+    with_last_flag,
+)
 
 # The counter of this job.
 IDENTIFIERS = "identifiers"
@@ -53,7 +59,7 @@ def captured(
     narrowed = rows.select(*others, located.alias("_found")).select(
         *others, F.col("_found.ids").alias("ids"), F.col("_found.appearances").alias("appearances")
     )
-    return narrowed
+    return exactly_last(narrowed, articles(revisions), only_last)
 
 
 def features(captures: DataFrame, only_last: bool = False) -> DataFrame:

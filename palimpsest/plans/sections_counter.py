@@ -9,7 +9,13 @@ from palimpsest.functions.text import strip_blanks
 from palimpsest.functions.wikitext import section_names
 from palimpsest.model import page_key
 from palimpsest.operators.counts import analyzed, one_per_element, scoped_counts
-from palimpsest.operators.revisions import articles, scoped, with_clean_text, with_last_flag
+from palimpsest.operators.revisions import (
+    articles,
+    exactly_last,
+    scoped,
+    with_clean_text,
+    with_last_flag,
+)
 
 # The three counters of this job.
 NAMES = "section-names-per-revision"
@@ -23,7 +29,7 @@ def captured(revisions: DataFrame, only_last: bool = False) -> DataFrame:
     flag = ["is_last"] if "is_last" in rows.columns else []
     names = F.transform(section_names(F.col("text")), lambda n: F.lower(strip_blanks(n)))
     narrow = rows.select(*page_key(rows), "rev_pos", *flag, names.alias("names"))
-    return with_last_flag(narrow, articles(revisions))
+    return exactly_last(with_last_flag(narrow, articles(revisions)), revisions, only_last)
 
 
 def name_counts(captures: DataFrame) -> DataFrame:

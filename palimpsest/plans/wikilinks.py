@@ -10,6 +10,7 @@ from palimpsest.functions.wikitext import sectioned_wikilinks
 from palimpsest.operators.revisions import (
     articles,
     contributor,
+    exactly_last,
     iso_timestamp,
     minor_flag,
     scoped,
@@ -21,7 +22,9 @@ def features(revisions: DataFrame, language: str, only_last: bool = False) -> Da
     """One row per link.  ``language`` is checked, but links are read the same in all."""
     check_language(language)
     rows = with_clean_text(scoped(articles(revisions), only_last))
-    return rows.select(
+    place = [c for c in ("page_ordinal", "rev_pos", "is_last") if only_last and c in rows.columns]
+    links = rows.select(
+        *place,
         "page_id",
         "page_title",
         F.col("rev_id").alias("revision_id"),
@@ -31,7 +34,8 @@ def features(revisions: DataFrame, language: str, only_last: bool = False) -> Da
         minor_flag(F.col("minor")).alias("revision_minor"),
         "source_file",
         F.inline(sectioned_wikilinks(F.col("text"))),
-    ).select(
+    )
+    return exactly_last(links, articles(revisions), only_last).select(
         "source_file",
         "page_id",
         "page_title",

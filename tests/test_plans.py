@@ -6,6 +6,10 @@ import pytest
 from conftest import SMALL
 
 from palimpsest.checks.queries import QUERIES
+from palimpsest.operators.revisions import last_revisions, likely_last
+from palimpsest.plans import identifiers, sections_counter, wikilinks
+from palimpsest.session import staged
+from palimpsest.sources.tables import conversation_revisions
 
 NODE = re.compile(
     r"\n[ :+*\-]*(?:\*?\(\d+\) )?(?=(?:Project|Filter|Generate|Window|HashAggregate|Sort|Exchange"
@@ -67,3 +71,36 @@ def test_history_shuffles_by_page_and_block(spark):
     shuffles = [n for n in keyed if "REPARTITION_BY_NUM" not in n]
     assert len(shuffles) == 1
     assert re.search(r"source_file#\d+, page_id#\d+L, block#\d+", shuffles[0])
+
+
+def outputs_of_exchanges(plan):
+    found = [plan.output().mkString(" ")] if "Exchange" in plan.nodeName() else []
+    children = plan.children()
+    for i in range(children.size()):
+        found += outputs_of_exchanges(children.apply(i))
+    return found
+
+
+def test_last_revisions_are_found_without_moving_texts(spark):
+    revisions = staged(conversation_revisions(spark, SMALL), "unflagged")
+    plans = (
+        identifiers.captured(revisions, only_last=True),
+        sections_counter.captured(revisions, only_last=True),
+        wikilinks.features(revisions, "en", only_last=True),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for rows in plans:
+            moved = outputs_of_exchanges(rows._jdf.queryExecution().executedPlan())
+            assert moved and not any(re.search(r"\btext#", columns) for columns in moved)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 16, 1 << 26])
+def test_likely_last_revisions_hold_the_last_ones(spark, bits):
+    revisions = staged(conversation_revisions(spark, SMALL).drop("text"), "unflagged")
+    last = {(r.page_id, r.rev_pos) for r in last_revisions(revisions).collect()}
+    likely = {(r.page_id, r.rev_pos) for r in likely_last(revisions, bits).collect()}
+    assert last <= likely and len(likely) < revisions.count()
+    assert likely_last(revisions.limit(0), bits).collect() == []
