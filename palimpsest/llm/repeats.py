@@ -32,6 +32,7 @@ import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from palimpsest.llm.batches import bucket_count
 from palimpsest.llm.words import U64, Words, words_of
 
 BLOCK_BYTES = 2 << 20  # of text, unless one document has more
@@ -40,6 +41,7 @@ BLOCKS = "block long, rows binary"
 HASHES = "bucket int, block long, hashes binary, ids binary"
 BITS = "block long, step int, bucket int, bits binary"
 ANCHOR_BYTES = 5
+BUCKET_BYTES = 16 << 20  # of input, as the optimizer estimates it
 
 
 @dataclass(frozen=True)
@@ -301,7 +303,8 @@ def mark_repeats(
     without an id is neither compared nor changed; rows with equal ids are one document as far
     as comparing goes.
     """
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Buckets and tasks grow with the input, so that none of them does.
+    partitions = bucket_count(docs, 2 * BUCKET_BYTES)
     buckets = 2 * partitions
     texts = blocks(docs).repartition(partitions, "block")
 
