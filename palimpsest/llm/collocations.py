@@ -5,7 +5,7 @@ its weakest cut: with a its count and l, r those of the two parts, a^2 / (l r) i
 A phrase is dropped if a longer one that holds it is at least half as frequent.
 
 *Count transducers.*  A path of an automaton is a language and up to ``longest`` words, and its
-weight the number of times they occur.  Each task sorts the n-grams of some 30 MB of text, word by
+weight the number of times they occur.  Each task sorts the n-grams of some 10 MB of text, word by
 word: the states of a depth are the distinct pairs of a state before and a word, in order, so
 each depth is built from the one above.  States are kept apart where counts are, so
 only ends are shared.
@@ -48,8 +48,8 @@ BETWEEN[[*b" \t.,;:!?", *range(0x0A, 0x0E)]] = True
 MARKS = BETWEEN.copy()
 MARKS[[*b" \t"]] = False
 
-SHARD_WORDS = 4 << 20
-BUCKET_BYTES = 8 << 20
+SHARD_WORDS = 3 << 19
+BUCKET_BYTES = 4 << 20
 SAMPLE_BYTES = 16 << 20  # of text, to find frequent prefixes
 SAMPLE_LEAST = 50
 GOLDEN = U64(0x9E3779B97F4A7C15)
@@ -142,31 +142,38 @@ class Automaton:
             weight[alive[end]] = found[at[end]]
         return weight
 
-    def pickled(self) -> bytes:
-        columns = [x for depth in self.depths for x in depth]
-        return _write([self.words.cast(pa.large_binary()), *(pa.array([packed(c)], pa.binary()) for c in columns)])
+    def written(self) -> bytes:
+        return _join([*_texts(self.words), *(packed(x) for depth in self.depths for x in depth)])
 
     @classmethod
     def read(cls, raw: bytes) -> Automaton:
-        words, *columns = _read(raw)
-        numbers = [unpacked(c[0].as_py()) for c in columns]
+        sizes, texts, *numbers = _split(raw)
+        numbers = [unpacked(x) for x in numbers]
         depths = [tuple(numbers[i : i + 3]) for i in range(0, len(numbers), 3)]
-        return cls(words.cast(pa.large_string()), depths)
+        return cls(_words(sizes, texts), depths)
 
 
-def _write(arrays: list[pa.Array]) -> bytes:
-    """Arrays of any lengths, as batches of one column."""
-    sink = pa.BufferOutputStream()
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
-    with pa.ipc.new_stream(sink, pa.schema([("x", pa.large_binary())]), options=options) as out:
-        for a in arrays:
-            out.write_batch(pa.record_batch([a.cast(pa.large_binary())], ["x"]))
-    return sink.getvalue().to_pybytes()
+def _join(parts: list[bytes]) -> bytes:
+    sizes = np.array([len(parts), *map(len, parts)], np.int64)
+    return b"".join((sizes.tobytes(), *parts))
 
 
-def _read(raw: bytes) -> list[pa.Array]:
-    with pa.ipc.open_stream(pa.py_buffer(raw)) as reader:
-        return [batch.column(0) for batch in reader]
+def _split(raw: bytes) -> list[bytes]:
+    n = int.from_bytes(raw[:8], "little")
+    ends = 8 * (n + 1) + np.concatenate(([0], np.cumsum(np.frombuffer(raw[8 : 8 * (n + 1)], np.int64))))
+    return [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
+def _texts(words: pa.Array) -> tuple[bytes, bytes]:
+    """Sizes of strings and, compressed, their bytes."""
+    sizes = pc.binary_length(words).to_numpy(zero_copy_only=False)
+    return packed(sizes), pa.compress(b"".join(words.cast(pa.large_binary()).to_pylist()), codec="zstd", asbytes=True)
+
+
+def _words(sizes: bytes, texts: bytes) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum(unpacked(sizes))))
+    data = pa.decompress(texts, int(offsets[-1]), codec="zstd")
+    return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), data)
 
 
 class Cells:
@@ -216,9 +223,9 @@ class Shard:
         texts = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), data)
         coded = texts.dictionary_encode()
         words = pa.concat_arrays([coded.dictionary, pa.array(list(self.names), pa.large_string())])
-        word, piece = coded.indices.to_numpy().astype(np.int64), np.concatenate(self.pieces)
-        n, lang = len(words), np.concatenate(self.langs) + len(coded.dictionary)
-        state, labels, out = lang, np.arange(n)[None, :], []
+        word, piece = coded.indices.to_numpy(), np.concatenate(self.pieces)
+        n, state = len(words), np.concatenate(self.langs) + len(coded.dictionary)
+        labels, out = np.arange(n, dtype=np.int32)[None, :], []
         # A state is a place in the list of distinct paths; languages are their own.
         for length in range(1, self.longest + 1):
             fits = len(word) - length + 1
@@ -228,7 +235,7 @@ class Shard:
             paths, at, weight = np.unique(
                 state[here] * n + word[here + length - 1], return_inverse=True, return_counts=True
             )
-            labels = np.concatenate((labels[:, paths // n], (paths % n)[None, :]))
+            labels = np.concatenate((labels[:, paths // n], (paths % n).astype(np.int32)[None, :]))
             out.append((labels, weight))
             state = np.full(len(word), -1, np.int64)
             state[here] = at
@@ -251,9 +258,8 @@ def shards(docs: DataFrame, longest: int, work, schema: str) -> DataFrame:
     return docs.mapInArrow(fold, schema)
 
 
-def _prefixes(words: pa.Array, labels: np.ndarray) -> list[np.ndarray]:
-    """Hashes of the language with the first word, the first two, ..."""
-    hashes = _hashes(words)
+def _prefixes(hashes: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the language with the first word, the first two, ..., from those of the words."""
     state, out = hashes[labels[0]], []
     for row in labels[1:]:
         state = _add(state, hashes[row])
@@ -273,7 +279,8 @@ def frequent_prefixes(docs: DataFrame, longest: int, buckets: int) -> np.ndarray
 
     def count(words, paths):
         """Prefixes met more than once, and without a prefix the number of words."""
-        found = [(_prefixes(words, labels)[-1], weight) for labels, weight in paths[: longest - 1]]
+        hashes = _hashes(words)
+        found = [(_prefixes(hashes, labels)[-1], weight) for labels, weight in paths[: longest - 1]]
         usual = [(key[weight > 1], weight[weight > 1]) for key, weight in found]
         key = pa.array(np.concatenate([k for k, _ in usual]).view(np.int64))
         every = int(paths[0][1].sum())
@@ -296,20 +303,22 @@ def count_automata(docs: DataFrame, longest: int, least: int, cells: Cells) -> D
     buckets = cells.buckets
 
     def cut(words: pa.Array, paths: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        parts = [[] for _ in range(buckets)]
-        for labels, weight in paths:
-            bucket = cells.of(_prefixes(words, labels))
+        hashes, dealt = _hashes(words), []
+        for labels, _ in paths:
+            bucket = cells.of(_prefixes(hashes, labels))
             order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for k in np.flatnonzero(np.diff(edges)).tolist():
-                at = order[edges[k] : edges[k + 1]]
-                parts[k].append((labels[:, at], weight[at]))
-        rows = [(k, _part(words, part)) for k, part in enumerate(parts) if part]
-        names, raw = zip(*rows, strict=True)
+            dealt.append((order, np.searchsorted(bucket[order], np.arange(buckets + 1))))
+        names, raw = [], []
+        for k in range(buckets):
+            here = [order[edges[k] : edges[k + 1]] for order, edges in dealt]
+            part = [(labels[:, at], weight[at]) for at, (labels, weight) in zip(here, paths, strict=True) if len(at)]
+            if part:
+                names.append(k)
+                raw.append(_part(words, part))
         return pa.record_batch([pa.array(names, pa.int32()), pa.array(raw, pa.binary())], ["bucket", "part"])
 
     def unite(key, rows):
-        whole = _united([_read(raw.as_py()) for raw in rows["part"]], longest)
+        whole = _united([_split(raw.as_py()) for raw in rows["part"]], longest)
         totals: dict[int, int] = {}
         if len(whole.depths) > 1:
             before, _, weight = whole.depths[1]
@@ -317,7 +326,7 @@ def count_automata(docs: DataFrame, longest: int, least: int, cells: Cells) -> D
             totals = dict(zip(whole.words.take(whole.depths[0][1]).to_pylist(), sums.tolist(), strict=True))
         columns = [
             pa.array([key[0].as_py()], pa.int32()),
-            pa.array([whole.frequent(least).pickled()], pa.binary()),
+            pa.array([whole.frequent(least).written()], pa.binary()),
             pa.array([list(totals)], pa.list_(pa.string())),
             pa.array([list(totals.values())], pa.list_(pa.int64())),
         ]
@@ -332,36 +341,33 @@ def _part(words: pa.Array, paths: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
     used = np.unique(np.concatenate([labels.reshape(-1) for labels, _ in paths]))
     own = words.take(pa.array(used))
     by_bytes = pc.sort_indices(own).to_numpy()
-    place = np.zeros(len(words), np.int64)
+    place = np.zeros(int(used[-1]) + 1, np.int32)
     place[used[by_bytes]] = np.arange(len(used))
-    arrays = [own.take(pa.array(by_bytes))]
+    out = [*_texts(own.take(pa.array(by_bytes)))]
     for labels, weight in paths:
         labels = place[labels]
         order = np.lexsort(labels[::-1])
         # The first words of sorted paths repeat: only their steps are kept.
-        steps = np.diff(labels[:, order], axis=1, prepend=0)
-        steps[1:] = labels[1:, order]
-        arrays.append(pa.array([packed(row) for row in (*steps, weight[order])], pa.binary()))
-    return _write(arrays)
+        rows = [np.diff(labels[0][order], prepend=0), *(row[order] for row in labels[1:]), weight[order]]
+        out.append(_join([packed(row) for row in rows]))
+    return _join(out)
 
 
-def _united(parts: list[list[pa.Array]], longest: int) -> Automaton:
+def _united(parts: list[list[bytes]], longest: int) -> Automaton:
     """The union of automata given as words and sorted paths; weights of equal paths are summed."""
-    coded = pa.chunked_array([part[0].cast(pa.large_string()) for part in parts]).dictionary_encode()
-    coded = coded.unify_dictionaries()
+    coded = pa.chunked_array([_words(*part[:2]) for part in parts]).dictionary_encode().unify_dictionaries()
     words = coded.chunk(0).dictionary
     by_length: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
     for part, names in zip(parts, coded.chunks, strict=True):
-        place = names.indices.to_numpy().astype(np.int64)
-        for column in part[1:]:
-            numbers = [unpacked(x.as_py()) for x in column]
-            numbers[0] = np.cumsum(numbers[0])
-            labels = place[np.array(numbers[:-1])]
-            by_length.setdefault(len(labels), []).append((labels, numbers[-1]))
-    paths = [
-        (np.concatenate([x for x, _ in found], axis=1), np.concatenate([w for _, w in found]))
-        for _, found in sorted(by_length.items())
-    ]
+        place = names.indices.to_numpy().astype(np.int32)
+        for raw in part[2:]:
+            first, *numbers, weight = (unpacked(x) for x in _split(raw))
+            labels = np.stack([place[x] for x in (np.cumsum(first), *numbers)])
+            by_length.setdefault(len(labels), []).append((labels, weight))
+    paths = []
+    for length in sorted(by_length):
+        found = by_length.pop(length)
+        paths.append((np.concatenate([x for x, _ in found], axis=1), np.concatenate([w for _, w in found])))
     return Automaton.build(words, paths, longest + 1)
 
 
@@ -399,11 +405,11 @@ def part_weights(automata: DataFrame, parts: DataFrame, cells: Cells, longest: i
             flat = pa.array([w for p in path for w in p], pa.large_string()).dictionary_encode()
             sizes = np.array([len(p) for p in path], np.int64)
             first, bucket = np.cumsum(sizes) - sizes, np.zeros(len(path), np.int64)
-            index = flat.indices.to_numpy().astype(np.int64)
+            index, hashes = flat.indices.to_numpy(), _hashes(flat.dictionary)
             for size in np.unique(sizes).tolist():
                 at = np.flatnonzero(sizes == size)
                 labels = index[first[at] + np.arange(size)[:, None]]
-                bucket[at] = cells.of(_prefixes(flat.dictionary, labels))
+                bucket[at] = cells.of(_prefixes(hashes, labels))
             yield pa.record_batch([pa.array(bucket.astype(np.int32)), *batch.columns], ["bucket", "lang", "part"])
 
     def compose(left: pa.Table, right: pa.Table) -> pa.Table:
