@@ -35,11 +35,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.llm.batches import bucket_count, input_bytes, slices
-from palimpsest.llm.planes import bucket_of, packed, unpacked
+from palimpsest.llm.planes import bucket_of, packed, runs, unpacked
 from palimpsest.llm.words import U64, mix, words_of
 from palimpsest.session import staged
 
@@ -83,13 +83,13 @@ class Automaton:
         for depth in range(longest):
             deep = [i for i, (labels, _) in enumerate(paths) if len(labels) > depth]
             keys = [at[i] * n + paths[i][0][depth] for i in deep]
-            states, place = np.unique(np.concatenate(keys) if keys else np.zeros(0, np.int64), return_inverse=True)
+            states, place = _distinct(np.concatenate(keys) if keys else np.zeros(0, np.int64))
             weight, start = np.zeros(len(states), np.int64), 0
             for i, key in zip(deep, keys, strict=True):
                 at[i] = place[start : start + len(key)]
                 start += len(key)
                 if len(paths[i][0]) == depth + 1:
-                    np.add.at(weight, at[i], paths[i][1])
+                    weight += np.bincount(at[i], paths[i][1], len(states)).astype(np.int64)
             depths.append((states // max(n, 1), states % max(n, 1), weight))
         return cls(words, depths)
 
@@ -153,6 +153,13 @@ class Automaton:
         return cls(_words(sizes, texts), depths)
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the place of each key; keys come in runs, which are sorted once."""
+    start = runs(keys) if len(keys) else np.zeros(0, np.int64)
+    found, place = np.unique(keys[start], return_inverse=True)
+    return found, np.repeat(place, np.diff(np.append(start, len(keys))))
+
+
 def _join(parts: list[bytes]) -> bytes:
     sizes = np.array([len(parts), *map(len, parts)], np.int64)
     return b"".join((sizes.tobytes(), *parts))
@@ -166,8 +173,10 @@ def _split(raw: bytes) -> list[bytes]:
 
 def _texts(words: pa.Array) -> tuple[bytes, bytes]:
     """Sizes of strings and, compressed, their bytes."""
-    sizes = pc.binary_length(words).to_numpy(zero_copy_only=False)
-    return packed(sizes), pa.compress(b"".join(words.cast(pa.large_binary()).to_pylist()), codec="zstd", asbytes=True)
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = words.buffers()[2]
+    data = data[int(offsets[0]) : int(offsets[-1])] if data is not None else b""
+    return packed(np.diff(offsets)), pa.compress(data, codec="zstd", asbytes=True)
 
 
 def _words(sizes: bytes, texts: bytes) -> pa.Array:
@@ -217,13 +226,17 @@ class Shard:
         self.size += len(found.begin)
 
     def counts(self) -> tuple[pa.Array, list[tuple[np.ndarray, np.ndarray]]]:
-        """Words and languages; for each length of path the words of the distinct ones, and weights."""
+        """Words, sorted, and languages; for each length the distinct paths, sorted, and weights."""
         offsets = np.concatenate(([0], np.cumsum(np.concatenate(self.lengths))))
         data = pa.py_buffer(np.concatenate(self.raw))
         texts = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), data)
         coded = texts.dictionary_encode()
-        words = pa.concat_arrays([coded.dictionary, pa.array(list(self.names), pa.large_string())])
-        word, piece = coded.indices.to_numpy(), np.concatenate(self.pieces)
+        by_bytes = pc.sort_indices(coded.dictionary).to_numpy()
+        place = np.empty(len(by_bytes), np.int32)
+        place[by_bytes] = np.arange(len(by_bytes))
+        names = pa.array(list(self.names), pa.large_string())
+        words = pa.concat_arrays([coded.dictionary.take(pa.array(by_bytes)), names])
+        word, piece = place[coded.indices.to_numpy()], np.concatenate(self.pieces)
         n, state = len(words), np.concatenate(self.langs) + len(coded.dictionary)
         labels, out = np.arange(n, dtype=np.int32)[None, :], []
         # A state is a place in the list of distinct paths; languages are their own.
@@ -337,19 +350,16 @@ def count_automata(docs: DataFrame, longest: int, least: int, cells: Cells) -> D
 
 
 def _part(words: pa.Array, paths: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
-    """Paths with the words they use, in the order of their bytes."""
-    used = np.unique(np.concatenate([labels.reshape(-1) for labels, _ in paths]))
-    own = words.take(pa.array(used))
-    by_bytes = pc.sort_indices(own).to_numpy()
-    place = np.zeros(int(used[-1]) + 1, np.int32)
-    place[used[by_bytes]] = np.arange(len(used))
-    out = [*_texts(own.take(pa.array(by_bytes)))]
+    """Sorted paths with the words they use, in the same order."""
+    held = np.zeros(len(words), bool)
+    for labels, _ in paths:
+        held[labels] = True
+    used = np.flatnonzero(held)
+    place = np.cumsum(held, dtype=np.int32) - 1
+    out = [*_texts(words.take(pa.array(used)))]
     for labels, weight in paths:
         labels = place[labels]
-        order = np.lexsort(labels[::-1])
-        # The first words of sorted paths repeat: only their steps are kept.
-        rows = [np.diff(labels[0][order], prepend=0), *(row[order] for row in labels[1:]), weight[order]]
-        out.append(_join([packed(row) for row in rows]))
+        out.append(_join([packed(row) for row in (*labels, weight)]))
     return _join(out)
 
 
@@ -361,8 +371,8 @@ def _united(parts: list[list[bytes]], longest: int) -> Automaton:
     for part, names in zip(parts, coded.chunks, strict=True):
         place = names.indices.to_numpy().astype(np.int32)
         for raw in part[2:]:
-            first, *numbers, weight = (unpacked(x) for x in _split(raw))
-            labels = np.stack([place[x] for x in (np.cumsum(first), *numbers)])
+            *numbers, weight = (unpacked(x) for x in _split(raw))
+            labels = np.stack([place[x] for x in numbers])
             by_length.setdefault(len(labels), []).append((labels, weight))
     paths = []
     for length in sorted(by_length):
@@ -425,6 +435,12 @@ def part_weights(automata: DataFrame, parts: DataFrame, cells: Cells, longest: i
     return by_bucket.cogroup(asked.groupBy("bucket")).applyInArrow(compose, "lang string, part string, f long")
 
 
+def cut_score() -> Column:
+    """floor(1000000 a^2 / (l r)) in whole numbers of up to 38 digits; a, l and r of up to 15."""
+    square = "cast(a AS decimal(15, 0)) * cast(a AS decimal(15, 0)) * cast(1000000 AS decimal(7, 0))"
+    return F.expr(f"({square}) div (cast(l AS decimal(15, 0)) * cast(r AS decimal(15, 0)))")
+
+
 def collocations(docs: DataFrame, longest: int = 3, least: int = 10, percent: int = 50, first: int = 2000) -> DataFrame:
     """``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n`` and ``score``.
 
@@ -446,9 +462,7 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, percent: in
     weights = staged(part_weights(automata, parts, cells, longest), "part-weights")
     left = weights.select("lang", F.col("part").alias("first"), F.col("f").alias("l"))
     right = weights.select("lang", F.col("part").alias("rest"), F.col("f").alias("r"))
-    square = "cast(a AS decimal(15, 0)) * cast(a AS decimal(15, 0)) * cast(1000000 AS decimal(7, 0))"
-    score = F.expr(f"({square}) div (cast(l AS decimal(19, 0)) * cast(r AS decimal(18, 0)))")
-    scored = cuts.drop("words").join(left, ["lang", "first"]).join(right, ["lang", "rest"]).withColumn("score", score)
+    scored = cuts.drop("words").join(left, ["lang", "first"]).join(right, ["lang", "rest"]).withColumn("score", cut_score())
     weakest = F.min(F.struct("score", "k", "a", "l", "r")).alias("cut")
     scored = scored.groupBy("lang", "phrase").agg(weakest).select("lang", "phrase", "cut.*")
 
