@@ -258,7 +258,8 @@ def resample(
     usable = (F.col("n_words") >= least_words) & F.col("doc_id").isNotNull()
     rows = rows.withColumn("score", F.col("weight") + noise).withColumn("usable", usable)
     ordered = lambda: [F.desc("usable"), F.desc("score"), F.asc("doc_id")]
-    rows = numbered(rows, ordered, "resampling")
+    # Written first: ranges are found in one pass and dealt out in another.
+    rows = numbered(staged(rows, "weights"), ordered, "resampling")
     drawn = rows.filter("usable").count() * percent // 100
     rank = F.when(F.col("usable") & (F.col("place") <= drawn), F.col("place"))
     return rows.select("doc_id", "n_features", "weight", "score", rank.alias("rank"))
