@@ -9,7 +9,7 @@ blocks of documents; all else that is moved are hashes and bits:
    with one bit for each hash: does another document hold it?
 2. Each block sends the hashes of the windows around such shared anchors, each with the
    smallest id that the block has for it.  The bucket answers with one bit: is there a smaller
-   id elsewhere?
+   id elsewhere?  (``suffix_array`` sends suffixes here, which the bucket sorts and extends.)
 3. Each block marks the words of the windows so answered.
 
 A block sends each hash once however often it occurs, so a passage that a third of all rows
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
@@ -78,37 +79,11 @@ class DifferenceCover:
         windows = words.windows(self.size)
         return windows[np.cumsum(marks)[windows] > 0]
 
+    def open(self, buckets: int, number: int, rows: pa.Table) -> Block:
+        return Block(self, buckets, number, rows)
 
-@dataclass(frozen=True)
-class Minimisers:
-    """For every window the hash of its sequence of ``gram`` words that hashes lowest.
-
-    The choice depends on content alone, so equal windows have equal anchors.
-    """
-
-    size: int
-    gram: int
-
-    def anchors(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """For every window the hash of its lowest sequence, and the window's position."""
-        at = words.windows(self.size)
-        return self._lowest(words)[at], at
-
-    def around(self, words: Words, at: np.ndarray) -> np.ndarray:
-        return at
-
-    def _lowest(self, words: Words) -> np.ndarray:
-        width = self.size - self.gram + 1
-        low, covered = words.sequence_hashes(self.gram), 1
-        while covered < width:
-            step = min(covered, width - covered)
-            moved = low.copy()
-            moved[: max(len(low) - step, 0)] = np.minimum(low[: max(len(low) - step, 0)], low[step:])
-            low, covered = moved, covered + step
-        return low
-
-
-Anchors = DifferenceCover | Minimisers
+    def answer(self, table: pa.Table) -> pa.Table:
+        return _earlier(table)
 
 
 def blocks(docs: DataFrame) -> DataFrame:
@@ -138,6 +113,21 @@ def blocks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(pack, BLOCKS)
 
 
+class Anchors(Protocol):
+    """How anchors are chosen, and what is compared around those that are shared."""
+
+    size: int
+
+    def anchors(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the anchors and their positions."""
+
+    def open(self, buckets: int, number: int, rows: pa.Table) -> Block:
+        """A block of documents, ready to send and to be told."""
+
+    def answer(self, table: pa.Table) -> pa.Table:
+        """A bucket's reply to what the blocks send in the second step."""
+
+
 @dataclass
 class Block:
     """A block's words and what it sends and knows; built anew wherever it is needed."""
@@ -210,8 +200,8 @@ class Block:
             yield {
                 "bucket": bucket,
                 "block": self.number,
-                "hashes": _planes(self.key[part]),
-                "ids": _planes(self.smallest[part].view(U64)),
+                "hashes": planes(self.key[part]),
+                "ids": planes(self.smallest[part].view(U64)),
             }
 
     def repeated(self, replies: pa.Table) -> np.ndarray:
@@ -225,12 +215,12 @@ class Block:
         return np.cumsum(marks)[:-1] > 0
 
 
-def _planes(values: np.ndarray) -> bytes:
+def planes(values: np.ndarray) -> bytes:
     """Bytes of equal weight together, which compresses those that hardly differ."""
     return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def _from_planes(raw: bytes) -> np.ndarray:
+def from_planes(raw: bytes) -> np.ndarray:
     planes = np.frombuffer(raw, np.uint8).reshape(8, -1)
     return np.ascontiguousarray(planes.T).reshape(-1).view(U64)
 
@@ -282,8 +272,8 @@ def _shared(table: pa.Table) -> pa.Table:
 def _earlier(table: pa.Table) -> pa.Table:
     """For which window hashes of a bucket does another block know a smaller id?"""
     raw = [x.as_py() for x in table["hashes"]]
-    keys = np.concatenate([_from_planes(x) for x in raw])
-    ids = np.concatenate([_from_planes(x.as_py()) for x in table["ids"]]).view(np.int64)
+    keys = np.concatenate([from_planes(x) for x in raw])
+    ids = np.concatenate([from_planes(x.as_py()) for x in table["ids"]]).view(np.int64)
     order = np.lexsort((ids, keys))
     key, id_ = keys[order], ids[order]
     new = np.ones(len(key), bool)
@@ -311,17 +301,20 @@ def mark_repeats(
     def send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, raw in zip(batch.column(0), batch.column(1), strict=True):
-                block = Block(anchors, buckets, number.as_py(), _open(raw))
+                block = anchors.open(buckets, number.as_py(), _open(raw))
                 yield from _table(block.anchor_rows(), HASHES_ARROW).to_batches()
 
     def known(left: pa.Table, right: pa.Table) -> Block:
-        block = Block(anchors, buckets, left["block"][0].as_py(), _open(left["rows"][0]))
+        block = anchors.open(buckets, left["block"][0].as_py(), _open(left["rows"][0]))
         block.look_around(right)
         return block
 
     def send_windows(left: pa.Table, right: pa.Table) -> pa.Table:
         return _table(known(left, right).window_rows() if left.num_rows else (), HASHES_ARROW)
 
+    def compare(table: pa.Table) -> pa.Table:
+        return anchors.answer(table)
+
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         block = known(left, right)
         return output(block.rows, block.words, block.repeated(right))
@@ -329,6 +322,6 @@ def mark_repeats(
     shared = texts.mapInArrow(send_anchors, HASHES).groupBy("bucket").applyInArrow(_shared, BITS)
     by_block = texts.groupBy("block")
     windows = by_block.cogroup(shared.groupBy("block")).applyInArrow(send_windows, HASHES)
-    earlier = windows.groupBy("bucket").applyInArrow(_earlier, BITS)
+    earlier = windows.groupBy("bucket").applyInArrow(compare, BITS)
     replies = shared.unionByName(earlier).groupBy("block")
     return by_block.cogroup(replies).applyInArrow(finish, schema)

@@ -1,10 +1,8 @@
-"""Removal of passages that an earlier document holds, by windows anchored at minimisers.
+"""Removal of passages that an earlier document holds, by sparse suffix arrays.
 
-This stands in for a sparse suffix array and has its results: no suffix is retained, ordered or
-extended.  For every window of ``size`` words the hash of its minimiser is sent, the word
-sequence of ``gram`` words with the lowest hash within the window, so equal windows send equal
-hashes.  Where several documents hold a minimiser, the hashes of the whole windows around it
-are exchanged and compared.  See ``repeats`` for what is moved.
+Suffixes at minimisers of a quarter of the passage are retained, sorted by their words within
+ranges of their first ones, compared with their neighbours and extended to the left and right;
+see ``suffix_array``.  What is moved, and how replies return, is described in ``repeats``.
 
 Defined results: a passage is a word covered by ``size`` consecutive words that also start in a
 document with a smaller id; longer passages are covered by several such windows.  A null or
@@ -21,14 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from palimpsest.llm.repeats import Minimisers, mark_repeats
+from palimpsest.llm.repeats import mark_repeats
 from palimpsest.llm.substring_dedup import kept_words, spans
+from palimpsest.llm.suffix_array import Suffixes
 from palimpsest.llm.words import Words
 
 
-def passages(size: int) -> Minimisers:
+def passages(size: int) -> Suffixes:
     """Minimisers of a quarter of the passage: rare enough words, and about 2/(3/4 size) kept."""
-    return Minimisers(size, max(1, size // 4))
+    return Suffixes(size, max(1, size // 4))
 
 
 def suffix_dedup(docs: DataFrame, size: int = 50) -> DataFrame:

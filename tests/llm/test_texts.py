@@ -7,6 +7,7 @@ import zlib
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from conftest import SMALL
@@ -18,8 +19,9 @@ from palimpsest.llm.minhash import bags, near_duplicates, one_of_each, shingles,
 from palimpsest.llm.packing import Encoder, pack
 from palimpsest.llm.quality_classifier import fit
 from palimpsest.llm.quality_rules import keep_good, quality_rules, weights
-from palimpsest.llm.repeats import DifferenceCover
+from palimpsest.llm.repeats import HASHES_ARROW, DifferenceCover, _shared
 from palimpsest.llm.substring_dedup import substring_dedup, with_digest
+from palimpsest.llm.suffix_array import Suffixes
 from palimpsest.llm.suffix_dedup import cut_passages, suffix_dedup
 from palimpsest.llm.token_counts import Shortcut, token_counts
 from palimpsest.llm.words import words_of
@@ -263,6 +265,49 @@ def test_cut_passages_keeps_columns_and_white_space(spark, awkward):
     ]
 
 
+def test_matches_reach_any_number_of_words_to_both_sides(spark):
+    """Few different words, so that most suffixes have several neighbours that differ left or right."""
+    ship_package(spark)
+    draw = random.Random(21)
+    rows = [(i, " ".join(draw.choice("aab") + draw.choice("xy") for _ in range(draw.randrange(60)))) for i in range(80)]
+    rows += [(100 + i, "ax " * 70 + f"end{i}") for i in range(3)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5, "doc_id")
+    wanted = sorted(map(repr, brute.substring_rows(rows, 8)))
+    found = with_digest(suffix_dedup(table, 8))
+    assert as_set(found) == wanted
+    removed = [r.n_removed for r in found.collect()]
+    assert 0 in removed and any(removed)
+
+
+def test_retained_suffixes_and_their_matches():
+    """Every window retains a suffix, few are retained, and a match is found from its shared suffix alone."""
+    passage = prose(31, 60)
+    texts = [f"{prose(32, 3000)} {passage} {prose(33, 500)}", f"{prose(34, 400)} {passage} {prose(35, 900)}"]
+    kind = Suffixes(50, 12)
+    words = words_of(pa.array(texts))
+    _, at = kind.anchors(words)
+    windows = words.windows(50)
+    assert (np.searchsorted(at, windows + 50 - 12, side="right") > np.searchsorted(at, windows)).all()
+    assert 0.03 < len(at) / len(words.hashes) < 0.08
+    starts = [len(texts[0].split()) - 560, len(texts[1].split()) - 960 + words.first[1]]
+    inside = [set((at[(at >= s) & (at <= s + 48)] - s).tolist()) for s in starts]
+    assert inside[0] & inside[1]
+    # Blocks of one document each: what the bucket tells of the second one's suffixes.
+    blocks = [kind.open(1, i, pa.table({"doc_id": pa.array([i], pa.int64()), "text": [texts[i]]})) for i in (0, 1)]
+    told = [pa.Table.from_pylist(list(b.anchor_rows()), HASHES_ARROW) for b in blocks]
+    shared = _shared(pa.concat_tables(told))
+    replies = [shared.filter(pa.array(b == i for b in shared["block"].to_pylist())) for i in (0, 1)]
+    sent = []
+    for block, reply in zip(blocks, replies, strict=True):
+        block.look_around(reply)
+        sent.append(pa.Table.from_pylist(list(block.window_rows()), HASHES_ARROW))
+    assert 0 < len(blocks[1].heads) < 10
+    earlier = kind.answer(pa.concat_tables(sent))
+    assert not blocks[0].repeated(earlier.slice(0, 1)).any()
+    gone = np.flatnonzero(blocks[1].repeated(earlier.slice(1, 1)))
+    assert gone.tolist() == list(range(len(texts[1].split()) - 960, len(texts[1].split()) - 900))
+
+
 def test_difference_cover_is_checked():
     with pytest.raises(ValueError):
         DifferenceCover(13, 7, (0, 1, 2))
@@ -306,8 +351,6 @@ def test_blocks_of_a_large_group_lose_no_link(spark, monkeypatch):
 
 
 def test_signatures_estimate_weighted_jaccard():
-    import pyarrow as pa
-
     draw = random.Random(5)
     texts = []
     for _ in range(2):
