@@ -270,3 +270,33 @@ def test_pipeline_by_stages(spark):
 def test_pipeline_runs(spark):
     found = corpus_pipeline.run(spark, SMALL)
     assert "sequence_id" in found.columns and found.count() > 0
+
+
+def tables(spark, folder, docs, labels):
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{folder}/documents.parquet"
+    )
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_pipeline_of_missing_and_repeated_ids(spark, tmp_path):
+    """Rows without id or text and unlike texts of one id go through; a copy goes, an unlike text does not."""
+    draw = random.Random(41)
+    texts = [" ".join(f"w{draw.randrange(900)}" for _ in range(120)) for _ in range(12)]
+    ids = [1, 2, 3, 4, 5, 5, 6, 7, 8, 9, None, None]
+    docs = [(i, t, "en", "a", len(t)) for i, t in zip(ids, texts, strict=True)]
+    docs += [(5, texts[4], "en", "b", len(texts[4])), (20, None, None, None, None), (None, None, "en", "a", 0), (21, "", "en", "a", 0)]
+    folder = tables(spark, tmp_path, docs, [(i, 1, int(i == 9)) for i in range(1, 10)] + [(None, 1, 0), (5, None, None)])
+    quality = corpus_pipeline.quality(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    kept = corpus_pipeline.near_dedup(spark, quality, folder)
+    wanted = {(i, t) for i, t, *_ in quality.collect()}
+    found = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(found) == len(set(found)) == len({t for _, t in wanted})
+    assert {(5, texts[4]), (5, texts[5])} <= set(found)
+    packed = corpus_pipeline.run(spark, folder)
+    assert {r.doc_id for r in packed.collect()} <= {i for i, _ in wanted}
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    assert corpus_pipeline.run(spark, tables(spark, tmp_path, [], [])).collect() == []
