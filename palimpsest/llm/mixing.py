@@ -125,6 +125,29 @@ def calibrated(features: np.ndarray, domain: np.ndarray, tokens: np.ndarray) ->
     return np.concatenate((weights, theta[domains * kinds :, None]), axis=1)
 
 
+def _told(rows: DataFrame, model: DataFrame, domains: list[str]) -> DataFrame:
+    """Domain, tokens and features of each labelled row; a text does not speak for its own domain.
+
+    Both halves of the model are columns used once, which the optimizer puts in their place: a
+    column used twice would stay one, and copy the model into each row.
+    """
+    told = rows.filter("mix_tokens > 0")
+    for n in ("all", "others"):
+        told = told.withColumn(f"mix_{n}", model.select(n).scalar())
+    told = told.select(
+        "mix_domain",
+        "mix_tokens",
+        "mix_found",
+        *(_sums(F.col("mix_found"), F.col(f"mix_{n}"), len(domains)).alias(n) for n in ("all", "others")),
+    )
+    chosen = []
+    for i, name in enumerate(domains):
+        own = F.col("mix_domain") == name
+        both = [_features(F.col(n), F.col("mix_found"), i) for n in ("others", "all")]
+        chosen += [F.when(own, x).otherwise(y).alias(f"e{i}_{k}") for k, (x, y) in enumerate(zip(*both, strict=True))]
+    return told.select("mix_domain", "mix_tokens", *chosen)
+
+
 def classifier(
     docs: DataFrame, labelled: DataFrame, domains: list[str], buckets: int, evidence: float, labelled_rows: int
 ) -> tuple[DataFrame, np.ndarray]:
@@ -156,26 +179,12 @@ def classifier(
     dense = every.join(counts, "bucket", "left").select(
         "bucket", F.coalesce("held", none).alias("held"), sizes.scalar().alias("sizes")
     )
-    size = range(len(domains))
     signs = [_signs(F.col("held"), F.col("sizes"), len(domains), evidence, less) for less in (0, 1)]
     model = dense.select("bucket", signs[0].alias("all"), signs[1].alias("others"))
     listed = F.sort_array(F.collect_list(F.struct("bucket", "all", "others")))
     model = model.agg(listed.alias("t")).select(F.col("t")["all"].alias("all"), F.col("t")["others"].alias("others"))
     model = staged(model, "weights")
-    told = rows.filter("mix_tokens > 0").withColumn("mix_model", model.select(F.struct("all", "others")).scalar())
-    # A labelled text does not speak for its own domain.
-    told = told.select(
-        "mix_domain",
-        "mix_tokens",
-        "mix_found",
-        *(_sums(F.col("mix_found"), F.col("mix_model")[n], len(domains)).alias(n) for n in ("all", "others")),
-    )
-    chosen = []
-    for i in size:
-        own = F.col("mix_domain") == domains[i]
-        both = [_features(F.col(n), F.col("mix_found"), i) for n in ("others", "all")]
-        chosen += [F.when(own, x).otherwise(y).alias(f"e{i}_{k}") for k, (x, y) in enumerate(zip(*both, strict=True))]
-    flat = told.select("mix_domain", "mix_tokens", *chosen).toArrow()
+    flat = _told(rows, model, domains).toArrow()
     values = [flat.column(i).to_numpy() for i in range(2, flat.num_columns)]
     features = np.stack(values, axis=1).reshape(-1, len(domains), 3).astype(float)
     domain = np.array([domains.index(d) for d in flat.column(0).to_pylist()], int)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import palimpsest.llm.collocations as phrases
 import palimpsest.llm.katz as katz
+import palimpsest.llm.mixing as mixing
 import palimpsest.llm.queries as llm
 from palimpsest.llm.planes import packed, packed_floats, unpacked, unpacked_floats
 from palimpsest.llm.resampling import Grams, Interned, gains, resample
@@ -181,3 +182,19 @@ def test_scores_beyond_64_bits(spark):
     table = spark.createDataFrame(rows, "a long, l long, r long")
     found = [r.score for r in table.select(phrases.cut_score().alias("score")).collect()]
     assert found == [10**6 * a * a // (l * r) for a, l, r in rows]
+
+
+def test_the_mixing_model_is_not_copied_into_the_labelled_rows(spark):
+    rows = spark.createDataFrame(
+        [("good", 2, [0, 1]), ("toxic", 3, [1])], "mix_domain string, mix_tokens long, mix_found array<int>"
+    )
+    table = [[[0.1, 0.0, -0.2, 0.0], [0.3, 0.3, -0.4, 0.0]], [[0.5, 0.0, -0.6, 0.0], [0.7, 0.0, -0.8, 0.0]]]
+    model = spark.createDataFrame([tuple(table)], "all array<array<double>>, others array<array<double>>")
+    told = mixing._told(rows, model, ["good", "toxic"])
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS mix_all#" not in plan and "AS mix_others#" not in plan and "AS mix_model#" not in plan
+    found = {r.mix_domain: r for r in told.collect()}
+    assert found["good"].e0_1 == pytest.approx((0.5 + 0.7) / 2)
+    assert found["good"].e1_1 == pytest.approx((-0.2 - 0.4) / 2)
+    assert found["toxic"].e0_0 == pytest.approx(0.3)
+    assert found["toxic"].e1_1 == pytest.approx(-0.8)
