@@ -204,6 +204,12 @@ def _reaches(common: str, both: str, percent: int) -> str:
     return f"({common}) * 400 {'>' if percent % 2 else '>='} ({both}) * {2 * percent - 1}"
 
 
+def _most_common(text: str, other: str) -> str:
+    """A cheap upper bound of the common length: one insertion or deletion changes one character,
+    so what is not common is at least the Levenshtein distance."""
+    return f"(length({text}) + length({other}) - levenshtein({text}, {other})) div 2"
+
+
 def _vector(positions: list[int], words: int) -> str:
     out = [0] * words
     for position in positions:
@@ -218,7 +224,7 @@ def _sql_vectors(text: str, words: int) -> str:
         places.setdefault(char, []).append(position)
     pairs = ", ".join(f"'{char}', {_vector(at, words)}" for char, at in places.items())
     whole = _vector(list(range(len(text))), words)
-    return f"named_struct('size', {len(text)}, 'whole', {whole}, 'bits', map({pairs}))"
+    return f"named_struct('text', '{text}', 'size', {len(text)}, 'whole', {whole}, 'bits', map({pairs}))"
 
 
 def _sql_term(term: str, words: int) -> str:
@@ -247,8 +253,8 @@ class _Scores:
         self.words = words
         self.none = f"array({', '.join(['0L'] * words)})"
 
-    def common(self, chars: str, pattern: str, mask: str) -> str:
-        """Length of the longest common subsequence of characters and a masked pattern."""
+    def common(self, text: str, pattern: str, mask: str) -> str:
+        """Length of the longest common subsequence of a text and a masked pattern."""
         ones = (1 << WORD_BITS) - 1
         carry, steps = "0L", []
         for i in range(self.words):
@@ -260,7 +266,7 @@ class _Scores:
         step = f"transform(array({hits}), h -> array({', '.join(steps)}))[0]"
         counted = " + ".join(f"bit_count(k[{i}] & ~v[{i}])" for i in range(self.words))
         start = f"array({', '.join([f'{ones}L'] * self.words)})"
-        run = f"aggregate({chars}, {start}, (v, c) -> {step}, v -> {counted})"
+        run = f"aggregate({_sql_chars(text)}, {start}, (v, c) -> {step}, v -> {counted})"
         return f"transform(array({mask}), k -> {run})[0]"
 
     def window(self, begin: str, size: str) -> str:
@@ -271,34 +277,45 @@ class _Scores:
 
         return f"array({', '.join(f'{bit(f'({begin} + {size})', i)} - {bit(begin, i)}' for i in range(self.words))})"
 
-    def whole(self, chars: str, pattern: str, percent: int | None) -> str:
+    def whole(self, text: str, pattern: str, percent: int | None) -> str:
         """Whether the similarity of two strings reaches ``percent``."""
         if percent is None or percent == 0:
             return "false" if percent is None else "true"
-        both = f"size({chars}) + {pattern}.size"
-        possible = _reaches(f"least(size({chars}), {pattern}.size)", both, percent)
-        return f"({possible} AND {_reaches(self.common(chars, pattern, f'{pattern}.whole'), both, percent)})"
+        both = f"length({text}) + {pattern}.size"
+        possible = _reaches(f"least(length({text}), {pattern}.size)", both, percent)
+        plausible = _reaches(_most_common(text, f"{pattern}.text"), both, percent)
+        exact = _reaches(self.common(text, pattern, f"{pattern}.whole"), both, percent)
+        return f"({possible} AND {plausible} AND {exact})"
 
-    def partial(self, chars: str, pattern: str, percent: int | None) -> str:
+    def partial(self, text: str, pattern: str, percent: int | None) -> str:
         """Whether the shorter string and some window of the longer one reach ``percent``."""
         if percent is None or percent == 0:
             return "false" if percent is None else "true"
-        n, k = f"size({chars})", f"{pattern}.size"
+        n, k = f"length({text})", f"{pattern}.size"
         # No window has more in common than the whole longer string.
-        bound = _reaches(self.common(chars, pattern, f"{pattern}.whole"), f"2 * least({n}, {k})", percent)
-        inside = self.common(chars, pattern, self.window("s", n))
-        around = self.common(f"slice({chars}, s + 1, {k})", pattern, f"{pattern}.whole")
+        both = f"2 * least({n}, {k})"
+        plausible = _reaches(_most_common(text, f"{pattern}.text"), both, percent)
+        bound = _reaches(self.common(text, pattern, f"{pattern}.whole"), both, percent)
+        part, piece = f"substring({pattern}.text, s + 1, {n})", f"substring({text}, s + 1, {k})"
+        inside = (
+            f"{_reaches(_most_common(text, part), both, percent)}"
+            f" AND {_reaches(self.common(text, pattern, self.window('s', n)), both, percent)}"
+        )
+        around = (
+            f"{_reaches(_most_common(piece, f'{pattern}.text'), both, percent)}"
+            f" AND {_reaches(self.common(piece, pattern, f'{pattern}.whole'), both, percent)}"
+        )
         return (
-            f"({bound} AND CASE WHEN {n} <= {k}"
-            f" THEN exists(sequence(0, {k} - {n}), s -> {_reaches(inside, f'2 * {n}', percent)})"
-            f" ELSE exists(sequence(0, {n} - {k}), s -> {_reaches(around, f'2 * {k}', percent)}) END)"
+            f"({plausible} AND {bound} AND CASE WHEN {n} <= {k}"
+            f" THEN exists(sequence(0, {k} - {n}), s -> {inside})"
+            f" ELSE exists(sequence(0, {n} - {k}), s -> {around}) END)"
         )
 
     def sets(self, percent: int | None) -> str:
         """Whether two of shared tokens, all tokens of one and all of the other reach it."""
         if percent is None or percent == 0:
             return "false" if percent is None else "true"
-        joined = {"f": "size(f)", "g": "g.size"}
+        joined = {"f": "length(f)", "g": "g.size"}
         ors = ", ".join(
             f"a.mask[{i}] | x.body[{i}] | CASE WHEN a.size > 0 THEN x.gap[{i}] ELSE 0L END" for i in range(self.words)
         )
@@ -310,12 +327,12 @@ class _Scores:
         )
         one = f"(n + CASE WHEN {joined['f']} > 0 THEN 1 + {joined['f']} ELSE 0 END)"
         two = f"(n + CASE WHEN {joined['g']} > 0 THEN 1 + {joined['g']} ELSE 0 END)"
-        rest = f"CASE WHEN size(f) > 0 AND g.size > 0 THEN n + 1 + {self.common('f', 't.set', 'g.mask')} ELSE n END"
+        rest = f"CASE WHEN length(f) > 0 AND g.size > 0 THEN n + 1 + {self.common('f', 't.set', 'g.mask')} ELSE n END"
         shared = (
             f"{_reaches('n', f'n + {one}', percent)} OR {_reaches('n', f'n + {two}', percent)}"
             f" OR {_reaches(rest, f'{one} + {two}', percent)}"
         )
-        extra = _sql_chars("array_join(array_except(w.tokens, t.names), ' ')")
+        extra = "array_join(array_except(w.tokens, t.names), ' ')"
         n = "length(array_join(array_intersect(w.tokens, t.names), ' '))"
         bound = (
             f"transform(array({n}), n -> transform(array({extra}), f ->"
@@ -341,7 +358,7 @@ class _Scores:
                 f"({self.partial('w.text', 't.plain', _needed(cutoff, weight))} OR {self.partial_sets(token)}"
                 f" OR {self.partial('w.sorted', 't.sorted', token)})"
             )
-        n, k = "size(w.text)", "t.plain.size"
+        n, k = "length(w.text)", "t.plain.size"
         return (
             f"{self.whole('w.text', 't.plain', cutoff)} OR CASE"
             f" WHEN greatest({n}, {k}) * 2 < least({n}, {k}) * 3 THEN {near[0]} OR {near[1]}"
@@ -363,15 +380,11 @@ def _any_score(text: Column, terms: tuple[str, ...], cutoff: int) -> Column:
         for words, some in by_words.items()
     ]
     tokens = F.sort_array(F.split(text, " +"))
-
-    def chars(value: Column) -> Column:
-        return let_sql(value, "x -> transform(sequence(1, length(x)), i -> substring(x, i, 1))")
-
     words = F.struct(
-        chars(text).alias("text"),
-        chars(F.array_join(tokens, " ")).alias("sorted"),
+        text.alias("text"),
+        F.array_join(tokens, " ").alias("sorted"),
         F.array_distinct(tokens).alias("tokens"),
-        chars(F.array_join(F.array_distinct(tokens), " ")).alias("distinct"),
+        F.array_join(F.array_distinct(tokens), " ").alias("distinct"),
     )
     return F.when(text == "", F.lit(False)).otherwise(let_sql(words, f"w -> {' OR '.join(tests)}"))
 

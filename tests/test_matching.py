@@ -140,3 +140,19 @@ def test_arguments():
         languages.citation_terms("it")
     with pytest.raises(ValueError):
         matches_terms(F.lit("a"), ("notes",), score_cutoff=101)
+
+
+def test_cheap_bounds_come_first_and_hold(spark):
+    from pyspark.sql import functions as F
+
+    from palimpsest.functions import matching
+
+    scores = matching._Scores(1)
+    for test in (scores.whole("w.text", "t.plain", 70), scores.partial("w.text", "t.plain", 78)):
+        assert 0 < test.index("levenshtein(") < test.index("aggregate(")
+    rng = random.Random(5)
+    names = [mutated(rng, rng.choice(TERMS["usual"] + TERMS["letters"])) for _ in range(300)]
+    pairs = list(zip(names, reversed(names)))
+    rows = spark.createDataFrame(pairs, "a string, b string")
+    for row in rows.withColumn("most", F.expr(matching._most_common("a", "b"))).collect():
+        assert row.most >= common(row.a, row.b)
