@@ -101,15 +101,13 @@ FIRST_INSTANT = "TIMESTAMP '2015-01-01T00:00:00Z'"
 
 
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores on an input that is read in fewer tasks than there are cores.
+    """Deal the rows of an input to at least as many tasks as there are cores.
 
-    Text work costs far more than moving such a small input once.  An input with at least one
-    read task per core is left as it is.
+    Text work costs far more than moving its input once.  How many read tasks are planned does
+    not tell how many have rows: they are cut by bytes, but a row group goes to one task whole.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores, *keys)
+    return rows.repartition(max(cores, rows.rdd.getNumPartitions()), *keys)
 
 
 def _table(spark: SparkSession, directory: str, name: str, *keys: str) -> DataFrame:

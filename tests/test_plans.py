@@ -9,7 +9,7 @@ from palimpsest.checks.queries import QUERIES
 from palimpsest.operators.revisions import last_revisions, likely_last
 from palimpsest.plans import identifiers, sections_counter, wikilinks
 from palimpsest.session import staged
-from palimpsest.sources.tables import conversation_revisions
+from palimpsest.sources.tables import conversation_revisions, spread
 
 NODE = re.compile(
     r"\n[ :+*\-]*(?:\*?\(\d+\) )?(?=(?:Project|Filter|Generate|Window|HashAggregate|Sort|Exchange"
@@ -104,3 +104,21 @@ def test_likely_last_revisions_hold_the_last_ones(spark, bits):
     likely = {(r.page_id, r.rev_pos) for r in likely_last(revisions, bits).collect()}
     assert last <= likely and len(likely) < revisions.count()
     assert likely_last(revisions.limit(0), bits).collect() == []
+
+
+def test_one_row_group_is_dealt_to_all_cores(spark, tmp_path):
+    """Read tasks are cut by bytes, so most of these get no rows."""
+    path = str(tmp_path / "documents.parquet")
+    rows = spark.range(400).selectExpr("id AS doc_id", "repeat(md5(string(id)), 50) AS text")
+    rows.coalesce(1).write.option("compression", "uncompressed").parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        table = spark.read.parquet(path)
+        assert table.rdd.getNumPartitions() >= cores
+        sizes = spread(table, "doc_id").rdd.glom().map(len).collect()
+        assert sum(sizes) == 400 and sum(1 for size in sizes if size) >= cores
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
