@@ -47,20 +47,23 @@ def _sql_string(text: str) -> str:
     return f"'{escaped}'"
 
 
-def locate_all(text: Column, pattern: str, tail: bool = False) -> Column:
-    """Every match of ``pattern`` as ``array<struct<raw, begin, end[, tail]>>``.
+def locate_all(text: Column, pattern: str, tail: bool = False, raw: bool = True) -> Column:
+    """Every match of ``pattern`` as ``array<struct<[raw, ]begin, end[, tail]>>``.
 
     ``begin`` and ``end`` are half-open code-point offsets.  They come from the lengths of
     the pieces between matches, which costs one more pass over texts that do match and
     nothing on texts that do not.  The lengths are summed up in log2(n) passes: adding to an
     array one by one would copy it n times.  ``tail`` is the text between a match and the
-    next one.
+    next one.  Without ``raw`` only the offsets are kept, which copies no text.
     """
+    if tail and not raw:
+        raise ValueError("tail comes with raw")
     p = _sql_string(pattern)
-    fields = "raw:string,begin:int,end:int" + (",tail:string" if tail else "")
-    spans = """
+    fields = ("raw:string," if raw else "") + "begin:int,end:int" + (",tail:string" if tail else "")
+    kept = "'raw', raw, " if raw else ""
+    spans = f"""
         zip_with(matches, ends, (raw, last) ->
-          named_struct('raw', raw, 'begin', last - length(raw), 'end', last))"""
+          named_struct({kept}'begin', last - length(raw), 'end', last))"""
     if tail:
         spans = f"""
         transform({spans}, (m, i) -> named_struct(

@@ -23,26 +23,29 @@ LAST_REFERENCE_END = r"(?is)^.*</ref>"
 INCIPIT = "---~--- incipit ---~---"
 
 
-def _headers(text: Column) -> Column:
+def _headers(text: Column, tail: bool = True) -> Column:
     """Header lines with name, level and the text up to the next header."""
     return F.transform(
-        locate_all(text, HEADER, tail=True),
+        locate_all(text, HEADER, tail=tail),
         lambda h: F.struct(
             h["begin"].alias("begin"),
             F.regexp_extract(h["raw"], HEADER, 2).alias("name"),
             F.length(F.regexp_extract(h["raw"], HEADER, 1)).alias("level"),
-            h["tail"].alias("tail"),
+            *([h["tail"].alias("tail")] if tail else []),
         ),
     )
 
 
-def sections(text: Column, include_preamble: bool = False, compat: bool = False) -> Column:
-    """``array<struct<number, name, level, body, begin, end>>`` in text order.
+def sections(
+    text: Column, include_preamble: bool = False, compat: bool = False, bodies: bool = True
+) -> Column:
+    """``array<struct<number, name, level[, body], begin, end>>`` in text order.
 
     A section ends at the newline before the next header.  Names are not trimmed; numbers
     start at 1.  ``include_preamble`` prepends number 0, level 0 for the text before the
     first header.  When a header stands at offset 0 that preamble has the span (0, -1) and an
-    empty body; ``compat`` gives it the text without its last character instead.
+    empty body; ``compat`` gives it the text without its last character instead.  Without
+    ``bodies`` there is no ``body``, and no text is copied.
     """
 
     def build(t: Column, headers: Column) -> Column:
@@ -54,12 +57,7 @@ def sections(text: Column, include_preamble: bool = False, compat: bool = False)
                     (i + 1).cast("int").alias("number"),
                     h["name"].alias("name"),
                     h["level"].alias("level"),
-                    F.when(
-                        following.isNotNull(),
-                        F.substring(h["tail"], F.lit(2), F.length(h["tail"]) - 2),
-                    )
-                    .otherwise(F.substring(h["tail"], F.lit(2), F.length(h["tail"])))
-                    .alias("body"),
+                    *([_body(h["tail"], following.isNotNull()).alias("body")] if bodies else []),
                     h["begin"].alias("begin"),
                     F.coalesce(following - 1, F.length(t)).alias("end"),
                 ),
@@ -67,22 +65,32 @@ def sections(text: Column, include_preamble: bool = False, compat: bool = False)
         )
         if not include_preamble:
             return named
+
+        def before(end: Column) -> Column:
+            size = F.when(end < 0, F.length(t) + end).otherwise(end) if compat else end
+            return F.substring(t, F.lit(1), size)
+
         preamble = let(
             F.coalesce(F.get(headers, F.lit(0))["begin"] - 1, F.length(t)),
             lambda end: F.struct(
                 F.lit(0).alias("number"),
                 F.lit("").alias("name"),
                 F.lit(0).alias("level"),
-                F.substring(
-                    t, F.lit(1), F.when(end < 0, F.length(t) + end).otherwise(end) if compat else end
-                ).alias("body"),
+                *([before(end).alias("body")] if bodies else []),
                 F.lit(0).alias("begin"),
                 end.alias("end"),
             ),
         )
         return F.concat(F.array(preamble), named)
 
-    return let(text, lambda t: let(_headers(t), lambda h: build(t, h)))
+    return let(text, lambda t: let(_headers(t, bodies), lambda h: build(t, h)))
+
+
+def _body(tail: Column, followed: Column) -> Column:
+    size = F.length(tail)
+    return F.when(followed, F.substring(tail, F.lit(2), size - 2)).otherwise(
+        F.substring(tail, F.lit(2), size)
+    )
 
 
 def section_names(text: Column) -> Column:
@@ -102,14 +110,14 @@ def full_body(section: Column) -> Column:
     )
 
 
-def references(text: Column) -> Column:
+def references(text: Column, raw: bool = True) -> Column:
     """``<ref ... </ref>`` spans, case-insensitive and across lines."""
-    return locate_all(F.regexp_extract(text, LAST_REFERENCE_END, 0), REFERENCE)
+    return locate_all(F.regexp_extract(text, LAST_REFERENCE_END, 0), REFERENCE, raw=raw)
 
 
-def templates(text: Column) -> Column:
+def templates(text: Column, raw: bool = True) -> Column:
     """``{{ ... }}`` spans, across lines; nesting is not followed."""
-    return locate_all(up_to_last(text, "}}"), TEMPLATE)
+    return locate_all(up_to_last(text, "}}"), TEMPLATE, raw=raw)
 
 
 def citations(text: Column, language: str) -> Column:

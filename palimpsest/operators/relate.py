@@ -72,7 +72,12 @@ def section_filter(kind: str | None, language: str | None = None) -> SectionFilt
         raise NotImplementedError(f"section filter {kind!r} is not implemented")
     if not language:
         raise ValueError("the bibliography section filter needs a language")
-    return lambda section: is_bibliography(section["name"], language)
+
+    def by_name(section: Column) -> Column:
+        return is_bibliography(section["name"], language)
+
+    by_name.reads_body = False
+    return by_name
 
 
 def appearance(in_references: Column, in_templates: Column, in_sections: Column) -> Column:
@@ -94,16 +99,18 @@ def located_identifiers(
     """Identifiers with the kinds of span that contain them.
 
     ``array<struct<type, id, begin, end, in_references, in_templates, in_sections,
-    appearance>>``; sections include the preamble and are those ``keep_section`` accepts.
+    appearance>>``; sections include the preamble and are those ``keep_section`` accepts.  A
+    filter with the attribute ``reads_body`` set to False gets sections without a body.
     """
+    bodies = keep_section is not None and getattr(keep_section, "reads_body", True)
 
     def relate(t: Column, found: Column) -> Column:
-        kept = wikitext.sections(t, include_preamble=True)
+        kept = wikitext.sections(t, include_preamble=True, bodies=bodies)
         if keep_section is not None:
             kept = F.filter(kept, keep_section)
         places = F.arrays_zip(
-            contained(found, wikitext.references(t)).alias("references"),
-            contained(found, wikitext.templates(t)).alias("templates"),
+            contained(found, wikitext.references(t, raw=False)).alias("references"),
+            contained(found, wikitext.templates(t, raw=False)).alias("templates"),
             contained(found, kept).alias("sections"),
         )
         return F.zip_with(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.functions.arrays import let
 from palimpsest.functions.identifiers import Extractor
 from palimpsest.model import page_key
 from palimpsest.operators.counts import analyzed, class_counts
@@ -37,16 +36,8 @@ def captured(
 ) -> DataFrame:
     """Per article revision: keys of the identifiers in kept sections, and all appearances."""
     rows = with_clean_text(scoped(articles(revisions), only_last))
-
-    def narrow(found):
-        return F.struct(
-            F.array_distinct(
-                F.transform(F.filter(found, lambda i: i["in_sections"]), identifier_key)
-            ).alias("ids"),
-            F.transform(found, lambda i: i["appearance"]).alias("appearances"),
-        )
-
-    located = let(located_identifiers(F.col("text"), keep_section, extractors), narrow)
+    located = located_identifiers(F.col("text"), keep_section, extractors)
+    kept = F.filter(F.col("_found"), lambda i: i["in_sections"])
     others = [
         *page_key(rows),
         "page_title",
@@ -56,8 +47,11 @@ def captured(
         "ts",
         *(["is_last"] if "is_last" in rows.columns else []),
     ]
+    # Each of the two is left out where only the other is used.
     narrowed = rows.select(*others, located.alias("_found")).select(
-        *others, F.col("_found.ids").alias("ids"), F.col("_found.appearances").alias("appearances")
+        *others,
+        F.array_distinct(F.transform(kept, identifier_key)).alias("ids"),
+        F.transform(F.col("_found"), lambda i: i["appearance"]).alias("appearances"),
     )
     return exactly_last(narrowed, articles(revisions), only_last)
 

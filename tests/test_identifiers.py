@@ -231,3 +231,20 @@ def test_own_extractor(apply):
 
     (found,) = apply(lambda t: F.concat(words(t), ids.isbn(t)), ["abc isbn=5"])
     assert [(c.type, c.id) for c in found] == [("word", "abc"), ("isbn", "5")]
+
+
+def test_one_pass_finds_what_the_extractors_find(spark):
+    texts = [
+        None,
+        "",
+        "arxiv=isbn=x/12345 pmid = pmc12",
+        "arxiv:arxiv=abc/123456 //arxiv.org/abs/math.GT/0309001v1 ISBN 1-2",
+        "arXİv: 1510.1234/x PMC=PMC7 pmİd=8 10.1000/isbn12|Iſbn=3 arxiv=1501.10010.1234/y",
+        "//www.ncbi.nlm.nih.gov/pmc/articles/PMC9 //WWW.ncbi.nlm.nih.gov/pubmed/10 pmc=1pmid=2",
+    ]
+    each = F.concat(*[extract(F.col("text")) for extract in ids.EXTRACTORS.values()])
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(
+        ids.publication_identifiers(F.col("text")).alias("found"), each.alias("expected")
+    )
+    for row in rows.collect():
+        assert row.found == row.expected
